@@ -68,6 +68,15 @@ REQUESTS = (
     ("PGS900001", "bmi", "LOGISTIC"),
     ("PGS900001", "waist_circumference", "other"),
 )
+# Request and version tables that grow with the part table; some scores have no version.
+PART_REQUESTS = """
+select concat('PGS', cast(p_partkey as varchar(20))) as pgs,
+ case when p_size % 2 = 0 then 'bmi' else 'waist_circumference' end as phenotype,
+ case when p_size % 4 = 0 then 'logistic' when p_size % 4 = 1 then 'linear' when p_size % 4 = 2 then 'LOGISTIC' else 'other' end as regression
+from {part}"""
+PART_VERSIONS = """
+select concat('PGS', cast(p_partkey as varchar(20))) as pgs, cast(p_size % 3 + 1 as varchar(20)) as version
+from {part} where p_partkey % 10 <> 0"""
 TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
 
 
@@ -95,6 +104,6 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, COHORT)
 
 
-def requests(spark: SparkSession) -> DataFrame:
-    values = ", ".join(str(r) for r in REQUESTS)
+def requests(spark: SparkSession, wanted=REQUESTS) -> DataFrame:
+    values = ", ".join(str(r) for r in wanted)
     return spark.sql(f"select * from values {values} as t(pgs, phenotype, regression)")
