@@ -52,13 +52,14 @@ def exact_quantiles(
     targets = written(
         _first_targets(rows, keys, list(flags), probabilities), "quantile-targets"
     )
+    even, logarithmic = _even_bin(bins), _logarithmic_bin(bins)
+    part = even
     while largest > max_ranked:
-        targets = written(
-            _narrow(rows, targets, keys, list(flags), bins), "quantile-targets"
-        )
+        targets = written(_narrow(rows, targets, keys, list(flags), part), "quantile-targets")
         # A bin whose values are all equal is resolved, however many rows it has.
         largest = targets.where("lo < hi").agg(F.max("width")).first()[0] or 0
-    found = _narrow(rows, targets, keys, list(flags), None)
+        part = logarithmic if part is even else even
+    found = _narrow(rows, targets, keys, list(flags), F.col("v"))
     names = F.array(*(F.lit(name) for name in masks))
     low = F.max(F.when(F.col("side") == 0, F.col("lo")))
     high = F.max(F.when(F.col("side") == 1, F.col("lo")))
@@ -119,29 +120,45 @@ def _first_targets(
     ).where("rank >= 0")
 
 
+def _even_bin(bins: int) -> Column:
+    """Equally wide parts. The ends are scaled first: their difference may exceed any double."""
+    return F.expr(
+        f"if(hi > lo, least(floor((v / {bins} - lo / {bins}) / (hi / {bins} - lo / {bins}) * {bins}), {bins - 1}), 0L)"
+    )
+
+
+def _logarithmic_bin(bins: int) -> Column:
+    """Parts of equal ratio for an interval that spans many magnitudes, else equally wide ones.
+
+    In turns with even bins this bounds the rounds for any values: once the ends are within a factor
+    of 1024, every round takes log2(bins) binary digits off the interval.
+    """
+
+    def size(x: str) -> str:
+        return f"if({x} = 0, 0D, signum({x}) * (log2(abs({x})) + 1080))"
+
+    share = f"({size('v')} - {size('lo')}) / ({size('hi')} - {size('lo')})"
+    spread = "signum(lo) <> signum(hi) or greatest(abs(lo), abs(hi)) / 1024 > least(abs(lo), abs(hi))"
+    return F.when(
+        F.expr(f"hi > lo and ({spread})"),
+        F.expr(f"least(floor(if(hi > lo and ({spread}), {share}, 0D) * {bins}), {bins - 1})"),
+    ).otherwise(_even_bin(bins))
+
+
 def _narrow(
     rows: DataFrame,
     targets: DataFrame,
     keys: list[str],
     flags: list[str],
-    bins: int | None,
+    part: Column,
 ) -> DataFrame:
-    """Replace the searched interval of every rank by the bin (or, without bins, value) that holds it.
+    """Replace the searched interval of every rank by the part of it that holds the rank.
 
-    ``rank`` counts from the start of the interval.
+    ``part`` orders the values of an interval into parts; ``rank`` counts from the interval's start.
     """
     bracket = [*keys, "lo"]
     brackets = targets.select(*bracket, "hi").distinct()
     inside = rows.join(brackets, keys).where("v >= lo and v <= hi")
-    if bins is None:
-        part = F.col("v")
-    else:
-        # hi - lo may exceed the largest double, so both ends are scaled before subtracting.
-        span = F.col("hi") / bins - F.col("lo") / bins
-        offset = F.col("v") / bins - F.col("lo") / bins
-        part = F.when(
-            span > 0, F.least(F.floor(offset / span * bins), F.lit(bins - 1)).cast("long")
-        ).otherwise(F.lit(0).cast("long"))
     counted = inside.groupBy(*bracket, part.alias("part")).agg(
         F.min("v").alias("part_lo"),
         F.max("v").alias("part_hi"),

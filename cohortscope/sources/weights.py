@@ -94,7 +94,8 @@ def read_weights(
         .otherwise(F.lit(True))
         .alias("complete"),
     )
-    fields = F.split("line", "\t", -1)
+    # The column line has no fields, so that a later cast never meets a column name.
+    fields = F.when(F.col("line") != F.col("columns"), F.split("line", "\t", -1))
     return (
         body.join(layout, "file")
         .where(F.col("complete") & (F.col("line") != F.col("columns")))

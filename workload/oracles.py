@@ -37,8 +37,8 @@ LIN, LOG = TASKS[:1], TASKS[1:2]
 
 
 def r(expr: str, name: str) -> str:
-    """Rounded as in the queries; a mean of two-digit scores can lie halfway between six digits."""
-    return f"round({expr}, {9 if name == 'MEAN_PRS' else 6}) + 0.0 as {name}"
+    """Rounded as in the queries; moments of two-digit scores can lie halfway between six digits."""
+    return f"round({expr}, {9 if name in ('MEAN_PRS', 'VAR_PRS') else 6}) + 0.0 as {name}"
 
 
 def rows(tasks=TASKS, bad: str = _BAD) -> str:
@@ -138,10 +138,12 @@ def linear_full() -> str:
     last = len(names)
     pairs = [(i, j) for i in range(1, last + 1) for j in range(i, last + 1)]
     sums = ", ".join(f"covar_pop({names[i - 1]}, {names[j - 1]}) as c_{i}_{j}" for i, j in pairs)
-    entries = " union all ".join(
-        f"select {KEY}, use_sex, {i} as i, {j} as j, c_{min(i, j)}_{max(i, j)} as v from g"
-        for i in range(1, last + 1)
-        for j in range(1, last + 1)
+    values = ", ".join(
+        f"c_{min(i, j)}_{max(i, j)}" for i in range(1, last + 1) for j in range(1, last + 1)
+    )
+    entries = (
+        f"select *, (pos - 1) // {last} + 1 as i, (pos - 1) % {last} + 1 as j from "
+        f"(select {KEY}, use_sex, unnest([{values}]) as v, unnest(range(1, {last * last + 1})) as pos from g)"
     )
     first_sex = 2 + len(COVARIATES)
     used = (

@@ -26,9 +26,9 @@ KEY = ["task_id", "STRATA_ONE", "GROUP_ONE", "STRATA_TWO", "GROUP_TWO", "COVARIA
 
 
 def _round(df: DataFrame) -> DataFrame:
-    """Six digits; nine for the mean, which can lie halfway between six digits."""
+    """Six digits; nine for moments of the two-digit scores, which can lie halfway between six."""
     doubles = {f.name for f in df.schema if f.dataType.typeName() == "double"}
-    digits = {"MEAN_PRS": 9}
+    digits = {"MEAN_PRS": 9, "VAR_PRS": 9}
     return df.select(
         *(
             (F.round(c, digits.get(c, 6)) + 0.0).alias(c) if c in doubles else F.col(c)
