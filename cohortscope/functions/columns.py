@@ -28,20 +28,24 @@ def null_tokens(value: Column, tokens: tuple[str, ...]) -> Column:
     return F.when(~value.isin(*tokens), value) if tokens else value
 
 
-def known_group(value: Column, cfg: EvalConfig) -> Column:
+def quoted(texts: tuple[str, ...]) -> str:
+    """SQL literals."""
+    return ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in texts)
+
+
+def known_group(name: str, cfg: EvalConfig) -> Column:
     """The answer as text, null when it is one of the ambiguous ones (exact match)."""
-    text = value.cast("string")
-    return F.when(~text.isin(*cfg.ambiguous), text)
+    text = f"cast(`{name}` as string)"
+    return F.expr(f"if({text} in ({quoted(cfg.ambiguous)}), null, {text})")
 
 
-def missing_as_null(value: Column) -> Column:
+def missing_as_null(name: str) -> Column:
     """A number with NaN read as missing."""
-    number = value.cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.expr(f"nullif(cast(`{name}` as double), double('NaN'))")
 
 
-def all_present(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, (c.isNotNull() for c in columns), F.lit(True))
+def all_present(names: list[str]) -> Column:
+    return F.expr(" and ".join(f"`{n}` is not null" for n in names) or "true")
 
 
 def formula_mask(formula: str, score_ok: Column, covariates_ok: Column) -> Column:

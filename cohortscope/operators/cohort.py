@@ -75,7 +75,7 @@ def attach_tasks(
         raise ValueError(f"demographics lacks the columns {lacking}")
     key = "task_id" if "task_id" in joined.columns else "pgs"
     picked = F.element_at(
-        F.array(*(missing_as_null(F.col(c)) for c in outcomes)),
+        F.array(*(missing_as_null(c) for c in outcomes)),
         F.array_position(F.array(*(F.lit(c) for c in outcomes)), F.col("outcome")).cast("int"),
     )
     text = {f.name for f in joined.schema if isinstance(f.dataType, StringType)}
@@ -84,11 +84,11 @@ def attach_tasks(
         "task_id",
         "method",
         PERSON,
-        missing_as_null(F.col(SCORE)).alias(SCORE),
+        missing_as_null(SCORE).alias(SCORE),
         picked.alias("y"),
-        *(known_group(F.col(s), cfg).alias(stratum_column(s)) for s in cfg.strata),
+        *(known_group(s, cfg).alias(stratum_column(s)) for s in cfg.strata),
         *(
-            F.col(c) if c in text else missing_as_null(F.col(c)).alias(c)
+            F.col(c) if c in text else missing_as_null(c).alias(c)
             for c in cfg.covariates
         ),
     )
@@ -97,4 +97,4 @@ def attach_tasks(
 def covariates_ok(cfg: EvalConfig, use_sex: bool):
     """Complete covariates, with or without the sex covariate."""
     names = [c for c in cfg.covariates if use_sex or c != cfg.sex_covariate]
-    return all_present([F.col(c) for c in names])
+    return all_present(names)

@@ -89,12 +89,12 @@ def make_design(rows: DataFrame, cfg: EvalConfig) -> Design:
 
 
 def task_scales(rows: DataFrame, design: Design) -> dict[str, Scale]:
-    """Mean and deviation per request, one small row each."""
+    """Mean and spread per request, one small row each. Any shift and scale gives the same models."""
     columns = ["SCORE", *design.numeric, "y"]
     stats = rows.groupBy("task_id", "method").agg(
-        *(F.expr(f"avg(`{c}`)").alias(f"m{i}") for i, c in enumerate(columns)),
-        *(F.expr(f"stddev_pop(`{c}`)").alias(f"s{i}") for i, c in enumerate(columns)),
-        F.expr("count_if(y not in (0, 1))").alias("other"),
+        *(F.expr(f"avg(`{c}`) as m{i}") for i, c in enumerate(columns)),
+        *(F.expr(f"avg(`{c}` * `{c}`) as q{i}") for i, c in enumerate(columns)),
+        F.expr("count_if(y not in (0, 1)) as other"),
     )
     scales = {}
     for row in stats.collect():
@@ -102,7 +102,9 @@ def task_scales(rows: DataFrame, design: Design) -> dict[str, Scale]:
         if logistic and row.other:
             raise ValueError(f"{row.task_id}: the outcome of a logistic request must be 0 or 1")
         shift = np.array([row[f"m{i}"] or 0.0 for i in range(len(columns))])
-        scale = np.array([row[f"s{i}"] or 1.0 for i in range(len(columns))])
+        square = np.array([row[f"q{i}"] or 0.0 for i in range(len(columns))])
+        spread = square - shift * shift
+        scale = np.sqrt(np.where(spread > 1e-12 * square, spread, 1.0))
         if logistic:
             shift[-1], scale[-1] = 0.0, 1.0
         scales[row.task_id] = Scale(shift, scale, logistic)

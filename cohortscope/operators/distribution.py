@@ -11,6 +11,7 @@ from cohortscope.config import LOGISTIC, EvalConfig
 from cohortscope.operators.cohort import stratum_column
 from cohortscope.operators.quantiles import exact_quantiles
 from cohortscope.operators.summary import QUARTILES
+from cohortscope.plans.scratch import written
 
 GROUP = ["task_id", "stratum", "group"]
 VIOLIN = [*GROUP, "hue"]
@@ -94,39 +95,39 @@ def violin_box(plot: DataFrame, cfg: EvalConfig) -> DataFrame:
 def violin_density(plot: DataFrame, grid: int = GRID, cut: float = CUT) -> DataFrame:
     """Gaussian density of every violin on an even grid, with Scott's bandwidth.
 
-    Equal scores are counted first; the kernel sums are then combined on the map side, so the shuffle
-    is groups times grid points. A violin without spread has no density.
+    Equal scores are counted first. Every row then adds to one sum per grid point, combined on the
+    map side, so the shuffle is groups times grid points. A violin without spread has no density.
     """
-    ties = plot.groupBy(*VIOLIN, "SCORE").agg(F.count(F.lit(1)).alias("w"))
+    ties = written(plot.groupBy(*VIOLIN, "SCORE").agg(F.count(F.lit(1)).alias("w")), "violin-ties")
+    middle = ties.groupBy(*VIOLIN).agg(
+        F.sum("w").alias("n"),
+        (F.sum(F.col("w") * F.col("SCORE")) / F.sum("w")).alias("mean"),
+        F.min("SCORE").alias("lo"),
+        F.max("SCORE").alias("hi"),
+    )
+    away = F.col("SCORE") - F.col("mean")
     shape = (
-        plot.groupBy(*VIOLIN)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.stddev_samp("SCORE").alias("sd"),
-            F.min("SCORE").alias("lo"),
-            F.max("SCORE").alias("hi"),
-        )
-        .where("sd > 0")
-        .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+        ties.join(middle, VIOLIN)
+        .groupBy(*VIOLIN, "n", "lo", "hi")
+        .agg(F.sum(F.col("w") * away * away).alias("squares"))
+        .where("squares > 0")
+        .withColumn("h", F.expr("sqrt(squares / (n - 1)) * pow(n, -0.2D)"))
         .select(
             *VIOLIN,
             "n",
             "h",
-            (F.col("lo") - cut * F.col("h")).alias("start"),
-            ((F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid - 1)).alias("pace"),
+            F.expr(f"lo - {cut}D * h").alias("start"),
+            F.expr(f"(hi - lo + {2 * cut}D * h) / {grid - 1}").alias("pace"),
         )
     )
-    at = F.col("start") + F.col("pace") * F.col("point")
-    z = (at - F.col("SCORE")) / F.col("h")
-    return (
-        ties.join(shape, VIOLIN)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .groupBy(*VIOLIN, "point", "n", "h", at.alias("x"))
-        .agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("kernels"))
-        .select(
-            *VIOLIN,
-            "point",
-            "x",
-            (F.col("kernels") / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))).alias("density"),
-        )
+    kernel = "sum(w * exp(-0.5D * pow((start + pace * {0} - SCORE) / h, 2)))"
+    sums = ties.join(shape, VIOLIN).groupBy(*VIOLIN, "n", "h", "start", "pace").agg(
+        *(F.expr(kernel.format(k)).alias(f"k{k}") for k in range(grid))
+    )
+    points = F.posexplode(F.expr("array(" + ", ".join(f"k{k}" for k in range(grid)) + ")"))
+    return sums.select(*VIOLIN, "n", "h", "start", "pace", points.alias("point", "kernels")).select(
+        *VIOLIN,
+        "point",
+        F.expr("start + pace * point").alias("x"),
+        F.expr("kernels / (n * h * sqrt(2 * pi()))").alias("density"),
     )

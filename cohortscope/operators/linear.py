@@ -11,6 +11,7 @@ from cohortscope.config import BOTH, COVARIATES_ONLY, PRS_ONLY, EvalConfig
 from cohortscope.operators.design import Design, Scale
 from cohortscope.operators.moments import triangle, unfold
 from cohortscope.operators.strata import TASK_CELL
+from cohortscope.plans.ship import ship
 from cohortscope.plans.vectors import as_matrix
 
 # Directions of the correlation matrix below this share are taken as collinear.
@@ -87,6 +88,7 @@ def solve_cells(
     moments: DataFrame, design: Design, scales: dict[str, Scale], cfg: EvalConfig
 ) -> DataFrame:
     """One row per request, cell and formula: n, score moments, R2, MSE, start coefficients."""
+    ship(moments.sparkSession)
     shared = moments.sparkSession.sparkContext.broadcast(scales)
     use_sex = np.array([s.use_sex for s in cfg.strata_sets()])
     size = len(triangle(design.width)[0])

@@ -27,7 +27,8 @@ from cohortscope.operators.design import (
 )
 from cohortscope.operators.moments import FLUSH_BYTES, triangle, unfold
 from cohortscope.plans.scratch import scratch_path
-from cohortscope.plans.vectors import BLOCK_FIELDS, as_matrix, blocks, joined_blocks, sum_blocks
+from cohortscope.plans.ship import ship
+from cohortscope.plans.vectors import BLOCK_FIELDS, as_matrix, blocks, sum_vectors
 
 # Loss and label counts at the head of each emitted vector.
 HEAD = ("loss", "tp", "fp", "tn", "fn")
@@ -48,6 +49,7 @@ def logistic_gate(cfg: EvalConfig):
 
 def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list, state: dict, cfg):
     """Loss, gradient, Hessian and label counts of the active models, solved for their next step."""
+    ship(rows.sparkSession)
     sc = rows.sparkSession.sparkContext
     wanted: dict = {}
     for m in np.flatnonzero(state["active"]):
@@ -156,8 +158,7 @@ def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: l
                 yield pa.RecordBatch.from_pydict(out)
 
     needed = rows.where(F.col("task_id").isin(*wanted)).select(*input_columns(design, cfg))
-    summed = sum_blocks(needed.mapInArrow(partial, "model int, " + BLOCK_FIELDS), ["model"])
-    vectors = summed.groupBy("model").agg(F.expr(joined_blocks()).alias("vector"))
+    vectors = sum_vectors(needed.mapInArrow(partial, "model int, " + BLOCK_FIELDS), ["model"])
     steps = vectors.mapInArrow(
         solve,
         "model int, loss double, tp long, fp long, tn long, fn long, step array<double>",

@@ -9,12 +9,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortscope.config import EvalConfig
 from cohortscope.operators.design import Design, Scale, input_columns, task_rows
 from cohortscope.operators.strata import TASK_CELL
-from cohortscope.plans.vectors import BLOCK_FIELDS, blocks, joined_blocks, sum_blocks
+from cohortscope.plans.ship import ship
+from cohortscope.plans.vectors import BLOCK_FIELDS, blocks, sum_vectors
 
 # Partial sums a Python worker may hold before it hands them on.
 FLUSH_BYTES = 64 << 20
@@ -53,6 +53,7 @@ def cell_moments(
 
     With ``holdout`` the rows flagged ``held`` are summed apart, as ``h0``, ``h1``, ``h2``.
     """
+    ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(scales)
     sets = cfg.strata_sets()
     i, j = triangle(design.width)
@@ -89,10 +90,7 @@ def cell_moments(
         + BLOCK_FIELDS
     )
     needed = rows.select(*input_columns(design, cfg, ["held"] if holdout else []))
-    summed = sum_blocks(needed.mapInArrow(partial, schema), [*TASK_CELL, "class", "held"])
     parts = {f"c{c}": f"class = {c} and not held" for c in range(3)}
     if holdout:
         parts |= {f"h{c}": f"class = {c} and held" for c in range(3)}
-    return summed.groupBy(*TASK_CELL).agg(
-        *(F.expr(joined_blocks(where)).alias(name) for name, where in parts.items())
-    )
+    return sum_vectors(needed.mapInArrow(partial, schema), TASK_CELL, parts)

@@ -14,6 +14,7 @@ from cohortscope.functions.columns import formula_mask, test_size
 from cohortscope.operators.cohort import stratum_column
 from cohortscope.operators.quantiles import exact_quantiles
 from cohortscope.operators.strata import TASK_CELL, fan_out, named_cells, with_completeness
+from cohortscope.plans.scratch import written
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -35,23 +36,24 @@ def cell_sizes(rows: DataFrame, cfg: EvalConfig) -> DataFrame:
         "cases": (F.col("y") == 1).cast("long"),
         "controls": (F.col("y") == 0).cast("long"),
     }
-    fanned = fan_out(
-        _combined(rows, cfg, sums), cfg, ["task_id", "method", "score_ok", *sums]
-    )
-    formulas = F.array(
-        *(
-            F.struct(
-                F.lit(f).alias("formula"),
-                formula_mask(f, F.col("score_ok"), F.col("covariates_ok")).alias("used"),
-            )
-            for f in cfg.formulas
-        )
+    fanned = fan_out(_combined(rows, cfg, sums), cfg, ["task_id", "method", "score_ok", *sums])
+    masked = [
+        F.sum(F.when(formula_mask(f, F.col("score_ok"), F.col("covariates_ok")), F.col(c))).alias(f"{c}{i}")
+        for i, f in enumerate(cfg.formulas)
+        for c in sums
+    ]
+    per_formula = ", ".join(
+        f"'{f}', " + ", ".join(f"{c}{i}" for c in sums) for i, f in enumerate(cfg.formulas)
     )
     return (
-        fanned.select("*", F.inline(formulas))
-        .where("used")
-        .groupBy(*TASK_CELL, "method", "formula")
-        .agg(*(F.sum(c).alias(c) for c in sums))
+        fanned.groupBy(*TASK_CELL, "method")
+        .agg(*masked)
+        .select(
+            *TASK_CELL,
+            "method",
+            F.expr(f"stack({len(cfg.formulas)}, {per_formula})").alias("formula", *sums),
+        )
+        .where("n > 0")
     )
 
 
@@ -85,32 +87,24 @@ def score_summary(rows: DataFrame, cfg: EvalConfig) -> DataFrame:
     scored = with_completeness(rows, cfg).where("y is not null and SCORE is not null")
     fanned = fan_out(scored, cfg, ["task_id", "SCORE"])
     both = F.when(F.col("covariates_ok"), F.col("SCORE"))
+    formulas = [(f, m) for f, m in ((PRS_ONLY, "SCORE"), (BOTH, "if(covariates_ok, SCORE, null)")) if f in cfg.formulas]
     stats = fanned.groupBy(*TASK_CELL).agg(
-        F.count("SCORE").alias("n1"),
-        F.avg("SCORE").alias("mean1"),
-        F.var_samp("SCORE").alias("var1"),
-        F.count(both).alias("n2"),
-        F.avg(both).alias("mean2"),
-        F.var_samp(both).alias("var2"),
+        *(
+            F.expr(f"{function}({m})").alias(f"{name}{i}")
+            for i, (_, m) in enumerate(formulas)
+            for name, function in (("n", "count"), ("mean", "avg"), ("var", "var_samp"))
+        )
+    )
+    per_formula = ", ".join(f"'{f}', n{i}, mean{i}, var{i}" for i, (f, _) in enumerate(formulas))
+    long = written(
+        stats.select(
+            *TASK_CELL,
+            F.expr(f"stack({len(formulas)}, {per_formula})").alias("formula", "n", "MEAN_PRS", "VAR_PRS"),
+        ).where("n > 0"),
+        "score-summary",
     )
-    long = stats.select(
-        *TASK_CELL,
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(f).alias("formula"),
-                        F.col(f"n{i}").alias("n"),
-                        F.col(f"mean{i}").alias("MEAN_PRS"),
-                        F.col(f"var{i}").alias("VAR_PRS"),
-                    )
-                    for i, f in ((1, PRS_ONLY), (2, BOTH))
-                    if f in cfg.formulas
-                )
-            )
-        ),
-    ).where("n > 0")
-    return long.join(score_quartiles(rows, cfg), [*TASK_CELL, "formula"]).select(
+    largest = long.agg(F.max("n")).first()[0] or 0
+    return long.join(score_quartiles(rows, cfg, largest), [*TASK_CELL, "formula"]).select(
         "task_id",
         *named_cells(cfg),
         F.col("formula").alias("COVARIATES"),

@@ -1,7 +1,7 @@
 """Sums of many long vectors, one per key, as an ordinary grouped aggregation.
 
-Python tasks emit their partial vectors in blocks of a fixed width. The blocks are added by Spark's
-hash aggregate, spread over (key, block), so no task ever holds more than one key's sum.
+Python tasks add up their own rows first and emit one partial vector per key, in blocks of a fixed
+width. Spark's hash aggregate adds the blocks, so a task holds sums, never the partial vectors.
 """
 
 from __future__ import annotations
@@ -27,18 +27,26 @@ def blocks(vectors: np.ndarray) -> tuple[np.ndarray, dict[str, pa.Array]]:
     return np.repeat(np.arange(count), per), columns
 
 
-def sum_blocks(partial: DataFrame, keys: list[str]) -> DataFrame:
-    return partial.groupBy(*keys, "block").agg(
-        *(F.expr(f"sum(v{i})").alias(f"v{i}") for i in range(WIDTH))
-    )
-
+def sum_vectors(partial: DataFrame, keys: list[str], parts: dict[str, str] | None = None) -> DataFrame:
+    """Add the blocks of every key and put them back together as arrays.
 
-def joined_blocks(where: str = "true") -> str:
-    """SQL aggregate that puts the blocks of a key back together as one array."""
+    ``parts`` names arrays by a condition on further columns of ``partial``. The blocks are shuffled
+    once, by key: both aggregations use that partitioning, and the first one streams.
+    """
+    parts = parts or {"vector": "true"}
+    further = [c for c in partial.columns if c not in keys and not c.startswith("v")]
+    sums = partial.repartition(*keys).groupBy(*keys, *further).agg(
+        *(F.expr(f"sum(v{i}) as v{i}") for i in range(WIDTH))
+    )
     values = ", ".join(f"v{i}" for i in range(WIDTH))
     entry = f"struct(block, array({values}) as x)"
-    return (
-        f"flatten(transform(array_sort(collect_list({entry}) filter (where {where})), e -> e.x))"
+    return sums.groupBy(*keys).agg(
+        *(
+            F.expr(
+                f"flatten(transform(array_sort(collect_list({entry}) filter (where {where})), e -> e.x)) as {name}"
+            )
+            for name, where in parts.items()
+        )
     )
 
 

@@ -27,7 +27,7 @@ def normal(frame: pd.DataFrame) -> list[tuple]:
     def value(v):
         if v is None or v != v:
             return None
-        return round(float(v), 9) + 0.0 if isinstance(v, (int, float)) and not isinstance(v, bool) else v
+        return round(float(v), 10) + 0.0 if isinstance(v, (int, float)) and not isinstance(v, bool) else v
 
     columns = sorted(frame.columns)
     out = [tuple(value(v) for v in row) for row in frame[columns].astype(object).itertuples(index=False)]

@@ -162,7 +162,7 @@ def test_column_rules(spark):
     got = df.select(
         method_of(F.col("reg")).alias("m"),
         outcome_of(F.col("phenotype"), {"bmi": "obesity"}).alias("o"),
-        known_group(F.col("answer"), EvalConfig()).alias("g"),
+        known_group("answer", EvalConfig()).alias("g"),
     ).collect()
     assert [tuple(r) for r in got] == [("logistic", "obesity", None), ("logistic", "t2d", "Another"), ("linear", "obesity", None)]
     assert len(AMBIGUOUS) == 10

@@ -6,6 +6,8 @@ checks can build the same inputs on both sides.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Multipliers of the sixteen principal-component columns.
@@ -85,8 +87,17 @@ def duck(sql: str) -> str:
     return sql.format(**{t: t for t in TABLES})
 
 
+@lru_cache(maxsize=256)
+def _table(spark: SparkSession, application: str, path: str) -> DataFrame:
+    """The schema of a file is looked up once per application."""
+    return spark.read.parquet(path)
+
+
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql}
+    application = spark.sparkContext.applicationId
+    tables = {
+        t: _table(spark, application, f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql
+    }
     return spark.sql(sql.replace("varchar(20)", "string"), **tables)
 
 

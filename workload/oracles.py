@@ -38,7 +38,7 @@ LIN, LOG = TASKS[:1], TASKS[1:2]
 
 def r(expr: str, name: str) -> str:
     """Rounded as in the queries; moments of two-digit scores can lie halfway between six digits."""
-    return f"round({expr}, {9 if name in ('MEAN_PRS', 'VAR_PRS') else 6}) + 0.0 as {name}"
+    return f"round({expr}, {10 if name in ('MEAN_PRS', 'VAR_PRS') else 6}) + 0.0 as {name}"
 
 
 def rows(tasks=TASKS, bad: str = _BAD) -> str:

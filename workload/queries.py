@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from cohortscope.config import EvalConfig
 from cohortscope.operators import distribution as dist
 from cohortscope.operators import strata, summary
-from cohortscope.operators.cohort import build_cohort, prepare_tasks
+from cohortscope.operators.cohort import attach_tasks, build_cohort, prepare_tasks
 from cohortscope.operators.design import make_design
-from cohortscope.operators.evaluate import fit_cells, linear_report, logistic_report
+from cohortscope.operators.evaluate import clustered, fit_cells, linear_report, logistic_report
 from cohortscope.operators.incremental import incremental
 from cohortscope.operators.scoring import score_people
 from cohortscope.pipeline import evaluate_requests
@@ -26,20 +26,26 @@ KEY = ["task_id", "STRATA_ONE", "GROUP_ONE", "STRATA_TWO", "GROUP_TWO", "COVARIA
 
 
 def _round(df: DataFrame) -> DataFrame:
-    """Six digits; nine for moments of the two-digit scores, which can lie halfway between six."""
+    """Six digits; ten for moments of the two-digit scores, which can lie halfway between six."""
     doubles = {f.name for f in df.schema if f.dataType.typeName() == "double"}
-    digits = {"MEAN_PRS": 9, "VAR_PRS": 9}
+    digits = {"MEAN_PRS": 10, "VAR_PRS": 10}
     return df.select(
         *(
-            (F.round(c, digits.get(c, 6)) + 0.0).alias(c) if c in doubles else F.col(c)
+            F.expr(f"round(`{c}`, {digits.get(c, 6)}) + 0D as `{c}`") if c in doubles else F.col(c)
             for c in df.columns
         )
     )
 
 
 def rows(spark: SparkSession, sf: str, cfg: EvalConfig = CFG, wanted=fixtures.REQUESTS) -> DataFrame:
+    """Rows of the requests, from the cohort that already holds score and demographics."""
     tasks = prepare_tasks(fixtures.requests(spark, wanted), cfg)
-    return build_cohort(fixtures.scores(spark, sf), fixtures.demographics(spark, sf), tasks, cfg, OUTCOMES)
+    return attach_tasks(fixtures.cohort(spark, sf), tasks, cfg, OUTCOMES)
+
+
+def stored_rows(spark: SparkSession, sf: str, cfg: EvalConfig = CFG, wanted=fixtures.REQUESTS) -> DataFrame:
+    """The same, written once, for operators that read them several times."""
+    return clustered(rows(spark, sf, cfg, wanted))
 
 
 def _named(df: DataFrame, *columns) -> DataFrame:
@@ -120,8 +126,12 @@ def person_score_imputed(spark, sf):
 
 
 def cohort_join(spark, sf):
+    tasks = prepare_tasks(fixtures.requests(spark), CFG)
+    joined = build_cohort(
+        fixtures.scores(spark, sf), fixtures.demographics(spark, sf), tasks, CFG, OUTCOMES
+    )
     return _round(
-        rows(spark, sf).select(
+        joined.select(
             "task_id",
             "method",
             "IID",
@@ -172,12 +182,12 @@ def cell_gates_legacy(spark, sf):
 
 
 def prs_summary(spark, sf):
-    return _round(summary.score_summary(rows(spark, sf, CFG, LIN), CFG))
+    return _round(summary.score_summary(stored_rows(spark, sf, CFG, LIN), CFG))
 
 
 def prs_summary_binned(spark, sf):
     """The same quartiles found by narrowing bins, as for groups too large to rank in one task."""
-    return _round(summary.score_summary(rows(spark, sf, CFG, LIN), CFG.with_(max_ranked=100)))
+    return _round(summary.score_summary(stored_rows(spark, sf, CFG, LIN), CFG.with_(max_ranked=100)))
 
 
 def case_counts(spark, sf):
@@ -215,7 +225,7 @@ def onehot_sex(spark, sf):
 
 def linear_prs_only(spark, sf):
     """Closed form, all in the JVM."""
-    return _round(summary.single_regressor(rows(spark, sf, CFG, LIN), CFG))
+    return _round(summary.single_regressor(stored_rows(spark, sf, CFG, LIN), CFG))
 
 
 def _linear(spark, sf, cfg, wanted=LIN, holdout=False):
@@ -275,7 +285,7 @@ def all_tasks_report(spark, sf):
 
 
 def distribution_input(spark, sf):
-    plot = dist.distribution(rows(spark, sf), CFG)
+    plot = dist.distribution(stored_rows(spark, sf), CFG)
     return _round(plot.groupBy(*dist.VIOLIN, "SCORE").agg(F.count(F.lit(1)).alias("people")))
 
 
@@ -284,11 +294,11 @@ def distribution_groups_exact(spark, sf):
 
 
 def distribution_quartiles(spark, sf):
-    return _round(dist.violin_box(dist.distribution(rows(spark, sf), CFG), CFG))
+    return _round(dist.violin_box(dist.distribution(stored_rows(spark, sf), CFG), CFG))
 
 
 def distribution_density(spark, sf):
-    return _round(dist.violin_density(dist.distribution(rows(spark, sf), CFG)))
+    return _round(dist.violin_density(dist.distribution(stored_rows(spark, sf), CFG)))
 
 
 QUERIES = {
