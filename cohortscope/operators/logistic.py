@@ -47,6 +47,21 @@ def logistic_gate(cfg: EvalConfig):
     return (F.col("n") > cfg.logistic_min_n) & (F.col("y_sum") > cfg.min_cases)
 
 
+def model_sums(x: np.ndarray, y: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """Loss, label counts, gradient and upper triangle of the Hessian of one model's rows."""
+    eta = x @ beta
+    tail = np.exp(-np.abs(eta))
+    share = 1.0 / (1.0 + tail)
+    hit = eta > 0
+    residual = y - np.where(hit, share, tail * share)
+    scaled = x * (np.sqrt(tail) * share)[:, None]
+    loss = np.maximum(eta, 0.0).sum() + np.log1p(tail).sum() - y @ eta
+    tp, positives, cases = y[hit].sum(), hit.sum(), y.sum()
+    fn = cases - tp
+    head = (loss, tp, positives - tp, len(y) - positives - fn, fn)
+    return np.concatenate([head, residual @ x, (scaled.T @ scaled)[triangle(len(beta))]])
+
+
 def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list, state: dict, cfg):
     """Loss, gradient, Hessian and label counts of the active models, solved for their next step."""
     ship(rows.sparkSession)
@@ -78,46 +93,21 @@ def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: l
                 if not any((s.set_id, f) in active for f in cfg.formulas):
                     continue
                 order, starts, labels = part.cuts(s)
-                if not len(order):
-                    continue
-                z = part.z[order]
-                y = z[:, -1]
+                z = part.z.take(order, axis=0)
                 cls = part.classes[s.use_sex][order]
-                ends = np.r_[starts[1:], len(order)]
-                for formula in cfg.formulas:
-                    cells = active.get((s.set_id, formula))
-                    if not cells:
-                        continue
-                    found = np.array([cells.get(label, -1) for label in labels])
-                    if (found < 0).all():
-                        continue
-                    first, last = columns[formula, s.use_sex]
-                    x = z[:, first:last]
-                    beta = mine["beta"][found, : last - first]
-                    eta = np.einsum("np,np->n", x, np.repeat(beta, ends - starts, axis=0))
-                    used = np.isin(cls, USED[formula]).astype(float)
-                    tail = np.exp(-np.abs(eta))
-                    p = np.where(eta > 0, 1.0, tail) / (1.0 + tail)
-                    residual = (y - p) * used
-                    weight = p * (1.0 - p) * used
-                    loss = (np.maximum(eta, 0.0) + np.log1p(tail) - y * eta) * used
-                    label = eta > 0
-                    head = np.add.reduceat(
-                        np.column_stack(
-                            [loss, y * label, (1 - y) * label, (1 - y) * ~label, y * ~label]
+                mixed = cls.any()
+                for a, b, label in zip(starts, np.r_[starts[1:], len(order)], labels):
+                    for formula in cfg.formulas:
+                        model = active.get((s.set_id, formula), {}).get(label)
+                        if model is None:
+                            continue
+                        cell = z[a:b]
+                        if mixed:
+                            cell = cell[np.isin(cls[a:b], USED[formula])]
+                        first, last = columns[formula, s.use_sex]
+                        value = model_sums(
+                            cell[:, first:last], cell[:, -1], mine["beta"][model, : last - first]
                         )
-                        * used[:, None],
-                        starts,
-                        axis=0,
-                    )
-                    gradient = np.add.reduceat(x * residual[:, None], starts, axis=0)
-                    weighted = x * weight[:, None]
-                    i, j = triangle(last - first)
-                    for k in np.flatnonzero(found >= 0):
-                        a, b = starts[k], ends[k]
-                        hessian = weighted[a:b].T @ x[a:b]
-                        value = np.concatenate([head[k], gradient[k], hessian[i, j]])
-                        model = int(found[k])
                         if model in sums:
                             sums[model] += value
                         else:

@@ -6,6 +6,8 @@ The shuffle depends on cells and columns, not on persons, and a cell of any size
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +22,7 @@ from cohortscope.plans.vectors import BLOCK_FIELDS, blocks, sum_vectors
 FLUSH_BYTES = 64 << 20
 
 
+@lru_cache(maxsize=64)
 def triangle(width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(width)
 
@@ -64,7 +67,7 @@ def cell_moments(
         for part in task_rows(batches, design, shared.value, cfg):
             for s in sets:
                 order, starts, labels = part.cuts(s)
-                z = part.z[order]
+                z = part.z.take(order, axis=0)
                 cls = part.classes[s.use_sex][order]
                 if part.held is not None:
                     cls = cls + 3 * part.held[order]
