@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.config import EvalConfig
+from cohortscope.config import LINEAR, LOGISTIC, EvalConfig
 from cohortscope.functions.columns import (
     balanced_accuracy,
     holdout_bucket,
@@ -24,6 +24,10 @@ from cohortscope.operators.summary import quartile_columns, score_quartiles
 from cohortscope.plans.scratch import written
 
 
+# Parts a request's rows are hashed to before Spark sizes the partitions.
+SPREAD = 64
+
+
 @dataclass
 class Evaluation:
     """Reports per method, before the incremental column is added."""
@@ -41,12 +45,14 @@ class Models:
 
 
 def clustered(rows: DataFrame) -> DataFrame:
-    """Write the rows once, each request's rows together.
+    """Write the rows once, those of a request next to each other.
 
-    Spark splits a request that is larger than a partition and merges small ones.
+    Spark splits partitions that come out too large and merges small ones, so one request may hold
+    most of the rows. The order lets a later pass over some requests skip the pages of the others.
     """
-    spread = F.pmod(F.xxhash64(PERSON), F.lit(1024))
-    return written(rows.withColumn("spread", spread).hint("rebalance", "task_id", "spread").drop("spread"), "cohort")
+    spread = F.pmod(F.xxhash64(PERSON), F.lit(SPREAD))
+    together = rows.withColumn("spread", spread).hint("rebalance", "task_id", "spread").drop("spread")
+    return written(together.sortWithinPartitions("task_id"), "cohort")
 
 
 def fit_cells(rows: DataFrame, cfg: EvalConfig, holdout: bool = False) -> Models:
@@ -62,9 +68,8 @@ def fit_cells(rows: DataFrame, cfg: EvalConfig, holdout: bool = False) -> Models
     return Models(rows, table, design, scales)
 
 
-def _with_quartiles(models: DataFrame, fitted: Models, cfg: EvalConfig, methods: set[bool]) -> DataFrame:
-    tasks = [t for t, s in fitted.scales.items() if s.logistic in methods]
-    rows = fitted.rows.where(F.col("task_id").isin(*tasks))
+def _with_quartiles(models: DataFrame, fitted: Models, cfg: EvalConfig, method: str) -> DataFrame:
+    rows = fitted.rows.where(F.col("method") == method)
     largest = models.agg(F.max("n")).first()[0] or 0
     quartiles = score_quartiles(rows, cfg, largest)
     return models.join(quartiles, [*TASK_CELL, "formula"], "left")
@@ -83,8 +88,7 @@ def _score_columns() -> list:
 
 def linear_report(fitted: Models, cfg: EvalConfig, holdout: bool = False) -> DataFrame:
     """Rows of the linear report: fit metrics, split sizes and score summaries."""
-    linear = [t for t, s in fitted.scales.items() if not s.logistic]
-    models = fitted.table.where(F.col("task_id").isin(*linear))
+    models = fitted.table.where(F.col("method") == LINEAR)
     if holdout:
         models = models.where(F.col("n") > cfg.linear_min_n).where(F.col("held") > cfg.linear_min_test)
         metrics = [F.col("held_rsq").alias("RSQ"), F.col("held_mse").alias("MSE")]
@@ -94,7 +98,7 @@ def linear_report(fitted: Models, cfg: EvalConfig, holdout: bool = False) -> Dat
         held = test_size(F.col("n"), cfg.test_fraction)
         metrics = [F.col("rsq").alias("RSQ"), F.col("mse").alias("MSE")]
         sizes = [(F.col("n") - held).alias("TRAINING_SIZE"), held.alias("TESTING_SIZE")]
-    return _with_quartiles(models, fitted, cfg, {False}).select(
+    return _with_quartiles(models, fitted, cfg, LINEAR).select(
         "task_id",
         *named_cells(cfg),
         F.col("formula").alias("COVARIATES"),
@@ -107,10 +111,9 @@ def linear_report(fitted: Models, cfg: EvalConfig, holdout: bool = False) -> Dat
 
 def logistic_report(fitted: Models, cfg: EvalConfig) -> DataFrame:
     """Rows of the logistic report: label counts, AUC of hard labels and score summaries."""
-    logistic = [t for t, s in fitted.scales.items() if s.logistic]
-    models = fitted.table.where(F.col("task_id").isin(*logistic)).where(logistic_gate(cfg))
+    models = fitted.table.where(F.col("method") == LOGISTIC).where(logistic_gate(cfg))
     labels = fit_logistic(fitted.rows, fitted.table, fitted.design, fitted.scales, cfg)
-    joined = _with_quartiles(models, fitted, cfg, {True}).join(
+    joined = _with_quartiles(models, fitted, cfg, LOGISTIC).join(
         labels.select(*TASK_CELL, "formula", "tp", "fp", "tn", "fn"), [*TASK_CELL, "formula"], "left"
     )
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))

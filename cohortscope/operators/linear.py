@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.config import BOTH, COVARIATES_ONLY, PRS_ONLY, EvalConfig
+from cohortscope.config import BOTH, COVARIATES_ONLY, LINEAR, LOGISTIC, PRS_ONLY, EvalConfig
 from cohortscope.operators.design import Design, Scale
 from cohortscope.operators.moments import triangle, unfold
 from cohortscope.operators.strata import TASK_CELL
@@ -20,7 +20,7 @@ CONSTANT_TOLERANCE = 1e-12
 CLASSES = {PRS_ONLY: (0, 1), BOTH: (0,), COVARIATES_ONLY: (0, 2)}
 
 MODEL_FIELDS = (
-    "task_id string, set_id int, group_one string, group_two string, formula string, n long, "
+    "task_id string, set_id int, group_one string, group_two string, method string, formula string, n long, "
     "y_sum double, mean_score double, var_score double, rsq double, mse double, "
     "held long, held_rsq double, held_mse double, start array<double>"
 )
@@ -104,6 +104,7 @@ def solve_cells(
                 for name in ("c0", "c1", "c2", *(("h0", "h1", "h2") if holdout else ()))
             }
             tasks = [shared.value[t] for t in table["task_id"].to_pylist()]
+            methods = pa.array([LOGISTIC if t.logistic else LINEAR for t in tasks])
             y_shift = np.array([t.shift[-1] for t in tasks])
             y_scale = np.array([t.scale[-1] for t in tasks])
             s_shift = np.array([t.shift[0] for t in tasks])
@@ -154,6 +155,7 @@ def solve_cells(
                         )
                     take = pa.array(rows)
                     keys = {k: table[k].combine_chunks().take(take) for k in TASK_CELL}
+                    keys["method"] = methods.take(take)
                     keys["formula"] = pa.array([formula] * len(rows))
                     yield pa.RecordBatch.from_pydict(keys | columns)
 

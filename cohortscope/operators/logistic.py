@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.config import BOTH, COVARIATES_ONLY, PRS_ONLY, EvalConfig
+from cohortscope.config import BOTH, COVARIATES_ONLY, LOGISTIC, PRS_ONLY, EvalConfig
 from cohortscope.operators.design import (
     COMPLETE,
     NO_SCORE,
@@ -222,13 +222,12 @@ def fit_logistic(
     Models with one class only are not fitted.
     """
     spark = rows.sparkSession
-    gated = models.where(logistic_gate(cfg)).where(F.col("n") > F.col("y_sum"))
-    logistic = sorted(t for t, s in scales.items() if s.logistic)
+    gated = models.where((F.col("method") == LOGISTIC) & logistic_gate(cfg) & (F.col("n") > F.col("y_sum")))
     path = scratch_path(spark, "label-counts")
     spark.createDataFrame([], COUNT_FIELDS).write.parquet(path)
     sizes = {
         r.task_id: r["count"]
-        for r in gated.where(F.col("task_id").isin(*logistic)).groupBy("task_id").count().collect()
+        for r in gated.groupBy("task_id").count().collect()
     }
     rounds: list[list[str]] = []
     room = 0

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from cohortscope.plans.scratch import written
 
 BINS = 1024
+# Search intervals are sent to all tasks when they are counted to be at most this many.
+BROADCAST_TARGETS = 500_000
 
 
 def exact_quantiles(
@@ -25,7 +27,7 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     masks: Mapping[str, Column] | None = None,
-    max_ranked: int = 1_000_000,
+    max_ranked: int = 250_000,
     largest: int | None = None,
     bins: int = BINS,
 ) -> DataFrame:
@@ -52,14 +54,15 @@ def exact_quantiles(
     targets = written(
         _first_targets(rows, keys, list(flags), probabilities), "quantile-targets"
     )
+    few = targets.count() <= BROADCAST_TARGETS
     even, logarithmic = _even_bin(bins), _logarithmic_bin(bins)
     part = even
     while largest > max_ranked:
-        targets = written(_narrow(rows, targets, keys, list(flags), part), "quantile-targets")
+        targets = written(_narrow(rows, targets, keys, list(flags), part, few), "quantile-targets")
         # A bin whose values are all equal is resolved, however many rows it has.
         largest = targets.where("lo < hi").agg(F.max("width")).first()[0] or 0
         part = logarithmic if part is even else even
-    found = _narrow(rows, targets, keys, list(flags), F.col("v"))
+    found = _narrow(rows, targets, keys, list(flags), F.col("v"), few)
     names = F.array(*(F.lit(name) for name in masks))
     low = F.max(F.when(F.col("side") == 0, F.col("lo")))
     high = F.max(F.when(F.col("side") == 1, F.col("lo")))
@@ -151,6 +154,7 @@ def _narrow(
     keys: list[str],
     flags: list[str],
     part: Column,
+    few: bool,
 ) -> DataFrame:
     """Replace the searched interval of every rank by the part of it that holds the rank.
 
@@ -158,7 +162,8 @@ def _narrow(
     """
     bracket = [*keys, "lo"]
     brackets = targets.select(*bracket, "hi").distinct()
-    inside = rows.join(brackets, keys).where("v >= lo and v <= hi")
+    # Every group keeps the same number of targets, so their count holds for all rounds.
+    inside = rows.join(F.broadcast(brackets) if few else brackets, keys).where("v >= lo and v <= hi")
     counted = inside.groupBy(*bracket, part.alias("part")).agg(
         F.min("v").alias("part_lo"),
         F.max("v").alias("part_hi"),
