@@ -65,10 +65,10 @@ def read_scores(
     paths: str | list[str],
     null_values: tuple[str, ...] = NULL_TOKENS,
 ) -> DataFrame:
-    """Score files ``<request id>_prs.sscore``, keyed by the request id in the file name."""
+    """Score files (or folders) ``<request id>_prs.sscore``, keyed by the request id in the name."""
     raw = _by_name(spark, paths)
     names = {c.lstrip("#"): c for c in raw.columns}
-    task = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)_prs\.sscore", 1)
+    task = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)_prs\.sscore", 1)
     return raw.select(
         task.alias("task_id"),
         *(

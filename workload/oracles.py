@@ -101,7 +101,7 @@ from m where n > 20"""
 
 # R2 on SCORE, on age and on both, from pairwise correlations.
 _AGE_RSQ = f"""c as (select {CELL}, count(*) as n, var_pop(y) as vy, corr(y, SCORE) as r1, corr(y, age) as r2, corr(SCORE, age) as r12
- from fan where y is not null and SCORE is not null group by {CELL}),
+ from fan where method = 'linear' and y is not null and SCORE is not null group by {CELL}),
 m as (select *, 'prs_only' as COVARIATES, r1 * r1 as q from c
  union all select *, 'covariates_only' as COVARIATES, r2 * r2 as q from c
  union all select *, 'prs_and_covariates' as COVARIATES, (r1 * r1 + r2 * r2 - 2 * r1 * r2 * r12) / (1 - r12 * r12) as q from c)"""
@@ -183,7 +183,7 @@ def newton(names) -> str:
         "covariates_only": ("age", "cast(0 as double)"),
     }
     data = " union all ".join(
-        f"select {CELL}, '{n}' as COVARIATES, SCORE, y, {columns[n][0]} as a, {columns[n][1]} as b from fan where y is not null and SCORE is not null"
+        f"select {CELL}, '{n}' as COVARIATES, SCORE, y, {columns[n][0]} as a, {columns[n][1]} as b from fan where method = 'logistic' and y is not null and SCORE is not null"
         for n in names
     )
     same = " and ".join(f"x.{c} is not distinct from s.{c}" for c in KEY.split(", "))
@@ -226,6 +226,36 @@ select {KEY}, round(max(case when COVARIATES = 'prs_and_covariates' then auc end
 from fitted window w as (partition by {CELL})"""
 
 
+_SCORES = ("MEAN_PRS", "MEDIAN_PRS", "VAR_PRS", "PRS_Q1", "PRS_Q2", "PRS_Q3")
+
+
+def all_tasks_age() -> str:
+    """Both reports of all requests; the columns of the other method are null."""
+    shown = ", ".join(
+        f"case when COVARIATES <> 'covariates_only' then {c} end as {c}" for c in _SCORES
+    )
+
+    def gain(metric: str) -> str:
+        return (
+            f"round(max(case when COVARIATES = 'prs_and_covariates' then {metric} end) over w - "
+            f"max(case when COVARIATES = 'covariates_only' then {metric} end) over w, 6) + 0.0"
+        )
+
+    phenotype = "case when method = 'logistic' then 'bmi' else 'waist_circumference' end"
+    outcome = "case when method = 'logistic' then 'obesity' else 'waist_circumference' end"
+    about = f"'PGS900001' as PGS, {phenotype} as phenotype, {outcome} as outcome, method"
+    same = " and ".join(f"l.{c} is not distinct from s.{c}" for c in KEY.split(", "))
+    key = ", ".join(f"l.{c}" for c in KEY.split(", "))
+    return f"""with recursive {fan(columns=', age')}, {formulas()}, {newton(_ALL)}, {_AGE_RSQ}, summary as ({_SUMMARY}),
+lin as (select {KEY}, 'linear' as method, {r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')}, n - cast(ceil(0.2::double * n) as bigint) as TRAINING_SIZE,
+ cast(ceil(0.2::double * n) as bigint) as TESTING_SIZE, n as N, {gain('q')} as INCREMENTAL_RSQ_PRS from m where n > 20 window w as (partition by {CELL})),
+log as (select {KEY}, 'logistic' as method, {r('auc', 'AUC')}, {_SHOWN}, {_CASES}, {gain('auc')} as INCREMENTAL_AUC_PRS from fitted window w as (partition by {CELL})),
+l as (select * from lin union all by name select * from log)
+select {about}, {key}, AUC, TRUE_POSITIVE, FALSE_POSITIVE, TRUE_NEGATIVE, FALSE_NEGATIVE, DISEASE_PREV, {shown.replace('COVARIATES <>', 'l.COVARIATES <>')}, CASES, CONTROLS,
+ RSQ, MSE, TRAINING_SIZE, TESTING_SIZE, l.N as N, INCREMENTAL_AUC_PRS, INCREMENTAL_RSQ_PRS
+from l join summary s on {same}"""
+
+
 def plot(exact: bool = False) -> str:
     """CTEs long_ (rows per stratum), groups (drawn groups) and plot."""
     parts = " union all ".join(
@@ -276,6 +306,8 @@ def _total(d: str, score: str | None = None) -> str:
 LEGACY_BAD = ", ".join(f"'{b}'" for b in BAD if b != "other")
 _LEGACY_GATE = "(case when method = 'logistic' then n > 100 and y_sum > 20 else n >= 101 end)"
 
+COHORT_JOIN = f"""with {rows()} select task_id, method, IID, {r('SCORE', 'SCORE')}, {r('y', 'y')}, {', '.join('stratum_' + s for s in STRATA)},
+ sex, {r('age', 'age')}, {r('agesq', 'agesq')}, {r('pca_1', 'pca_1')}, {r('pca_16', 'pca_16')} from rows_"""
 ORACLES = {
     "request_map": f"""with q as ({fx.duck(fx.PART_REQUESTS)}), v as ({fx.duck(fx.PART_VERSIONS)})
 select concat(q.pgs, '_', phenotype, '_', regression) as id, concat(q.pgs, '_formatted_hmPOS_GRCh38.txt.gz') as weight_file, version, phenotype, regression, q.pgs,
@@ -295,8 +327,8 @@ from ({fx.duck(fx.WEIGHTS)}) group by pgs""",
         _total("d", "case when count(d) > 0 then sum(d * weight) / (2 * count(d)) else sum(d * weight) end")
     ),
     "person_score_imputed": scoring(_total("coalesce(d, expected)")),
-    "cohort_join": f"""with {rows()} select task_id, method, IID, {r('SCORE', 'SCORE')}, {r('y', 'y')}, {', '.join('stratum_' + s for s in STRATA)},
- sex, {r('age', 'age')}, {r('agesq', 'agesq')}, {r('pca_1', 'pca_1')}, {r('pca_16', 'pca_16')} from rows_""",
+    "cohort_join": COHORT_JOIN,
+    "cohort_from_files": COHORT_JOIN,
     "strata_groups": f"with {rows()} "
     + " union ".join(
         f"""select '{s}' as stratum, stratum_{s} as "group" from rows_ where stratum_{s} is not null""" for s in STRATA
@@ -320,6 +352,8 @@ from ({fx.duck(fx.WEIGHTS)}) group by pgs""",
     "linear_two_covariates": LINEAR_AGE,
     "linear_full": linear_full(),
     "incremental_rsq": INCREMENTAL_RSQ,
+    "incremental_stored_report": INCREMENTAL_RSQ,
+    "all_tasks_age": all_tasks_age(),
     "linear_holdout": LINEAR_HOLDOUT,
     "logistic_prs_only": LOGISTIC_PRS_ONLY,
     "logistic_age": LOGISTIC_AGE,

@@ -14,7 +14,8 @@ from cohortscope.operators.evaluate import clustered, fit_cells, linear_report,
 from cohortscope.operators.incremental import incremental
 from cohortscope.operators.scoring import score_people
 from cohortscope.pipeline import evaluate_requests
-from cohortscope.sources import tables, weights
+from cohortscope.plans.scratch import scratch_path
+from cohortscope.sources import reports, tables, weights
 from workload import fixtures, raw_files
 
 CFG = EvalConfig()
@@ -58,9 +59,15 @@ def _named(df: DataFrame, *columns) -> DataFrame:
 
 
 def request_map(spark, sf):
-    requests = fixtures.run(spark, sf, fixtures.PART_REQUESTS)
+    """Request file, task map file, and the tasks read back from it."""
+    path = scratch_path(spark, "requests")
+    fixtures.run(spark, sf, fixtures.PART_REQUESTS).write.csv(path, sep=" ")
     versions = fixtures.run(spark, sf, fixtures.PART_VERSIONS)
-    task_map = tables.build_task_map(requests, versions)
+    path_of_map = scratch_path(spark, "task-map")
+    tables.write_task_map(
+        tables.build_task_map(tables.read_requests(spark, path), versions), path_of_map
+    )
+    task_map = tables.read_task_map(spark, path_of_map)
     wanted = prepare_tasks(tables.requests_of_map(task_map), CFG)
     return task_map.join(
         wanted.select(F.col("task_id").alias("id"), "pgs", "outcome", "method"), "id"
@@ -127,9 +134,34 @@ def person_score_imputed(spark, sf):
 
 def cohort_join(spark, sf):
     tasks = prepare_tasks(fixtures.requests(spark), CFG)
-    joined = build_cohort(
-        fixtures.scores(spark, sf), fixtures.demographics(spark, sf), tasks, CFG, OUTCOMES
+    return _cohort(
+        build_cohort(fixtures.scores(spark, sf), fixtures.demographics(spark, sf), tasks, CFG, OUTCOMES)
+    )
+
+
+def cohort_from_files(spark, sf):
+    """The same from score files, one per request, and a demographics file."""
+    text = {"sep": "\t", "header": True, "nullValue": "NA"}
+    tasks = prepare_tasks(fixtures.requests(spark), CFG)
+    folder = scratch_path(spark, "scores")
+    scores = fixtures.scores(spark, sf).drop("pgs").withColumn("FID", F.lit(0))
+    paths = [f"{folder}/{'_'.join(request)}_prs.sscore" for request in fixtures.REQUESTS]
+    for path in paths:
+        scores.write.options(**text).csv(path)
+    people = scratch_path(spark, "demographics")
+    fixtures.demographics(spark, sf).write.options(**text).csv(people)
+    return _cohort(
+        build_cohort(
+            tables.read_scores(spark, paths),
+            tables.read_demographics(spark, people, CFG, OUTCOMES),
+            tasks,
+            CFG,
+            OUTCOMES,
+        )
     )
+
+
+def _cohort(joined: DataFrame) -> DataFrame:
     return _round(
         joined.select(
             "task_id",
@@ -248,6 +280,15 @@ def incremental_rsq(spark, sf):
     return _round(report.select(*KEY, "INCREMENTAL_RSQ_PRS"))
 
 
+def incremental_stored_report(spark, sf):
+    """The report written as text, read back, and the gain taken from the stored rows."""
+    path = scratch_path(spark, "report")
+    about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
+    reports.export_report(reports.report_table(_linear(spark, sf, AGE), about, "linear"), path, "None")
+    report = incremental(reports.read_report(spark, path, "linear"), "RSQ")
+    return _round(report.select(*KEY, "INCREMENTAL_RSQ_PRS"))
+
+
 def linear_holdout(spark, sf):
     cfg = CFG.with_(covariates=(), formulas=("prs_only",), linear_min_n=100, linear_min_test=20)
     report = _linear(spark, sf, cfg, holdout=True)
@@ -275,6 +316,15 @@ def logistic_full(spark, sf):
     return incremental(_logistic(spark, sf, CFG), "AUC")
 
 
+def all_tasks_age(spark, sf):
+    """Every column of both reports for all requests, with age as the only covariate."""
+    return _round(
+        evaluate_requests(
+            fixtures.scores(spark, sf), fixtures.demographics(spark, sf), fixtures.requests(spark), AGE
+        )
+    )
+
+
 def all_tasks_report(spark, sf):
     return evaluate_requests(
         fixtures.scores(spark, sf), fixtures.demographics(spark, sf), fixtures.requests(spark), CFG
@@ -315,6 +365,7 @@ QUERIES = {
         person_score_average,
         person_score_imputed,
         cohort_join,
+        cohort_from_files,
         strata_groups,
         strata_cells,
         cell_complete_cases,
@@ -330,11 +381,13 @@ QUERIES = {
         linear_two_covariates,
         linear_full,
         incremental_rsq,
+        incremental_stored_report,
         linear_holdout,
         logistic_prs_only,
         logistic_age,
         incremental_auc,
         logistic_full,
+        all_tasks_age,
         all_tasks_report,
         distribution_input,
         distribution_groups_exact,
