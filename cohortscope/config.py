@@ -88,7 +88,7 @@ class EvalConfig:
     # Upper bound on the number of models iterated together; more are fitted in further rounds.
     models_per_round: int = 50_000
     # Largest number of distinct values ranked inside one task; larger groups are binned first.
-    max_ranked: int = 250_000
+    max_ranked: int = 50_000
 
     def strata_sets(self) -> list[StrataSet]:
         pairs = [

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.plans.scratch import written
 
-BINS = 1024
+BINS = 256
 # Search intervals are sent to all tasks when they are counted to be at most this many.
 BROADCAST_TARGETS = 500_000
 
@@ -27,7 +27,7 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     masks: Mapping[str, Column] | None = None,
-    max_ranked: int = 250_000,
+    max_ranked: int = 50_000,
     largest: int | None = None,
     bins: int = BINS,
 ) -> DataFrame:

@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope.config import EvalConfig
+from cohortscope.functions.columns import quoted
 from cohortscope.operators.cohort import covariates_ok, stratum_column
 
 CELL = ["set_id", "group_one", "group_two"]
 TASK_CELL = ["task_id", *CELL]
+# Groups of a stratum that are looked up by their position in a list.
+MAX_CODED = 256
 
 
 def strata_groups(rows: DataFrame, cfg: EvalConfig) -> DataFrame:
@@ -49,6 +52,57 @@ def fan_out(rows: DataFrame, cfg: EvalConfig, keep: list[str | Column]) -> DataF
     )
 
 
+def group_lists(rows: DataFrame, cfg: EvalConfig) -> dict[str, list[str]] | None:
+    """The groups of every stratum; None when a stratum has too many to look up by position."""
+    found = strata_groups(rows, cfg).limit(len(cfg.strata) * MAX_CODED + 1).collect()
+    lists = {s: sorted(r.group for r in found if r.stratum == s) for s in cfg.strata}
+    return lists if all(len(v) <= MAX_CODED for v in lists.values()) else None
+
+
+def fan_out_coded(
+    rows: DataFrame, cfg: EvalConfig, lists: dict[str, list[str]], keep: list[str | Column]
+) -> DataFrame:
+    """As ``fan_out``, with the cell as one number, which is much cheaper to group by than names."""
+    coded = rows.withColumns(
+        {
+            f"code_{i}": F.expr(
+                f"array_position(array({quoted(tuple(lists[s]))}), `{stratum_column(s)}`)"
+                if lists[s]
+                else "cast(null as bigint)"
+            )
+            for i, s in enumerate(cfg.strata)
+        }
+    )
+    values = ", ".join(
+        f"{s.set_id << 40}L + shiftleft(code_{cfg.strata.index(s.one)}, 20)"
+        + (f" + code_{cfg.strata.index(s.two)}" if s.two else "")
+        + (", ok_with_sex" if s.use_sex else ", ok_without_sex")
+        for s in cfg.strata_sets()
+    )
+    cells = F.expr(f"stack({len(cfg.strata_sets())}, {values})")
+    return coded.select(*keep, cells.alias("cell", "covariates_ok")).where("cell is not null")
+
+
+def decoded_cell(cfg: EvalConfig, lists: dict[str, list[str]]) -> list[Column]:
+    """The cell columns of a number made by ``fan_out_coded``."""
+    groups = ", ".join(
+        f"array({quoted(tuple(lists[s]))})" if lists[s] else "array('')" for s in cfg.strata
+    )
+    sets = cfg.strata_sets()
+    one = ", ".join(str(cfg.strata.index(s.one)) for s in sets)
+    two = ", ".join(str(cfg.strata.index(s.two)) if s.two else "-1" for s in sets)
+    set_id = "cast(shiftright(cell, 40) as int)"
+    first = "cast(shiftright(cell, 20) & 1048575 as int) - 1"
+    second = "cast(cell & 1048575 as int) - 1"
+    return [
+        F.expr(f"{set_id} as set_id"),
+        F.expr(f"array({groups})[array({one})[{set_id}]][{first}] as group_one"),
+        F.expr(
+            f"if(array({two})[{set_id}] < 0, '', get(get(array({groups}), array({two})[{set_id}]), {second})) as group_two"
+        ),
+    ]
+
+
 def with_completeness(rows: DataFrame, cfg: EvalConfig) -> DataFrame:
     return rows.withColumns(
         {

@@ -13,7 +13,16 @@ from cohortscope.config import BOTH, LOGISTIC, PRS_ONLY, EvalConfig
 from cohortscope.functions.columns import formula_mask, test_size
 from cohortscope.operators.cohort import stratum_column
 from cohortscope.operators.quantiles import exact_quantiles
-from cohortscope.operators.strata import TASK_CELL, fan_out, named_cells, with_completeness
+from cohortscope.operators.strata import (
+    CELL,
+    TASK_CELL,
+    decoded_cell,
+    fan_out,
+    fan_out_coded,
+    group_lists,
+    named_cells,
+    with_completeness,
+)
 from cohortscope.plans.scratch import written
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -74,12 +83,16 @@ def split_sizes(n: Column, cfg: EvalConfig) -> list[Column]:
 def score_quartiles(rows: DataFrame, cfg: EvalConfig, largest: int | None = None) -> DataFrame:
     """Exact quartiles of the score per request, cell and formula that uses the score."""
     scored = with_completeness(rows, cfg).where("y is not null and SCORE is not null")
-    fanned = fan_out(scored, cfg, ["task_id", "SCORE"])
     masks = {PRS_ONLY: F.lit(True), BOTH: F.col("covariates_ok")}
     wanted = {f: m for f, m in masks.items() if f in cfg.formulas}
-    return exact_quantiles(
-        fanned, TASK_CELL, "SCORE", QUARTILES, wanted, cfg.max_ranked, largest
-    ).withColumnRenamed("mask", "formula")
+    lists = group_lists(rows, cfg)
+    if lists is None:
+        fanned, keys = fan_out(scored, cfg, ["task_id", "SCORE"]), TASK_CELL
+    else:
+        fanned, keys = fan_out_coded(scored, cfg, lists, ["task_id", "SCORE"]), ["task_id", "cell"]
+    found = exact_quantiles(fanned, keys, "SCORE", QUARTILES, wanted, cfg.max_ranked, largest)
+    cells = CELL if lists is None else decoded_cell(cfg, lists)
+    return found.select("task_id", *cells, F.col("mask").alias("formula"), "q")
 
 
 def score_summary(rows: DataFrame, cfg: EvalConfig) -> DataFrame:
