@@ -85,7 +85,9 @@ def score_quartiles(rows: DataFrame, cfg: EvalConfig, largest: int | None = None
     scored = with_completeness(rows, cfg).where("y is not null and SCORE is not null")
     masks = {PRS_ONLY: F.lit(True), BOTH: F.col("covariates_ok")}
     wanted = {f: m for f, m in masks.items() if f in cfg.formulas}
-    lists = group_lists(rows, cfg)
+    # Numbering the cells takes a pass of its own, which pays off only when the bins are needed.
+    small = largest is not None and largest <= cfg.max_ranked
+    lists = None if small else group_lists(rows, cfg)
     if lists is None:
         fanned, keys = fan_out(scored, cfg, ["task_id", "SCORE"]), TASK_CELL
     else:
