@@ -10,8 +10,8 @@ import duckdb
 import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-from workload.oracles import ORACLES  # noqa: E402
-from workload.queries import QUERIES  # noqa: E402
+from __spark_entry__ import ALL_ORACLES as ORACLES  # noqa: E402
+from __spark_entry__ import ALL_QUERIES as QUERIES  # noqa: E402
 
 
 def oracle(sf_dir: str, sql: str) -> pd.DataFrame:
