@@ -2,24 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import simhash
+from cohortscope.llm import curriculum, lines, simhash, spaced
+
+
+def _sha256(column: str) -> Column:
+    return F.sha2(F.coalesce(F.col(column), F.lit("")).cast("binary"), 256)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many repeat earlier ones, and a digest of what is left."""
+    cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", _sha256("text").alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 differing bits."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"), width=3, radius=3)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document, and where in the run, in training order."""
+    mix = curriculum.plan(_table(spark, sf_dir, "documents"))
+    columns = ["doc_id", "size", "source_size", "target", "taken", "copies", "position"]
+    return mix.select(*columns).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage and the best alignment."""
+    return spaced.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_simhash": op4_simhash,
+    "op7_curriculum": op7_curriculum,
+    "op8_decontamination": op8_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_curriculum": curriculum.ORACLE,
+}
