@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import curriculum, lines, simhash, spaced
+from cohortscope.llm import curriculum, language, licences, lines, piecewise, rollups, simhash, spaced, toxicity
+from cohortscope.plans.scratch import scratch_path
+
+# Vocabulary file of the tokenizer that op5 counts with, and the name of that version.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k"
 
 
 def _sha256(column: str) -> Column:
@@ -22,12 +27,31 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", _sha256("text").alias("kept_sha256"))
 
 
+def op3_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piecewise fingerprints of all documents and of their edited texts, and how alike they are."""
+    return piecewise.compare_with_edited(_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 differing bits."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"), width=3, radius=3)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_token_rollups(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Token totals of all documents by source, language and tokenizer version, from a store of changes."""
+    store = scratch_path(spark, "token-rollups")
+    ranks = rollups.read_ranks(vocabulary)
+    rollups.load(spark, store, _table(spark, sf_dir, "documents"), ranks, TOKENIZER)
+    return rollups.totals(spark, store)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document, and where in the run, in training order."""
     mix = curriculum.plan(_table(spark, sf_dir, "documents"))
@@ -40,13 +64,30 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the languages that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that the documents name or quote, and where."""
+    return licences.licences(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_piecewise_hash": op3_piecewise_hash,
     "op4_simhash": op4_simhash,
+    "op5_token_rollups": op5_token_rollups,
+    "op6_toxicity": op6_toxicity,
     "op7_curriculum": op7_curriculum,
     "op8_decontamination": op8_decontamination,
+    "op9_language": op9_language,
+    "op10_licences": op10_licences,
 }
 
 ORACLES: dict[str, str] = {
     "op7_curriculum": curriculum.ORACLE,
+    "op10_licences": licences.oracle(),
 }
