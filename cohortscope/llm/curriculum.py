@@ -31,6 +31,11 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def length_of(text: Column) -> Column:
+    """Code points of a text; 0 for a null."""
+    return F.coalesce(F.length(text), F.lit(0)).cast("long")
+
+
 def source_sizes(sized: DataFrame) -> DataFrame:
     return sized.groupBy("source").agg(
         F.sum("size").cast("long").alias("source_size"), F.count(F.lit(1)).alias("source_rows")

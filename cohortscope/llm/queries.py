@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import curriculum, language, licences, lines, piecewise, rollups, simhash, spaced, toxicity
+from cohortscope.llm import curriculum, language, licences, lines, passages, piecewise, rollups, simhash, spaced, toxicity
 from cohortscope.plans.scratch import scratch_path
 
 # Vocabulary file of the tokenizer that op5 counts with, and the name of that version.
@@ -27,6 +27,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", _sha256("text").alias("kept_sha256"))
 
 
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, how many lie in passages that start earlier, a digest of those left."""
+    cleaned = passages.dedup_passages(_table(spark, sf_dir, "documents"), threshold=20)
+    return cleaned.select("doc_id", "n_words", "n_removed", _sha256("text").alias("kept_sha256"))
+
+
 def op3_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piecewise fingerprints of all documents and of their edited texts, and how alike they are."""
     return piecewise.compare_with_edited(_table(spark, sf_dir, "documents"))
@@ -77,6 +83,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_passage_dedup": op2_passage_dedup,
     "op3_piecewise_hash": op3_piecewise_hash,
     "op4_simhash": op4_simhash,
     "op5_token_rollups": op5_token_rollups,
