@@ -153,11 +153,13 @@ def training_order(docs: DataFrame, schedules: DataFrame | None = None, most_rep
     """The documents in training order: a row per pass, sorted by position over all partitions.
 
     Columns of the documents, then copy (1 for the first pass), words (to read from the text's start)
-    and position; columns of those names in the input are replaced. Rows that share a doc_id are taken
-    as rows of one length each: they are told apart by their size and source.
+    and position; columns of those names in the input are replaced. Rows that share doc_id, source and
+    size are all given the passes of the first of them.
     """
     names = [c for c in docs.columns if c not in ("copy", "words", "position")]
-    mix = plan(docs, schedules, most_repeats).where("taken > 0").dropDuplicates(["doc_id", "source", "size"])
+    row = F.struct("start", "taken", "copies", "source_size", "target", "total", "areas")
+    mix = plan(docs, schedules, most_repeats).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.min_by(row, "start").alias("row"))
+    mix = mix.select("doc_id", "source", "size", "row.*")
     passes = mix.withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     passes = passes.withColumn("at", F.expr("start + (copy - 1) * source_size")).select(
         F.struct("doc_id", "source", "size").alias("key"),
