@@ -115,8 +115,8 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, seg
     empty results; further columns are ignored. Copies meet as one fingerprint, counted before they
     are shuffled, so the size of a group of copies costs nothing further on.
     """
-    if not 1 <= segments <= 4:
-        raise ValueError("segments must be 1 to 4")
+    if not 2 <= segments <= 4:
+        raise ValueError("segments must be 2 to 4")
     marked = written(fingerprints(docs, width), "fingerprints")
     distinct = written(
         marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct"
