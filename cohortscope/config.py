@@ -82,13 +82,18 @@ class EvalConfig:
     suppress_all: bool = False
     test_fraction: float = 0.2
     inverse_penalty: float = 1.0
-    max_iter: int = 100
+    # Newton passes at most. A model that needs more fails the run, or is marked if it is allowed to stay.
+    max_iter: int = 1000
+    keep_unconverged: bool = False
     tolerance: float = 1e-8
     holdout_seed: str = "42"
     # Upper bound on the number of models iterated together; more are fitted in further rounds.
     models_per_round: int = 50_000
     # Largest number of distinct values ranked inside one task; larger groups are binned first.
     max_ranked: int = 50_000
+    # Levels of a text covariate at most, each a column of the model. A request's sums per cell grow with
+    # the square of the columns, so raise it only as far as the tasks' memory allows.
+    max_levels: int = 1000
 
     def strata_sets(self) -> list[StrataSet]:
         pairs = [

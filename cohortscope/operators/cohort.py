@@ -37,8 +37,11 @@ def join_scores(scores: DataFrame, demographics: DataFrame) -> DataFrame:
 
 
 def prepare_tasks(requests: DataFrame, cfg: EvalConfig) -> DataFrame:
-    """Requests (pgs, phenotype, regression) with their id, outcome column and method."""
-    return requests.select(
+    """Requests (pgs, phenotype, regression) with their id, outcome column and method.
+
+    Different requests that would share an id (``A_b`` and ``c``, ``A`` and ``b_c``) are an error.
+    """
+    tasks = requests.select(
         F.concat_ws("_", "pgs", "phenotype", "regression").alias("task_id"),
         "pgs",
         "phenotype",
@@ -46,6 +49,10 @@ def prepare_tasks(requests: DataFrame, cfg: EvalConfig) -> DataFrame:
         outcome_of(F.col("phenotype"), cfg.outcome_alias).alias("outcome"),
         method_of(F.col("regression")).alias("method"),
     ).distinct()
+    shared = tasks.groupBy("task_id").count().where("count > 1").select("task_id").limit(1).collect()
+    if shared:
+        raise ValueError(f"several requests have the id {shared[0][0]}")
+    return tasks
 
 
 def build_cohort(

@@ -17,7 +17,6 @@ from cohortscope.operators.cohort import stratum_column
 # Rows of a cell fall into three classes; a formula uses two of them at most.
 COMPLETE, SCORE_ONLY, NO_SCORE = 0, 1, 2
 MIN_CHUNK = 32_768
-MAX_LEVELS = 200
 
 
 @dataclass(frozen=True)
@@ -79,11 +78,11 @@ def make_design(rows: DataFrame, cfg: EvalConfig) -> Design:
     names = sorted((c for c in cfg.covariates), key=lambda c: c == sex)
     levels = []
     for name in (c for c in names if c in text):
-        # Each level is a column of the model, so their number is small by nature; it is checked.
-        seen = rows.where(F.col(name).isNotNull()).select(name).distinct().limit(MAX_LEVELS + 1)
+        # Each level is a column of the model; their number is a setting and is checked.
+        seen = rows.where(F.col(name).isNotNull()).select(name).distinct().limit(cfg.max_levels + 1)
         values = tuple(sorted(r[0] for r in seen.collect()))
-        if len(values) > MAX_LEVELS:
-            raise ValueError(f"text covariate {name} has more than {MAX_LEVELS} levels")
+        if len(values) > cfg.max_levels:
+            raise ValueError(f"text covariate {name} has more than max_levels = {cfg.max_levels} levels")
         levels.append((name, values))
     return Design(tuple(c for c in names if c not in text), tuple(levels), sex)
 

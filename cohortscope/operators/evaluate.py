@@ -110,11 +110,23 @@ def linear_report(fitted: Models, cfg: EvalConfig, holdout: bool = False) -> Dat
 
 
 def logistic_report(fitted: Models, cfg: EvalConfig) -> DataFrame:
-    """Rows of the logistic report: label counts, AUC of hard labels and score summaries."""
+    """Rows of the logistic report: label counts, AUC of hard labels and score summaries.
+
+    A model that has not converged within ``max_iter`` passes fails the run. With ``keep_unconverged`` its
+    row stays, and the report has a further column CONVERGED (null for cells of one class, not fitted).
+    """
     models = fitted.table.where(F.col("method") == LOGISTIC).where(logistic_gate(cfg))
     labels = fit_logistic(fitted.rows, fitted.table, fitted.design, fitted.scales, cfg)
+    if not cfg.keep_unconverged:
+        open_models = labels.where("not converged")
+        some = open_models.limit(5).collect()
+        if some:
+            names = "; ".join(f"{r.task_id} {r.group_one} {r.group_two} {r.formula}" for r in some)
+            raise RuntimeError(
+                f"{open_models.count()} logistic models did not converge in {cfg.max_iter} passes, such as {names}"
+            )
     joined = _with_quartiles(models, fitted, cfg, LOGISTIC).join(
-        labels.select(*TASK_CELL, "formula", "tp", "fp", "tn", "fn"), [*TASK_CELL, "formula"], "left"
+        labels.select(*TASK_CELL, "formula", "tp", "fp", "tn", "fn", "converged"), [*TASK_CELL, "formula"], "left"
     )
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     cases = F.col("y_sum").cast("long")
@@ -143,6 +155,7 @@ def logistic_report(fitted: Models, cfg: EvalConfig) -> DataFrame:
         *_score_columns(),
         cases.alias("CASES"),
         controls.alias("CONTROLS"),
+        *([F.col("converged").alias("CONVERGED")] if cfg.keep_unconverged else []),
     )
 
 

@@ -29,10 +29,17 @@ def strand_ambiguous() -> Column:
 def with_frequency(weights: DataFrame, frequencies: DataFrame | None) -> DataFrame:
     """Expected dosage of the effect allele per weight row, from (chr, pos, allele, freq).
 
-    Frequencies meet the small weight table, not the dosages.
+    Frequencies meet the small weight table, not the dosages. Rows that repeat a frequency count once;
+    two different ones for an allele are an error.
     """
     if frequencies is None:
         return weights.withColumn("expected", F.lit(None).cast("double"))
+    frequencies = frequencies.groupBy("chr", "pos", "allele").agg(
+        F.expr(
+            "if(min(freq) = max(freq) or max(freq) is null, min(freq), "
+            "cast(raise_error(concat('two frequencies of ', chr, ':', pos, ' ', allele)) as double))"
+        ).alias("freq")
+    )
     f = frequencies.select(
         "chr", "pos", F.col("allele").alias("effect_allele"), (2 * F.col("freq")).alias("direct")
     )

@@ -53,6 +53,5 @@ def run(
     weights = read_weights(spark, weight_paths).join(wanted, "pgs", "left_semi")
     scores = score_people(dosages, weights, **scoring)
     report = evaluate_requests(scores, demographics, requests, cfg)
-    write_report(report, report_path)
-    return spark.read.parquet(report_path)
+    return write_report(report, report_path)
 

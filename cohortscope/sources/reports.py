@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortscope.config import LINEAR, LOGISTIC
+from cohortscope.operators.incremental import incremental
 
 _CELL = ("STRATA_ONE", "GROUP_ONE", "STRATA_TWO", "GROUP_TWO")
 _SCORE = ("MEAN_PRS", "MEDIAN_PRS", "VAR_PRS", "PRS_Q1", "PRS_Q2", "PRS_Q3")
@@ -32,7 +33,7 @@ _TEXT = {"PGS", *_CELL, "COVARIATES"}
 def report_table(results: DataFrame, tasks: DataFrame, method: str, legacy: bool = False) -> DataFrame:
     """Results of one method with the score, phenotype, outcome and method they belong to."""
     columns = [c for c in REPORT_COLUMNS[method] if not (legacy and c in LEGACY_ABSENT)]
-    extra = [c for c in results.columns if c.startswith("INCREMENTAL_")]
+    extra = [c for c in results.columns if c.startswith("INCREMENTAL_") or c == "CONVERGED"]
     about = tasks.select("task_id", F.col("pgs").alias("PGS"), "phenotype", "outcome", "method")
     return results.join(about, "task_id").select(
         "task_id", "phenotype", "outcome", "method", *columns, *extra
@@ -44,9 +45,13 @@ def union_reports(linear: DataFrame, logistic: DataFrame) -> DataFrame:
     return linear.unionByName(logistic, allowMissingColumns=True)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """Parquet, one folder per outcome, method and request."""
+def write_report(report: DataFrame, path: str) -> DataFrame:
+    """Parquet, one folder per outcome, method and request; returns what was written, read back.
+
+    It is read with the report's own schema and column order, so a report without rows comes back too.
+    """
     report.write.mode("overwrite").partitionBy("outcome", "method", "task_id").parquet(path)
+    return report.sparkSession.read.schema(report.schema).parquet(path).select(*report.columns)
 
 
 def export_report(report: DataFrame, path: str, null_value: str = "") -> None:
@@ -59,6 +64,13 @@ def export_report(report: DataFrame, path: str, null_value: str = "") -> None:
     )
 
 
+def add_gain(spark: SparkSession, path: str, out: str, method: str, null_value: str = "") -> None:
+    """A stored report of one method written anew, in the same layout, with the gain of the score."""
+    metric = METRIC[method]
+    stored = read_report(spark, path, method, null_value)
+    export_report(incremental(stored.drop(f"INCREMENTAL_{metric}_PRS"), metric), out, null_value)
+
+
 def read_report(spark: SparkSession, path: str, method: str, null_value: str = "None") -> DataFrame:
     """A stored report of one method; counts and numbers keep their types whatever the first rows hold."""
     raw = spark.read.options(sep="\t", header=True, enforceSchema=False).csv(path)

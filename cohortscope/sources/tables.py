@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.config import EvalConfig
 from cohortscope.functions.columns import null_tokens
+from cohortscope.sources.weights import weight_file_name
 
 REQUEST_SCHEMA = "pgs string, phenotype string, regression string"
 MAP_SCHEMA = "id string, weight_file string, version string, phenotype string, regression string"
@@ -31,7 +32,7 @@ def build_task_map(requests: DataFrame, versions: DataFrame) -> DataFrame:
     known = versions.groupBy("pgs").agg(F.max("version").alias("version"))
     return requests.join(known, "pgs", "left").select(
         F.concat_ws("_", "pgs", "phenotype", "regression").alias("id"),
-        F.concat("pgs", F.lit("_formatted_hmPOS_GRCh38.txt.gz")).alias("weight_file"),
+        weight_file_name(F.col("pgs")).alias("weight_file"),
         "version",
         "phenotype",
         "regression",

@@ -32,7 +32,11 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _pgs(pattern: str) -> Column:
-    return F.regexp_extract("file", pattern, 1).alias("pgs")
+    """The score a file belongs to: from the file's own name, or from a partition folder of it."""
+    name = F.regexp_extract(F.element_at(F.split("file", "/"), -1), pattern, 1)
+    folder = F.regexp_extract("file", r"/(?:pgs=|weight_file=)" + pattern + r"[^/]*/", 1)
+    nothing = F.raise_error(F.concat(F.lit("no score id in the file's name: "), "file"))
+    return F.when(name != "", name).when(folder != "", folder).otherwise(nothing.cast("string")).alias("pgs")
 
 
 def read_weight_headers(
@@ -119,6 +123,52 @@ def normalize_weights(raw: DataFrame) -> DataFrame:
     )
 
 
+def weight_file_name(pgs: Column) -> Column:
+    """The name under which the task map looks for a score's normalised weights."""
+    return F.concat(pgs, F.lit("_formatted_hmPOS_GRCh38.txt.gz"))
+
+
+def export_weight_files(weights: DataFrame, headers: DataFrame, path: str) -> None:
+    """Normalised weights as gzipped text: the header lines, the column line, the rows.
+
+    A folder per score bears the name of its file. Header lines come from the score's first raw file. A
+    gzip file is one sequence, so each score is written by one task; its rows are sorted by place only.
+    """
+    first = headers.groupBy("pgs").agg(F.min("file").alias("file"))
+    text = F.when(F.col("key").isNull(), F.lit("###PGS CATALOG SCORING FILE")).otherwise(
+        F.concat(F.lit("#"), "key", F.lit("="), "value")
+    )
+    tops = headers.join(first, ["pgs", "file"]).select("pgs", F.col("line_no").cast("long").alias("place"), text.alias("line"))
+    column_line = weights.select("pgs").distinct().select(
+        "pgs", F.lit(1 << 40).alias("place"), F.lit("\t".join(WEIGHT_COLUMNS)).alias("line")
+    )
+    fields = F.concat_ws("\t", *(F.coalesce(c, F.lit("None")) for c in WEIGHT_COLUMNS))
+    body = weights.select("pgs", F.lit((1 << 40) + 1).alias("place"), fields.alias("line"))
+    (
+        tops.unionByName(column_line)
+        .unionByName(body)
+        .withColumn("weight_file", weight_file_name(F.col("pgs")))
+        .repartition("weight_file")
+        .sortWithinPartitions("weight_file", "place")
+        .select("weight_file", "line")
+        .write.mode("overwrite")
+        .partitionBy("weight_file")
+        .option("compression", "gzip")
+        .text(path)
+    )
+
+
+def read_normalized(spark: SparkSession, path: str) -> DataFrame:
+    """Normalised weight files as they were exported."""
+    lines = spark.read.text(path).where(~F.col("value").startswith("#"))
+    lines = lines.where(F.col("value") != "\t".join(WEIGHT_COLUMNS))
+    fields = F.split("value", "\t", -1)
+    return lines.select(
+        F.regexp_extract("weight_file", PGS_PATTERN, 1).alias("pgs"),
+        *(F.nullif(fields[i], F.lit("None")).alias(c) for i, c in enumerate(WEIGHT_COLUMNS)),
+    )
+
+
 def write_weights(weights: DataFrame, path: str) -> None:
     weights.write.mode("overwrite").partitionBy("pgs").parquet(path)
 

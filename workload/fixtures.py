@@ -44,13 +44,24 @@ select q.*,
  case when IID % 59 = 0 then null when acctbal / 100 + age + 30 * SCORE > 95 then 1 else 0 end as obesity
 from (select s.pgs, s.SCORE, d.* from ({SCORES}) s join ({DEMOGRAPHICS}) d on s.IID = d.IID) q"""
 
+# The same people with missing scores, ages, components and sex, and groups of 20 to 25 people.
+COHORT_GAPS = f"""
+select g.pgs, case when IID % 17 = 0 then null else SCORE end as SCORE, IID, ancestry_pred, race, ethnicity,
+ case when IID % 13 = 0 then null else sex_at_birth end as sex_at_birth, gender, income_quartiles,
+ case when place <= 20 then 'Level 20' when place <= 41 then 'Level 21' when place <= 63 then 'Level 22'
+  when place <= 88 then 'Level 25' else education end as education, age_quartiles,
+ case when IID % 19 = 0 then null else age end as age, agesq, acctbal,
+ {', '.join(f'case when IID % 29 = 0 then null else pca_{i} end as pca_{i}' if i == 3 else f'pca_{i}' for i in range(1, 17))},
+ waist_circumference, obesity
+from (select c.*, row_number() over (order by IID) as place from ({COHORT}) c) g"""
+
 _ALLELES = """substr('ACGT', cast(p_size % 4 as int) + 1, 1) as effect_allele,
  substr('ACGT', cast((p_size + 1 + p_partkey % 3) % 4 as int) + 1, 1) as other_allele"""
 
 # Raw weight rows. Two files: the second has no other_allele column, only the inferred one.
 WEIGHTS = f"""
 select case when p_partkey % 2 = 0 then 'PGS900001' else 'PGS900002' end as pgs,
- cast(p_partkey % 22 + 1 as varchar(20)) as chr_name, cast(p_partkey % 22 + 1 as varchar(20)) as hm_chr,
+ cast(p_partkey % 22 + 1 as varchar(20)) as chr_name, cast(p_partkey % 21 + 2 as varchar(20)) as hm_chr,
  case when p_partkey % 97 = 0 then null else cast(p_partkey * 100 as varchar(20)) end as hm_pos,
  {_ALLELES}, cast(p_size - 25 as varchar(20)) as effect_weight, p_partkey
 from {{part}}"""
@@ -115,6 +126,10 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, COHORT)
 
 
+def cohort_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, COHORT_GAPS)
+
+
 def requests(spark: SparkSession, wanted=REQUESTS) -> DataFrame:
     values = ", ".join(str(r) for r in wanted)
     return spark.sql(f"select * from values {values} as t(pgs, phenotype, regression)")

@@ -307,15 +307,32 @@ LEGACY_BAD = ", ".join(f"'{b}'" for b in BAD if b != "other")
 _LEGACY_GATE = "(case when method = 'logistic' then n > 100 and y_sum > 20 else n >= 101 end)"
 
 COHORT_JOIN = f"""with {rows()} select task_id, method, IID, {r('SCORE', 'SCORE')}, {r('y', 'y')}, {', '.join('stratum_' + s for s in STRATA)},
- sex, {r('age', 'age')}, {r('agesq', 'agesq')}, {r('pca_1', 'pca_1')}, {r('pca_16', 'pca_16')} from rows_"""
+ sex, {r('age', 'age')}, {r('agesq', 'agesq')}, {', '.join(r(c, c) for c in PCS)} from rows_"""
+
+
+def with_gaps(sql: str) -> str:
+    """The same results of the cohort with missing values and small groups."""
+    return sql.replace(fx.duck(fx.COHORT), fx.duck(fx.COHORT_GAPS))
+
+
+_FILES = f"(select pgs, p_partkey // {PER_FILE} as chunk from ({fx.duck(fx.WEIGHTS)}) group by pgs, chunk)"
+# The four header lines of the first kind of file; the second kind has another version.
+_HEADERS = """(values (1, null, null), (2, 'format_version', null), (3, 'pgs_id', null),
+ (4, 'note', 'a version' || chr(9) || 'with a tab')) as h(line_no, key, v)"""
+_HEADER_VALUE = """case when key = 'pgs_id' then pgs when key = 'format_version' then
+ case when pgs = 'PGS900001' then '2.0' else '10.1' end else v end as value"""
+_VERSION = "case when pgs = 'PGS900001' then '2' else '10' end"
 ORACLES = {
     "request_map": f"""with q as ({fx.duck(fx.PART_REQUESTS)}), v as ({fx.duck(fx.PART_VERSIONS)})
 select concat(q.pgs, '_', phenotype, '_', regression) as id, concat(q.pgs, '_formatted_hmPOS_GRCh38.txt.gz') as weight_file, version, phenotype, regression, q.pgs,
  case when phenotype = 'bmi' then 'obesity' else phenotype end as outcome, case when lower(regression) = 'logistic' then 'logistic' else 'linear' end as method
 from q left join v on q.pgs = v.pgs""",
     "weights_scan": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
-    "weights_header": f"""select pgs, '2' as version, count(distinct p_partkey // {PER_FILE}) as files, 4 * count(distinct p_partkey // {PER_FILE}) as header_lines
-from ({fx.duck(fx.WEIGHTS)}) group by pgs""",
+    "weights_header": f"""select pgs, {_VERSION} as version, cast(line_no as int) as line_no, key, {_HEADER_VALUE}, count(*) as files
+from {_FILES} f, {_HEADERS} group by all""",
+    "weights_files": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
+    "weights_files_headers": f"""select pgs, concat(pgs, '_formatted_hmPOS_GRCh38.txt.gz') as weight_file, cast(line_no as int) as line_no, key, {_HEADER_VALUE}
+from (select distinct pgs from ({fx.duck(fx.WEIGHTS)})) f, {_HEADERS}""",
     "weights_normalize": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
     "weights_allele_fallback": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
     "person_score": scoring(_total("d")),
@@ -329,6 +346,15 @@ from ({fx.duck(fx.WEIGHTS)}) group by pgs""",
     "person_score_imputed": scoring(_total("coalesce(d, expected)")),
     "cohort_join": COHORT_JOIN,
     "cohort_from_files": COHORT_JOIN,
+    "cohort_gaps": with_gaps(COHORT_JOIN),
+    "cell_complete_cases_gaps": with_gaps(_sizes(TASKS, "n")),
+    "cell_gates_gaps": with_gaps(_sizes(TASKS, "n", _GATE)),
+    "prs_summary_gaps": with_gaps(PRS_SUMMARY),
+    "linear_full_gaps": with_gaps(linear_full()),
+    "report_with_gain": f"""with {fan(LIN, columns=', age')}, {_AGE_RSQ}, g as (select * from m where n > 20)
+select {KEY}, {r('q', 'RSQ')}, round(max(case when COVARIATES = 'prs_and_covariates' then q end) over w - max(case when COVARIATES = 'covariates_only' then q end) over w, 6) + 0.0 as INCREMENTAL_RSQ_PRS
+from g window w as (partition by {CELL})""",
+    "report_parquet": LINEAR_AGE,
     "strata_groups": f"with {rows()} "
     + " union ".join(
         f"""select '{s}' as stratum, stratum_{s} as "group" from rows_ where stratum_{s} is not null""" for s in STRATA

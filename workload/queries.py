@@ -44,6 +44,12 @@ def rows(spark: SparkSession, sf: str, cfg: EvalConfig = CFG, wanted=fixtures.RE
     return attach_tasks(fixtures.cohort(spark, sf), tasks, cfg, OUTCOMES)
 
 
+def gap_rows(spark: SparkSession, sf: str, wanted=LIN) -> DataFrame:
+    """Rows of the requests from the cohort with missing values and small groups."""
+    tasks = prepare_tasks(fixtures.requests(spark, wanted), CFG)
+    return attach_tasks(fixtures.cohort_gaps(spark, sf), tasks, CFG, OUTCOMES)
+
+
 def stored_rows(spark: SparkSession, sf: str, cfg: EvalConfig = CFG, wanted=fixtures.REQUESTS) -> DataFrame:
     """The same, written once, for operators that read them several times."""
     return clustered(rows(spark, sf, cfg, wanted))
@@ -81,9 +87,9 @@ def weights_scan(spark, sf):
 def weights_header(spark, sf):
     path = raw_files.write_raw_files(spark, sf)
     lines = weights.read_weight_headers(spark, path)
-    per_file = weights.header_summary(lines)
-    return per_file.groupBy("pgs", "version").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("header_lines").alias("header_lines")
+    versions = weights.header_summary(lines).select("file", "version")
+    return lines.join(versions, "file").groupBy("pgs", "version", "line_no", "key", "value").agg(
+        F.count(F.lit(1)).alias("files")
     )
 
 
@@ -173,12 +179,15 @@ def _cohort(joined: DataFrame) -> DataFrame:
             F.col("sex_at_birth").alias("sex"),
             "age",
             "agesq",
-            "pca_1",
-            "pca_16",
+            *(f"pca_{i}" for i in range(1, 17)),
         )
     )
 
 
+def cohort_gaps(spark, sf):
+    return _cohort(gap_rows(spark, sf, fixtures.REQUESTS))
+
+
 def strata_groups(spark, sf):
     return strata.strata_groups(rows(spark, sf), CFG)
 
@@ -195,6 +204,15 @@ def cell_complete_cases(spark, sf):
     return _named(summary.cell_sizes(rows(spark, sf), CFG), "n")
 
 
+def cell_complete_cases_gaps(spark, sf):
+    return _named(summary.cell_sizes(gap_rows(spark, sf, fixtures.REQUESTS), CFG), "n")
+
+
+def cell_gates_gaps(spark, sf):
+    sizes = summary.cell_sizes(gap_rows(spark, sf, fixtures.REQUESTS), CFG)
+    return _named(sizes.where(summary.passes_gate(CFG)), "n")
+
+
 def _gates(spark, sf, wanted, cfg=CFG):
     sizes = summary.cell_sizes(rows(spark, sf, cfg, wanted), cfg)
     return _named(sizes.where(summary.passes_gate(cfg)), "n")
@@ -217,6 +235,10 @@ def prs_summary(spark, sf):
     return _round(summary.score_summary(stored_rows(spark, sf, CFG, LIN), CFG))
 
 
+def prs_summary_gaps(spark, sf):
+    return _round(summary.score_summary(clustered(gap_rows(spark, sf)), CFG))
+
+
 def prs_summary_binned(spark, sf):
     """The same quartiles found by narrowing bins, as for groups too large to rank in one task."""
     return _round(summary.score_summary(stored_rows(spark, sf, CFG, LIN), CFG.with_(max_ranked=100)))
@@ -275,6 +297,12 @@ def linear_full(spark, sf):
     return _round(incremental(report, "RSQ"))
 
 
+def linear_full_gaps(spark, sf):
+    """The same with missing values: each formula has its own complete cases, small cells are not reported."""
+    report = linear_report(fit_cells(gap_rows(spark, sf), CFG), CFG)
+    return _round(incremental(report, "RSQ"))
+
+
 def incremental_rsq(spark, sf):
     report = incremental(_linear(spark, sf, AGE), "RSQ")
     return _round(report.select(*KEY, "INCREMENTAL_RSQ_PRS"))
@@ -289,6 +317,37 @@ def incremental_stored_report(spark, sf):
     return _round(report.select(*KEY, "INCREMENTAL_RSQ_PRS"))
 
 
+def report_with_gain(spark, sf):
+    """A stored report rewritten with its further column, and read again."""
+    path, out = scratch_path(spark, "report"), scratch_path(spark, "report-with-gain")
+    about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
+    reports.export_report(reports.report_table(_linear(spark, sf, AGE), about, "linear"), path, "None")
+    reports.add_gain(spark, path, out, "linear", "None")
+    return _round(reports.read_report(spark, out, "linear").select(*KEY, "RSQ", "INCREMENTAL_RSQ_PRS"))
+
+
+def report_parquet(spark, sf):
+    """The Parquet report, one folder per outcome, method and request, as it is read back."""
+    about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
+    report = reports.report_table(_linear(spark, sf, AGE), about, "linear")
+    back = reports.write_report(report, scratch_path(spark, "parquet-report"))
+    return _round(back.select(*KEY, "RSQ", "MSE", "N"))
+
+
+def weights_files(spark, sf):
+    """Normalised weight files with their header lines, under the names the task map gives, read again."""
+    raw, out = raw_files.write_raw_files(spark, sf), scratch_path(spark, "weight-files")
+    weights.export_weight_files(weights.read_weights(spark, raw), weights.read_weight_headers(spark, raw), out)
+    return weights.read_normalized(spark, out)
+
+
+def weights_files_headers(spark, sf):
+    raw, out = raw_files.write_raw_files(spark, sf), scratch_path(spark, "weight-files")
+    weights.export_weight_files(weights.read_weights(spark, raw), weights.read_weight_headers(spark, raw), out)
+    lines = weights.read_weight_headers(spark, out)
+    return lines.select("pgs", F.regexp_extract("file", "weight_file=([^/]+)/", 1).alias("weight_file"), "line_no", "key", "value")
+
+
 def linear_holdout(spark, sf):
     cfg = CFG.with_(covariates=(), formulas=("prs_only",), linear_min_n=100, linear_min_test=20)
     report = _linear(spark, sf, cfg, holdout=True)
@@ -359,6 +418,8 @@ QUERIES = {
         weights_header,
         weights_normalize,
         weights_allele_fallback,
+        weights_files,
+        weights_files_headers,
         person_score,
         person_score_salted,
         person_score_no_ambiguous,
@@ -366,22 +427,29 @@ QUERIES = {
         person_score_imputed,
         cohort_join,
         cohort_from_files,
+        cohort_gaps,
         strata_groups,
         strata_cells,
         cell_complete_cases,
+        cell_complete_cases_gaps,
+        cell_gates_gaps,
         cell_gates_linear,
         cell_gates_logistic,
         cell_gates_legacy,
         prs_summary,
         prs_summary_binned,
+        prs_summary_gaps,
         case_counts,
         split_sizes,
         onehot_sex,
         linear_prs_only,
         linear_two_covariates,
         linear_full,
+        linear_full_gaps,
         incremental_rsq,
         incremental_stored_report,
+        report_with_gain,
+        report_parquet,
         linear_holdout,
         logistic_prs_only,
         logistic_age,

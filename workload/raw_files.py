@@ -11,7 +11,7 @@ from workload import fixtures
 PER_FILE = 50_000
 # Columns of the two layouts, in file order.
 LAYOUTS = {
-    "PGS900001": ("chr_name", "effect_allele", "other_allele", "effect_weight", "hm_chr", "hm_pos"),
+    "PGS900001": ("chr_name", "hm_inferOtherAllele", "effect_allele", "other_allele", "effect_weight", "hm_chr", "hm_pos"),
     "PGS900002": ("effect_weight", "chr_name", "effect_allele", "hm_chr", "hm_pos", "hm_inferOtherAllele"),
 }
 
@@ -24,7 +24,8 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> str:
     """Gzipped files of at most PER_FILE weights, each with its own header and column line."""
     raw = raw_weights(spark, sf_dir).withColumns(
         {
-            "hm_inferOtherAllele": F.col("other_allele"),
+            # The first layout has both columns, and the inferred one is wrong there.
+            "hm_inferOtherAllele": F.when(F.col("pgs") == "PGS900001", "N").otherwise(F.col("other_allele")),
             "chunk": F.floor(F.col("p_partkey") / PER_FILE).cast("int"),
         }
     )
@@ -39,7 +40,7 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> str:
     top = F.posexplode(
         F.array(
             F.lit("###PGS CATALOG SCORING FILE"),
-            F.lit("#format_version=2.0"),
+            F.when(F.col("pgs") == "PGS900001", "#format_version=2.0").otherwise("#format_version=10.1"),
             F.concat(F.lit("#pgs_id="), "pgs"),
             F.lit("#note=a version\twith a tab"),
             head,
