@@ -15,6 +15,7 @@ from cohortscope.plans.scratch import written
 
 GROUP = ["task_id", "stratum", "group"]
 VIOLIN = [*GROUP, "hue"]
+BROADCAST_GROUPS = 100_000
 GRID = 100
 # The density reaches this many bandwidths beyond the data.
 CUT = 2.0
@@ -66,9 +67,14 @@ def plotted_groups(rows: DataFrame, cfg: EvalConfig, match: str = "substring") -
     return s.join(k, same & hit, "left_semi")
 
 
+def _small(groups: DataFrame) -> DataFrame:
+    """A written table of groups, to be broadcast if it is counted to be small."""
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
 def distribution(rows: DataFrame, cfg: EvalConfig, match: str = "substring") -> DataFrame:
     """All strata in one pass: request, stratum, group, hue (the outcome if logistic), score."""
-    groups = plotted_groups(rows, cfg, match).select(*GROUP)
+    groups = _small(written(plotted_groups(rows, cfg, match).select(*GROUP), "plotted-groups"))
     hue = F.when(F.col("method") == LOGISTIC, F.col("y").cast("int").cast("string")).otherwise("")
     return _long(rows, cfg).join(groups, GROUP, "left_semi").select(*GROUP, hue.alias("hue"), "SCORE")
 
@@ -95,33 +101,30 @@ def violin_box(plot: DataFrame, cfg: EvalConfig) -> DataFrame:
 def violin_density(plot: DataFrame, grid: int = GRID, cut: float = CUT) -> DataFrame:
     """Gaussian density of every violin on an even grid, with Scott's bandwidth.
 
-    Equal scores are counted first. Every row then adds to one sum per grid point, combined on the
-    map side, so the shuffle is groups times grid points. A violin without spread has no density.
+    One aggregate gives size, spread and bounds; every row then adds to one sum per grid point, combined
+    on the map side, so the shuffle is groups times grid points. A violin without spread has no density.
     """
-    ties = written(plot.groupBy(*VIOLIN, "SCORE").agg(F.count(F.lit(1)).alias("w")), "violin-ties")
-    middle = ties.groupBy(*VIOLIN).agg(
-        F.sum("w").alias("n"),
-        (F.sum(F.col("w") * F.col("SCORE")) / F.sum("w")).alias("mean"),
-        F.min("SCORE").alias("lo"),
-        F.max("SCORE").alias("hi"),
-    )
-    away = F.col("SCORE") - F.col("mean")
-    shape = (
-        ties.join(middle, VIOLIN)
-        .groupBy(*VIOLIN, "n", "lo", "hi")
-        .agg(F.sum(F.col("w") * away * away).alias("squares"))
-        .where("squares > 0")
-        .withColumn("h", F.expr("sqrt(squares / (n - 1)) * pow(n, -0.2D)"))
+    shape = written(
+        plot.groupBy(*VIOLIN)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.stddev_samp("SCORE").alias("spread"),
+            F.min("SCORE").alias("lo"),
+            F.max("SCORE").alias("hi"),
+        )
+        .where("spread > 0 and lo < hi")
+        .withColumn("h", F.expr("spread * pow(n, -0.2D)"))
         .select(
             *VIOLIN,
             "n",
             "h",
             F.expr(f"lo - {cut}D * h").alias("start"),
             F.expr(f"(hi - lo + {2 * cut}D * h) / {grid - 1}").alias("pace"),
-        )
+        ),
+        "violin-shapes",
     )
-    kernel = "sum(w * exp(-0.5D * pow((start + pace * {0} - SCORE) / h, 2)))"
-    sums = ties.join(shape, VIOLIN).groupBy(*VIOLIN, "n", "h", "start", "pace").agg(
+    kernel = "sum(exp(-0.5D * pow((start + pace * {0} - SCORE) / h, 2)))"
+    sums = plot.join(_small(shape), VIOLIN).groupBy(*VIOLIN, "n", "h", "start", "pace").agg(
         *(F.expr(kernel.format(k)).alias(f"k{k}") for k in range(grid))
     )
     points = F.posexplode(F.expr("array(" + ", ".join(f"k{k}" for k in range(grid)) + ")"))

@@ -198,18 +198,24 @@ def _fit(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list
         loss = result["loss"].to_numpy()
         labels = np.column_stack([result[c].to_numpy() for c in HEAD[1:]])
         iterations[ids] += 1
-        for k, (m, step) in enumerate(zip(ids, result["step"].to_pylist())):
-            if loss[k] <= best[m] + 1e-10 * (1.0 + abs(loss[k])):
-                accepted[m] = state["beta"][m]
-                best[m] = loss[k]
-                counts[m] = labels[k]
-                if np.max(np.abs(step)) < cfg.tolerance:
-                    state["active"][m] = False
-                    converged[m] = True
-                else:
-                    state["beta"][m, : len(step)] += step
-            else:
-                state["beta"][m] = (state["beta"][m] + accepted[m]) / 2.0
+        steps = result["step"].combine_chunks()
+        lengths = steps.value_lengths().to_numpy()
+        step = np.zeros((len(ids), width))
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            step[at, :length] = as_matrix(steps.take(pa.array(at)), length)
+        better = loss <= best[ids] + 1e-10 * (1.0 + np.abs(loss))
+        settled = better & (np.abs(step).max(axis=1) < cfg.tolerance)
+        taken = ids[better]
+        accepted[taken] = state["beta"][taken]
+        best[taken] = loss[better]
+        counts[taken] = labels[better]
+        state["active"][ids[settled]] = False
+        converged[ids[settled]] = True
+        moved = better & ~settled
+        state["beta"][ids[moved]] += step[moved]
+        worse = ids[~better]
+        state["beta"][worse] = (state["beta"][worse] + accepted[worse]) / 2.0
     return accepted, counts, iterations, converged
 
 

@@ -45,24 +45,44 @@ def exact_quantiles(
     ).where(any_mask if len(flags) > 1 else flags["in_0"])
     rows = rows.select(*keys, "v", *flags)
 
-    if largest is None:
-        sizes = rows.groupBy(*keys).count()
-        largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= max_ranked:
+    if largest is not None and largest <= max_ranked:
         return _builtin(rows, keys, list(masks), list(flags), probabilities)
+    sizes = written(rows.groupBy(*keys).count().withColumnRenamed("count", "rows_of"), "quantile-sizes")
+    large = sizes.where(F.col("rows_of") > max_ranked)
+    about = large.agg(F.count(F.lit(1)).alias("n"), F.max("rows_of").alias("largest")).first()
+    if not about["n"]:
+        return _builtin(rows, keys, list(masks), list(flags), probabilities)
+    # Each group goes the way of its own size.
+    large = large.select(*keys)
+    large = F.broadcast(large) if about["n"] <= BROADCAST_TARGETS else large
+    small = _builtin(rows.join(large, keys, "left_anti"), keys, list(masks), list(flags), probabilities)
+    binned = _binned(rows.join(large, keys, "left_semi"), keys, list(masks), list(flags), probabilities, max_ranked, about["largest"], bins)
+    return small.unionByName(binned)
+
 
+def _binned(
+    rows: DataFrame,
+    keys: list[str],
+    masks: list[str],
+    flags: list[str],
+    probabilities: Sequence[float],
+    max_ranked: int,
+    largest: int,
+    bins: int,
+) -> DataFrame:
+    """Large groups: ranks are searched in ever narrower bins."""
     targets = written(
-        _first_targets(rows, keys, list(flags), probabilities), "quantile-targets"
+        _first_targets(rows, keys, flags, probabilities), "quantile-targets"
     )
     few = targets.count() <= BROADCAST_TARGETS
     even, logarithmic = _even_bin(bins), _logarithmic_bin(bins)
     part = even
     while largest > max_ranked:
-        targets = written(_narrow(rows, targets, keys, list(flags), part, few), "quantile-targets")
+        targets = written(_narrow(rows, targets, keys, flags, part, few), "quantile-targets")
         # A bin whose values are all equal is resolved, however many rows it has.
         largest = targets.where("lo < hi").agg(F.max("width")).first()[0] or 0
         part = logarithmic if part is even else even
-    found = _narrow(rows, targets, keys, list(flags), F.col("v"), few)
+    found = _narrow(rows, targets, keys, flags, F.col("v"), few)
     names = F.array(*(F.lit(name) for name in masks))
     low = F.max(F.when(F.col("side") == 0, F.col("lo")))
     high = F.max(F.when(F.col("side") == 1, F.col("lo")))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortscope.plans.scratch import written
+
 # Columns of a normalised weight row.
 WEIGHT_COLUMNS = ("hm_chr", "hm_pos", "effect_allele", "other_allele", "effect_weight")
 # The harmonised position is used, but the author's chromosome.
@@ -16,6 +18,8 @@ _SOURCE = {
     "effect_weight": "effect_weight",
 }
 _OTHER, _INFERRED = "other_allele", "hm_inferOtherAllele"
+# Column lines are broadcast for up to this many files.
+BROADCAST_FILES = 100_000
 PGS_PATTERN = r"(PGS\d+)"
 
 
@@ -76,7 +80,9 @@ def read_weights(
     the file, not the row, lacks it.
     """
     body = _lines(spark, paths).where(~F.col("line").startswith("#"))
-    layout = body.groupBy("file").agg(F.min_by("line", "place").alias("columns"))
+    # Only lines that name the weight column are compared, so that no other line is shuffled.
+    named = body.where(F.array_contains(F.split("line", "\t"), _SOURCE["effect_weight"]))
+    layout = named.groupBy("file").agg(F.min_by("line", "place").alias("columns"))
     names = F.split("columns", "\t")
     lacking = F.array_except(F.array(*(F.lit(c) for c in _SOURCE.values())), names)
     neither = ~F.array_contains(names, _OTHER) & ~F.array_contains(names, _INFERRED)
@@ -98,11 +104,14 @@ def read_weights(
         .otherwise(F.lit(True))
         .alias("complete"),
     )
+    layout = written(layout, "layouts")
+    layout = F.broadcast(layout) if layout.count() <= BROADCAST_FILES else layout
+    without = F.raise_error(F.concat(F.lit("weight file without a column line: "), "file")).cast("boolean")
     # The column line has no fields, so that a later cast never meets a column name.
     fields = F.when(F.col("line") != F.col("columns"), F.split("line", "\t", -1))
     return (
-        body.join(layout, "file")
-        .where(F.col("complete") & (F.col("line") != F.col("columns")))
+        body.join(layout, "file", "left")
+        .where(F.coalesce("complete", without) & (F.col("line") != F.col("columns")))
         .select(
             _pgs(pgs_pattern),
             *(F.nullif(F.get(fields, F.col(f"at_{c}")), F.lit("")).alias(c) for c in WEIGHT_COLUMNS),

@@ -73,3 +73,41 @@ def test_a_report_without_rows_is_written_and_read_back(spark, tmp_path):
     report = reports.report_table(incremental(evaluate(rows, cfg).linear, "RSQ"), tasks, "linear")
     back = reports.write_report(report, str(tmp_path / "none"))
     assert back.columns == report.columns and back.count() == 0
+
+
+@pytest.mark.parametrize("targets", [0, 500_000])
+def test_quantiles_of_small_and_large_groups_together(spark, monkeypatch, targets):
+    from cohortscope.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BROADCAST_TARGETS", targets)
+    rows = spark.range(3000).selectExpr("if(id < 40, 'small', 'large') as g", "cast((id * 7919) % 1009 as double) as v")
+    got = {r.g: r.q for r in quantiles.exact_quantiles(rows, ["g"], "v", (0.25, 0.5, 0.9), None, 100).collect()}
+    want = rows.groupBy("g").agg(F.expr("percentile(v, array(0.25D, 0.5D, 0.9D))").alias("q")).collect()
+    assert got == {r.g: pytest.approx(r.q) for r in want}
+
+
+def test_results_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    from cohortscope.operators import distribution
+    from workload.raw_files import write_raw_files
+
+    raw = write_raw_files(spark, SF)
+
+    def results():
+        density = queries.distribution_density(spark, SF).collect()
+        return sorted(map(tuple, weights.read_weights(spark, raw).collect()), key=str), sorted(map(tuple, density))
+
+    usual = results()
+    monkeypatch.setattr(distribution, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(weights, "BROADCAST_FILES", 0)
+    assert results() == usual
+
+
+def test_the_weight_scan_does_not_shuffle_its_lines(spark):
+    from workload.raw_files import write_raw_files
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = weights.read_weights(spark, write_raw_files(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plan
