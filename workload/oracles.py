@@ -124,17 +124,19 @@ LINEAR_HOLDOUT = LINEAR_HOLDOUT.replace(
 )
 
 
-def linear_full() -> str:
-    """All covariates: covariances per cell, then elimination column by column in a recursive CTE.
+LEVELS = ("Female", "Intersex", "Male")
+DESIGN = ["SCORE", *COVARIATES, *(f"sex_{v}" for v in LEVELS)]
+DESIGN_COLUMNS = ", " + ", ".join(COVARIATES) + ", " + ", ".join(
+    f"cast(coalesce(sex = '{v}', false) as double) as sex_{v}" for v in LEVELS
+)
+
+
+def linear_ctes() -> str:
+    """CTE gain. All covariates: covariances per cell, then elimination column by column.
 
     What is left of the outcome's variance after all columns are eliminated is 1 - R2.
     """
-    levels = ["Female", "Intersex", "Male"]
-    design = ["SCORE", *COVARIATES, *(f"sex_{v}" for v in levels)]
-    columns = ", " + ", ".join(COVARIATES) + ", " + ", ".join(
-        f"cast(coalesce(sex = '{v}', false) as double) as sex_{v}" for v in levels
-    )
-    names = [*design, "y"]
+    names = [*DESIGN, "y"]
     last = len(names)
     pairs = [(i, j) for i in range(1, last + 1) for j in range(i, last + 1)]
     sums = ", ".join(f"covar_pop({names[i - 1]}, {names[j - 1]}) as c_{i}_{j}" for i, j in pairs)
@@ -150,9 +152,8 @@ def linear_full() -> str:
         f"(i = {last} or ((COVARIATES <> 'covariates_only' or i <> 1) and (use_sex or i < {first_sex}) and (COVARIATES <> 'prs_only' or i = 1)))"
     )
     used_j = used.replace("i =", "j =").replace("i <", "j <")
-    return f"""with recursive {fan(LIN, columns=columns)}, {formulas()},
-g as materialized (select {KEY}, use_sex, {sums} from long_ group by {KEY}, use_sex),
-n as (select {KEY}, count(*) as n, var_pop(y) as vy from long_ group by {KEY}),
+    return f"""g as materialized (select {KEY}, use_sex, {sums} from long_ where method = 'linear' group by {KEY}, use_sex),
+n as (select {KEY}, count(*) as n, var_pop(y) as vy from long_ where method = 'linear' group by {KEY}),
 e as materialized (select * from ({entries}) where {used} and {used_j}),
 d as materialized (select {KEY}, i, v from e where i = j),
 scaled as materialized (select e.*, e.v / sqrt(a.v * b.v) as s from e join d a on {' and '.join(f'e.{c} is not distinct from a.{c}' for c in KEY.split(', '))} and e.i = a.i
@@ -164,15 +165,76 @@ step as (select 0 as k, {KEY}, i, j, s from scaled
    max(case when j = k + 1 then s end) over (partition by {KEY}, i) as down,
    max(case when i = k + 1 then s end) over (partition by {KEY}, j) as across from step where k < {last - 1}) where i > k and j > k),
 q as (select {KEY}, 1 - s as q from step where k = {last - 1} and i = {last} and j = {last}),
-summary as ({_SUMMARY}),
 m as (select n.*, case when q.q > 1 then 1 else q.q end as q from n join q on {' and '.join(f'n.{c} is not distinct from q.{c}' for c in KEY.split(', '))} where n.n > 20),
 gain as (select *, max(case when COVARIATES = 'prs_and_covariates' then q end) over w - max(case when COVARIATES = 'covariates_only' then q end) over w as gain
- from m window w as (partition by {CELL}))
-select {', '.join('gain.' + c for c in KEY.split(', '))}, {r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')},
- gain.n - cast(ceil(0.2::double * gain.n) as bigint) as TRAINING_SIZE, cast(ceil(0.2::double * gain.n) as bigint) as TESTING_SIZE,
- {', '.join(f"case when gain.COVARIATES <> 'covariates_only' then summary.{c} end as {c}" for c in ('MEAN_PRS', 'MEDIAN_PRS', 'VAR_PRS', 'PRS_Q1', 'PRS_Q2', 'PRS_Q3'))},
- gain.n as N, {r('gain.gain', 'INCREMENTAL_RSQ_PRS')}
-from gain join summary on {' and '.join(f'gain.{c} is not distinct from summary.{c}' for c in KEY.split(', '))}"""
+ from m window w as (partition by {CELL}))"""
+
+
+_SAME = " and ".join(f"{{0}}.{c} is not distinct from summary.{c}" for c in KEY.split(", "))
+_SHOWN_SCORES = ", ".join(
+    f"case when {{0}}.COVARIATES <> 'covariates_only' then summary.{c} end as {c}"
+    for c in ("MEAN_PRS", "MEDIAN_PRS", "VAR_PRS", "PRS_Q1", "PRS_Q2", "PRS_Q3")
+)
+_LINEAR_COLUMNS = f"""{r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')}, gain.n - cast(ceil(0.2::double * gain.n) as bigint) as TRAINING_SIZE,
+ cast(ceil(0.2::double * gain.n) as bigint) as TESTING_SIZE, gain.n as N, {r('gain.gain', 'INCREMENTAL_RSQ_PRS')}"""
+
+
+def linear_full() -> str:
+    keys = ", ".join("gain." + c for c in KEY.split(", "))
+    return f"""with recursive {fan(LIN, columns=DESIGN_COLUMNS)}, {formulas()}, {linear_ctes()}, summary as ({_SUMMARY})
+select {keys}, {_LINEAR_COLUMNS}, {_SHOWN_SCORES.format('gain')} from gain join summary on {_SAME.format('gain')}"""
+
+
+def logistic_ctes(steps: int = 12) -> str:
+    """CTE lgain: penalised logistic models of all covariates, by a fixed chain of Newton steps.
+
+    Columns that a formula does not use are 0, so the penalty alone sets their coefficient, to 0. Each
+    step's equations are solved by Gauss-Jordan elimination, a row of numbers per unknown.
+    """
+    used = ["(COVARIATES <> 'covariates_only')"] + ["(COVARIATES <> 'prs_only')"] * len(COVARIATES)
+    used += ["(COVARIATES <> 'prs_only' and use_sex)"] * len(LEVELS)
+    x = ", ".join(["1.0::double", *(f"case when {u} then {c} else 0 end" for c, u in zip(DESIGN, used))])
+    width = len(DESIGN) + 1
+    pairs = [(i, j) for i in range(1, width + 1) for j in range(i, width + 1)]
+    sums = ", ".join(f"sum(w * x[{i}] * x[{j}]) as h_{i}_{j}" for i, j in pairs)
+    slopes = ", ".join(f"sum((y - p) * x[{i}]) - {0 if i == 1 else f'any_value(b[{i}])'} as g_{i}" for i in range(1, width + 1))
+
+    def line(i: int) -> str:
+        entries = [f"h_{min(i, j)}_{max(i, j)}" + (" + 1" if i == j and i > 1 else "") for j in range(1, width + 1)]
+        return "[" + ", ".join([*entries, f"g_{i}"]) + "]"
+
+    lines = "[" + ", ".join(line(i) for i in range(1, width + 1)) + "]"
+    parts = [
+        f"""big as materialized (select *, row_number() over () as id from (select {KEY}, count(*) as n, sum(y) as cases
+ from long_ where method = 'logistic' group by {KEY} having count(*) > 20 and sum(y) > 20))""",
+        f"""x as materialized (select big.id, l.y, [{x}] as x from long_ l
+ join big on {' and '.join(f'l.{c} is not distinct from big.{c}' for c in KEY.split(', '))})""".replace(
+            "(COVARIATES", "(l.COVARIATES"
+        ),
+        f"beta_0 as (select id, [{', '.join(['0.0::double'] * width)}] as b from big)",
+    ]
+    for k in range(steps):
+        parts += [
+            f"""sum_{k} as materialized (select id, {sums}, {slopes} from (select *, p * (1 - p) as w from (
+ select x.*, b, 1 / (1 + exp(-list_dot_product(x.x, b))) as p from x join beta_{k} using (id))) group by id)""",
+            f"""aug_{k} as (select id, unnest(range(1, {width + 1})) as i, unnest({lines}) as line from sum_{k})""",
+            f"""elim_{k} as (select 0 as k, id, i, line from aug_{k} union all
+ select k, id, i, case when i = k then [v / line[k] for v in line]
+  else [z[1] - line[k] * z[2] / top[k] for z in list_zip(line, top)] end as line
+ from (select k + 1 as k, id, i, line, any_value(line) filter (where i = k + 1) over (partition by id) as top from elim_{k} where k < {width}))""",
+            f"""beta_{k + 1} as materialized (select b.id, [z[1] + z[2] for z in list_zip(any_value(b.b), list(e.line[{width + 1}] order by e.i))] as b
+ from beta_{k} b join elim_{k} e on b.id = e.id and e.k = {width} group by b.id)""",
+        ]
+    parts += [
+        f"""labels as (select id, count(*) filter (where y = 1 and hit) as tp, count(*) filter (where y = 0 and hit) as fp,
+ count(*) filter (where y = 0 and not hit) as tn, count(*) filter (where y = 1 and not hit) as fn
+ from (select x.id, y, list_dot_product(x.x, b) > 0 as hit from x join beta_{steps} using (id)) group by id)""",
+        """fitted as (select big.*, tp, fp, tn, fn, case when tp + fn > 0 and tn + fp > 0 then 0.5::double * (tp::double / (tp + fn) + tn::double / (tn + fp)) end as auc
+ from big join labels using (id))""",
+        f"""lgain as (select *, max(case when COVARIATES = 'prs_and_covariates' then auc end) over w - max(case when COVARIATES = 'covariates_only' then auc end) over w as gain
+ from fitted window w as (partition by {CELL}))""",
+    ]
+    return ", ".join(parts)
 
 
 def newton(names) -> str:
@@ -226,6 +288,28 @@ select {KEY}, round(max(case when COVARIATES = 'prs_and_covariates' then auc end
 from fitted window w as (partition by {CELL})"""
 
 
+_LOGISTIC_COLUMNS = f"""{r('auc', 'AUC')}, {_SHOWN.replace('/ n', '/ lgain.n')}, cast(cases as bigint) as CASES,
+ cast(lgain.n - cases as bigint) as CONTROLS, {r('lgain.gain', 'INCREMENTAL_AUC_PRS')}"""
+
+
+def logistic_full() -> str:
+    keys = ", ".join("lgain." + c for c in KEY.split(", "))
+    return f"""with recursive {fan(LOG, columns=DESIGN_COLUMNS)}, {formulas()}, {logistic_ctes()}, summary as ({_SUMMARY})
+select {keys}, {_LOGISTIC_COLUMNS}, {_SHOWN_SCORES.format('lgain')} from lgain join summary on {_SAME.format('lgain')}"""
+
+
+def all_tasks_report() -> str:
+    """Both reports of all requests with all covariates."""
+    phenotype = "case when method = 'logistic' then 'bmi' else 'waist_circumference' end"
+    outcome = "case when method = 'logistic' then 'obesity' else 'waist_circumference' end"
+    keys = {t: ", ".join(f"{t}." + c for c in KEY.split(", ")) for t in ("gain", "lgain")}
+    return f"""with recursive {fan(columns=DESIGN_COLUMNS)}, {formulas()}, {linear_ctes()}, {logistic_ctes()}, summary as ({_SUMMARY}),
+both_ as (select 'linear' as method, {keys['gain']}, {_LINEAR_COLUMNS}, {_SHOWN_SCORES.format('gain')} from gain join summary on {_SAME.format('gain')}
+ union all by name
+ select 'logistic' as method, {keys['lgain']}, {_LOGISTIC_COLUMNS}, {_SHOWN_SCORES.format('lgain')} from lgain join summary on {_SAME.format('lgain')})
+select 'PGS900001' as PGS, {phenotype} as phenotype, {outcome} as outcome, * from both_"""
+
+
 _SCORES = ("MEAN_PRS", "MEDIAN_PRS", "VAR_PRS", "PRS_Q1", "PRS_Q2", "PRS_Q3")
 
 
@@ -383,6 +467,8 @@ from g window w as (partition by {CELL})""",
     "linear_holdout": LINEAR_HOLDOUT,
     "logistic_prs_only": LOGISTIC_PRS_ONLY,
     "logistic_age": LOGISTIC_AGE,
+    "logistic_full": logistic_full(),
+    "all_tasks_report": all_tasks_report(),
     "incremental_auc": INCREMENTAL_AUC,
     "distribution_input": DISTRIBUTION_INPUT,
     "distribution_groups_exact": DISTRIBUTION_GROUPS,

@@ -372,7 +372,7 @@ def incremental_auc(spark, sf):
 
 
 def logistic_full(spark, sf):
-    return incremental(_logistic(spark, sf, CFG), "AUC")
+    return _round(incremental(_logistic(spark, sf, CFG), "AUC"))
 
 
 def all_tasks_age(spark, sf):
@@ -385,8 +385,11 @@ def all_tasks_age(spark, sf):
 
 
 def all_tasks_report(spark, sf):
-    return evaluate_requests(
-        fixtures.scores(spark, sf), fixtures.demographics(spark, sf), fixtures.requests(spark), CFG
+    """Both reports of all requests with all covariates."""
+    return _round(
+        evaluate_requests(
+            fixtures.scores(spark, sf), fixtures.demographics(spark, sf), fixtures.requests(spark), CFG
+        )
     )
 
 
