@@ -28,12 +28,16 @@ def evaluate_requests(
     requests: DataFrame,
     cfg: EvalConfig | None = None,
     holdout: bool = False,
+    legacy: bool = False,
 ) -> DataFrame:
-    """All requests in one run: one table of both methods."""
+    """All requests in one run: one table of both methods.
+
+    ``legacy`` leaves out the columns the older report does not have; ``EvalConfig.legacy()`` has its gates.
+    """
     cfg = cfg or EvalConfig()
     tasks = prepare_tasks(requests, cfg)
     rows = build_cohort(scores, demographics, tasks, cfg)
-    reports = final_reports(evaluate(rows, cfg, holdout), tasks)
+    reports = final_reports(evaluate(rows, cfg, holdout), tasks, legacy)
     return union_reports(reports[LINEAR], reports[LOGISTIC])
 
 
@@ -45,6 +49,8 @@ def run(
     demographics: DataFrame,
     report_path: str,
     cfg: EvalConfig | None = None,
+    holdout: bool = False,
+    legacy: bool = False,
     **scoring,
 ) -> DataFrame:
     """From landed weight files and dosages to written reports."""
@@ -52,6 +58,6 @@ def run(
     wanted = requests.select("pgs").distinct()
     weights = read_weights(spark, weight_paths).join(wanted, "pgs", "left_semi")
     scores = score_people(dosages, weights, **scoring)
-    report = evaluate_requests(scores, demographics, requests, cfg)
+    report = evaluate_requests(scores, demographics, requests, cfg, holdout, legacy)
     return write_report(report, report_path)
 

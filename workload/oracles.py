@@ -237,7 +237,7 @@ def logistic_ctes(steps: int = 12) -> str:
     return ", ".join(parts)
 
 
-def newton(names) -> str:
+def newton(names, more_than: int = 20) -> str:
     """CTE labels: penalised logistic models with up to two columns, by Newton steps from zero."""
     columns = {
         "prs_only": ("SCORE", "cast(0 as double)"),
@@ -251,7 +251,7 @@ def newton(names) -> str:
     same = " and ".join(f"x.{c} is not distinct from s.{c}" for c in KEY.split(", "))
     keys = ", ".join(f"s.{c}" for c in KEY.split(", "))
     return f"""raw as ({data}),
-big as (select {KEY}, row_number() over () as id, n, cases from (select {KEY}, count(*) as n, sum(y) as cases from raw group by {KEY} having count(*) > 20 and sum(y) > 20)),
+big as (select {KEY}, row_number() over () as id, n, cases from (select {KEY}, count(*) as n, sum(y) as cases from raw group by {KEY} having count(*) > {more_than} and sum(y) > 20)),
 x as materialized (select s.id, x.SCORE, x.y, x.a, x.b from raw x join big s on {same}),
 step as (select 0 as k, id, cast(0 as double) as b0, cast(0 as double) as b1, cast(0 as double) as b2 from big
  union all
@@ -399,6 +399,19 @@ def with_gaps(sql: str) -> str:
     return sql.replace(fx.duck(fx.COHORT), fx.duck(fx.COHORT_GAPS))
 
 
+# Each request's file has scores of its own.
+COHORT_FROM_FILES = COHORT_JOIN.replace(
+    r("SCORE", "SCORE"), r("SCORE + case task_id " + " ".join(f"when '{t}' then {i}" for i, (t, _, _) in enumerate(TASKS)) + " end", "SCORE")
+)
+LEGACY_REPORT = f"""with recursive {fan(LOG, LEGACY_BAD, ', age')}, {newton(_ALL, 100)}
+select {KEY}, {r('auc', 'AUC')}, {_SHOWN}, round(max(case when COVARIATES = 'prs_and_covariates' then auc end) over w - max(case when COVARIATES = 'covariates_only' then auc end) over w, 6) + 0.0 as INCREMENTAL_AUC_PRS
+from fitted window w as (partition by {CELL})"""
+# The cohort with the scores that the raw weights and dosages give.
+COMPUTED = f"""select s.pgs, s.SCORE, d.* from ({scoring("sum(coalesce(d, expected) * weight) as SCORE")}) s
+ join (select * exclude (pgs, SCORE) from ({fx.duck(fx.COHORT)})) d on s.IID = d.IID where s.pgs = 'PGS900001'"""
+WHOLE_RUN = f"""with {fan(LIN, columns=', age')}, {_AGE_RSQ}, g as (select * from m where n > 20)
+select {KEY}, {r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')}, n as N, round(max(case when COVARIATES = 'prs_and_covariates' then q end) over w - max(case when COVARIATES = 'covariates_only' then q end) over w, 6) + 0.0 as INCREMENTAL_RSQ_PRS
+from g window w as (partition by {CELL})""".replace(fx.duck(fx.COHORT), COMPUTED)
 _FILES = f"(select pgs, p_partkey // {PER_FILE} as chunk from ({fx.duck(fx.WEIGHTS)}) group by pgs, chunk)"
 # The four header lines of the first kind of file; the second kind has another version.
 _HEADERS = """(values (1, null, null), (2, 'format_version', null), (3, 'pgs_id', null),
@@ -429,7 +442,9 @@ from (select distinct pgs from ({fx.duck(fx.WEIGHTS)})) f, {_HEADERS}""",
     ),
     "person_score_imputed": scoring(_total("coalesce(d, expected)")),
     "cohort_join": COHORT_JOIN,
-    "cohort_from_files": COHORT_JOIN,
+    "cohort_from_files": COHORT_FROM_FILES,
+    "legacy_report": LEGACY_REPORT,
+    "whole_run": WHOLE_RUN,
     "cohort_gaps": with_gaps(COHORT_JOIN),
     "cell_complete_cases_gaps": with_gaps(_sizes(TASKS, "n")),
     "cell_gates_gaps": with_gaps(_sizes(TASKS, "n", _GATE)),

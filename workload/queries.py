@@ -13,7 +13,7 @@ from cohortscope.operators.design import make_design
 from cohortscope.operators.evaluate import clustered, fit_cells, linear_report, logistic_report
 from cohortscope.operators.incremental import incremental
 from cohortscope.operators.scoring import score_people
-from cohortscope.pipeline import evaluate_requests
+from cohortscope.pipeline import evaluate_requests, run
 from cohortscope.plans.scratch import scratch_path
 from cohortscope.sources import reports, tables, weights
 from workload import fixtures, raw_files
@@ -152,8 +152,9 @@ def cohort_from_files(spark, sf):
     folder = scratch_path(spark, "scores")
     scores = fixtures.scores(spark, sf).drop("pgs").withColumn("FID", F.lit(0))
     paths = [f"{folder}/{'_'.join(request)}_prs.sscore" for request in fixtures.REQUESTS]
-    for path in paths:
-        scores.write.options(**text).csv(path)
+    # Each file has scores of its own, so that one read for the wrong request shows.
+    for i, path in enumerate(paths):
+        scores.withColumn("SCORE", F.col("SCORE") + i).write.options(**text).csv(path)
     people = scratch_path(spark, "demographics")
     fixtures.demographics(spark, sf).write.options(**text).csv(people)
     return _cohort(
@@ -371,6 +372,30 @@ def incremental_auc(spark, sf):
     return _round(report.select(*KEY, "INCREMENTAL_AUC_PRS"))
 
 
+def legacy_report(spark, sf):
+    """The older report of a logistic request: its gates, groups and columns."""
+    cfg = EvalConfig.legacy().with_(covariates=("age",), outcome_alias={"bmi": "obesity"})
+    report = evaluate_requests(
+        fixtures.scores(spark, sf), fixtures.demographics(spark, sf), fixtures.requests(spark, LOG), cfg, legacy=True
+    )
+    absent = {*reports.LEGACY_ABSENT} & {*report.columns}
+    if absent:
+        raise ValueError(f"the older report has no {absent}")
+    shown = ["AUC", "TRUE_POSITIVE", "FALSE_POSITIVE", "TRUE_NEGATIVE", "FALSE_NEGATIVE", "DISEASE_PREV"]
+    return _round(report.select(*KEY, *shown, "INCREMENTAL_AUC_PRS"))
+
+
+def whole_run(spark, sf):
+    """From raw weight files and dosages to the written report of a request, with age as covariate."""
+    dosages = fixtures.run(spark, sf, fixtures.GENOTYPES)
+    frequencies = dosages.groupBy("chr", "pos", F.col("alt").alias("allele")).agg((F.avg("dosage") / 2).alias("freq"))
+    report = run(
+        spark, fixtures.requests(spark, LIN), raw_files.write_raw_files(spark, sf), dosages,
+        fixtures.demographics(spark, sf), scratch_path(spark, "whole-run"), AGE, frequencies=frequencies,
+    )
+    return _round(report.select(*KEY, "RSQ", "MSE", "N", "INCREMENTAL_RSQ_PRS"))
+
+
 def logistic_full(spark, sf):
     return _round(incremental(_logistic(spark, sf, CFG), "AUC"))
 
@@ -458,6 +483,8 @@ QUERIES = {
         logistic_age,
         incremental_auc,
         logistic_full,
+        legacy_report,
+        whole_run,
         all_tasks_age,
         all_tasks_report,
         distribution_input,
