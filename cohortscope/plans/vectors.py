@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 16
+MANY_CORES = 64
 BLOCK_FIELDS = "block int, " + ", ".join(f"v{i} double" for i in range(WIDTH))
 
 
@@ -27,14 +28,25 @@ def blocks(vectors: np.ndarray) -> tuple[np.ndarray, dict[str, pa.Array]]:
     return np.repeat(np.arange(count), per), columns
 
 
-def sum_vectors(partial: DataFrame, keys: list[str], parts: dict[str, str] | None = None) -> DataFrame:
+def sum_vectors(
+    partial: DataFrame, keys: list[str], parts: dict[str, str] | None = None, salts: int | None = None
+) -> DataFrame:
     """Add the blocks of every key and put them back together as arrays.
 
     ``parts`` names arrays by a condition on further columns of ``partial``. The blocks are shuffled
-    once, by key: both aggregations use that partitioning, and the first one streams.
+    once, by key: both aggregations use that partitioning, and the first one streams. On a cluster of many
+    cores, vectors of the same key and ``salt`` (a part of the tasks) are added first, so that no task
+    reads a block from every other one; by default there are as many salts as the root of the cores.
     """
     parts = parts or {"vector": "true"}
     further = [c for c in partial.columns if c not in keys and not c.startswith("v")]
+    if salts is None:
+        cores = partial.sparkSession.sparkContext.defaultParallelism
+        salts = int(cores**0.5) if cores > MANY_CORES else 1
+    if salts > 1:
+        salted = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        added = salted.groupBy(*keys, *further, "salt").agg(*(F.expr(f"sum(v{i}) as v{i}") for i in range(WIDTH)))
+        partial = added.drop("salt")
     sums = partial.repartition(*keys).groupBy(*keys, *further).agg(
         *(F.expr(f"sum(v{i}) as v{i}") for i in range(WIDTH))
     )

@@ -111,3 +111,21 @@ def test_the_weight_scan_does_not_shuffle_its_lines(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning" not in plan
+
+
+def test_vectors_are_added_in_one_step_or_two(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from cohortscope.plans import vectors
+
+    def partial(batches):
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            row, columns = vectors.blocks(np.outer(ids, np.arange(1.0, 21.0)))
+            yield pa.RecordBatch.from_pydict({"k": pa.array((ids % 3)[row])} | columns)
+
+    rows = spark.range(60).repartition(7).mapInArrow(partial, "k long, " + vectors.BLOCK_FIELDS)
+    for salts in (1, 3):
+        got = {r.k: r.vector[:20] for r in vectors.sum_vectors(rows, ["k"], salts=salts).collect()}
+        assert got == {k: [float(sum(range(k, 60, 3)) * c) for c in range(1, 21)] for k in range(3)}
