@@ -197,7 +197,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     hundred of its words is. Without documents the model knows no language.
     """
     ship(docs.sparkSession)
-    usable = docs.where("lang is not null and text is not null").where(fold(F.col("doc_id")) != HELD_OUT)
+    usable = docs.where("lang is not null").where(fold(F.col("doc_id")) != HELD_OUT)
     count = usable.select("doc_id").count()
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 30))
     chosen = usable.where(place < int((1 << 30) * min(1.0, fit_rows / max(1, count))))
