@@ -106,14 +106,14 @@ def read_weights(
     )
     layout = written(layout, "layouts")
     layout = F.broadcast(layout) if layout.count() <= BROADCAST_FILES else layout
-    without = F.raise_error(F.concat(F.lit("weight file without a column line: "), "file")).cast("boolean")
     # The column line has no fields, so that a later cast never meets a column name.
-    fields = F.when(F.col("line") != F.col("columns"), F.split("line", "\t", -1))
+    fields = F.when(~F.col("line").eqNullSafe(F.col("columns")), F.split("line", "\t", -1))
+    without = F.raise_error(F.concat(F.lit("weight file without the needed columns: "), "file")).cast("string")
     return (
         body.join(layout, "file", "left")
-        .where(F.coalesce("complete", without) & (F.col("line") != F.col("columns")))
+        .where(~F.col("line").eqNullSafe(F.col("columns")))
         .select(
-            _pgs(pgs_pattern),
+            F.when(F.col("columns").isNull(), without).otherwise(_pgs(pgs_pattern)).alias("pgs"),
             *(F.nullif(F.get(fields, F.col(f"at_{c}")), F.lit("")).alias(c) for c in WEIGHT_COLUMNS),
         )
     )
