@@ -13,7 +13,9 @@ from cohortscope.plans.scratch import written
 
 # A bucket with more fingerprints than this is compared tile by tile in different tasks.
 TILE = 8192
+# Buckets up to SMALL give all their pairs; those up to MIDDLE are first searched for any pair.
 SMALL = 12
+MIDDLE = 256
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -94,14 +96,16 @@ def _bucket_links(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         group = np.cumsum(fresh) - 1
         size_of = sizes[group]
         parts = []
-        small = size_of <= SMALL
-        for lag in range(1, int(min(SMALL, sizes.max()))):
-            same = (group[lag:] == group[:-lag]) & small[lag:]
-            at = np.flatnonzero(same)
-            at = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= radius]
+        searched = size_of <= MIDDLE
+        paired = sizes > MIDDLE
+        for lag in range(1, int(sizes[sizes <= MIDDLE].max(initial=0))):
+            near = np.bitwise_count(fps[lag:] ^ fps[:-lag]) <= radius
+            at = np.flatnonzero(near & (group[lag:] == group[:-lag]) & searched[lag:])
             if len(at):
+                paired[group[at]] = True
+                at = at[size_of[at] <= SMALL]
                 parts.append((fps[at], fps[at + lag]))
-        for g in np.flatnonzero(sizes > SMALL):
+        for g in np.flatnonzero(paired & (sizes > SMALL)):
             rows = slice(starts[g], starts[g] + sizes[g])
             if own[rows].any():
                 parts += _links_of_group(fps[rows], own[rows], radius)

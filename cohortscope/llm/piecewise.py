@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.llm.edit import distance
 from cohortscope.llm.text import chunks, mix, range_hashes
 from cohortscope.plans.ship import ship
 
@@ -64,35 +65,6 @@ def fingerprint(text: str | None) -> str:
     return f"{block}:{_signature(data, at + 1)}:{_signature(data, twice + 1)}"
 
 
-def _distance(a: str, b: str) -> int:
-    """Edit distance, a column of the table at a time as the bits of one number."""
-    if a == b:
-        return 0
-    if not a or not b:
-        return max(len(a), len(b))
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    top = 1 << (len(a) - 1)
-    more, less, distance = full, 0, len(a)
-    for c in b:
-        eq = places.get(c, 0)
-        xv = eq | less
-        xh = (((eq & more) + more) ^ more) | eq
-        ph = less | (~(xh | more) & full)
-        mh = more & xh
-        if ph & top:
-            distance += 1
-        elif mh & top:
-            distance -= 1
-        ph = (ph << 1 | 1) & full
-        mh = mh << 1 & full
-        more = mh | (~(xv | ph) & full)
-        less = ph & xv
-    return distance
-
-
 def _alike(a: str, b: str) -> float:
     """1 less the edit distance by length; 0 for longer signatures without a common run of letters."""
     if not a and not b:
@@ -101,7 +73,7 @@ def _alike(a: str, b: str) -> float:
         runs = {a[i : i + COMMON] for i in range(len(a) - COMMON + 1)}
         if not any(b[i : i + COMMON] in runs for i in range(len(b) - COMMON + 1)):
             return 0.0
-    return 1.0 - _distance(a, b) / max(len(a), len(b))
+    return 1.0 - distance(a, b) / max(len(a), len(b))
 
 
 def likeness(one: str, other: str) -> float:
