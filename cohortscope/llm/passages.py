@@ -278,7 +278,8 @@ def repeated_windows(
     """
     ship(docs.sparkSession)
     anchors = written(docs.select("doc", "text").mapInArrow(_anchor_batches(threshold), "anchor long, doc long, at int"), "anchors")
-    twice = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that the join shuffles both sides itself and Spark can split a very common anchor.
+    twice = written(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
     wanted = anchors.join(twice, "anchor", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("wanted"))
     asked = docs.join(wanted, "doc").select("doc", "row", "text", "wanted")
     schema = "anchor long, h1 long, h2 long, doc long, row long, at int, windows int, words binary"
@@ -302,7 +303,7 @@ def repeated_windows(
     )
     late = written(late.groupBy("h1", "h2").agg(F.collect_set("offset").alias("offsets")), "late")
     known = distinct.select("h1", "h2", F.struct("doc", "row", "at").alias("first"))
-    known = known.join(late, ["h1", "h2"], "left")
+    known = written(known.join(late, ["h1", "h2"], "left"), "known-pieces")
     runs = pieces.select("h1", "h2", "doc", "row", "at", "windows").join(known, ["h1", "h2"])
     own = "first.doc = doc and first.row = row and first.at = at"
     runs = runs.where(f"not ({own}) or offsets is not null").withColumn("offsets", F.expr(f"if({own}, offsets, null)"))
