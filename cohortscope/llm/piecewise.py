@@ -25,8 +25,9 @@ WINDOW = 7
 SMALLEST = 3
 LENGTH = 64
 COMMON = 5
-# Text that one range of consecutive documents holds, about.
-RANGE_BYTES = 32 << 20
+# Text that one range of consecutive documents holds, about; more if there would be too many ranges.
+RANGE_BYTES = 12 << 20
+MOST_RANGES = 100_000
 _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _LAST = (1 << 63) - 1
 
@@ -128,9 +129,10 @@ def compare_with_edited(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Data
     about = rows.agg(F.min("key").alias("first"), F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("n")).first()
     if not about["n"]:
         return rows.select("doc_id", "text", F.lit(0).alias("extra")).mapInArrow(_compared, _SCHEMA)
-    wanted = max(about["size"] // range_bytes, 2 * spark.sparkContext.defaultParallelism, 1)
+    wanted = min(max(about["size"] // range_bytes, 2 * spark.sparkContext.defaultParallelism, 2), MOST_RANGES)
     shares = [i / wanted for i in range(1, wanted)]
-    cuts = rows.agg(F.percentile_approx("key", shares, 100 * wanted).alias("cuts")).first()["cuts"] if shares else []
+    exact = max(10_000, 10 * wanted)
+    cuts = rows.agg(F.percentile_approx("key", shares, exact).alias("cuts")).first()["cuts"]
     # Ranges begin at ids that are there, so a range's first document is known by its id.
     bounds = sorted({about["first"], *cuts})
 
@@ -141,7 +143,9 @@ def compare_with_edited(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Data
     # A range's first documents are also sent to the range before it, the first one's to the last.
     before = F.pmod(number("key") - 1, F.lit(len(bounds)))
     dealt = rows.withColumn("range", number("key")).withColumn("extra", F.lit(0))
-    heads = rows.where(F.col("key").isin(bounds)).withColumn("range", before).withColumn("extra", F.lit(1))
+    # At most MOST_RANGES numbers.
+    first = F.broadcast(spark.createDataFrame([(b,) for b in bounds], "key long"))
+    heads = rows.join(first, "key", "left_semi").withColumn("range", before).withColumn("extra", F.lit(1))
     return (
         dealt.unionByName(heads)
         .repartitionById(len(bounds), F.col("range"))
