@@ -96,19 +96,20 @@ def _bucket_links(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         group = np.cumsum(fresh) - 1
         size_of = sizes[group]
         parts = []
-        searched = size_of <= MIDDLE
         paired = sizes > MIDDLE
+        followers = starts[group] + size_of - 1 - np.arange(len(keys))
+        rows = np.flatnonzero(size_of <= MIDDLE)
         for lag in range(1, int(sizes[sizes <= MIDDLE].max(initial=0))):
-            near = np.bitwise_count(fps[lag:] ^ fps[:-lag]) <= radius
-            at = np.flatnonzero(near & (group[lag:] == group[:-lag]) & searched[lag:])
+            rows = rows[followers[rows] >= lag]
+            at = rows[np.bitwise_count(fps[rows] ^ fps[rows + lag]) <= radius]
             if len(at):
                 paired[group[at]] = True
                 at = at[size_of[at] <= SMALL]
                 parts.append((fps[at], fps[at + lag]))
         for g in np.flatnonzero(paired & (sizes > SMALL)):
-            rows = slice(starts[g], starts[g] + sizes[g])
-            if own[rows].any():
-                parts += _links_of_group(fps[rows], own[rows], radius)
+            bucket = slice(starts[g], starts[g] + sizes[g])
+            if own[bucket].any():
+                parts += _links_of_group(fps[bucket], own[bucket], radius)
         if parts:
             a = np.concatenate([p[0] for p in parts]).view(np.int64)
             b = np.concatenate([p[1] for p in parts]).view(np.int64)
