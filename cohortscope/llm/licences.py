@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.llm.text import chunks
+from cohortscope.plans.ship import ship
+
 # Sentences of published licence texts and notices, as they are once normalised.
 SENTENCES = {
     "mit-notice": ("released under the mit license", "licensed under the mit license", "this project is licensed under the mit license"),
@@ -83,14 +90,72 @@ RULES = {
 SLACK = 6
 
 
-def sentences_of(text: Column) -> Column:
-    """Array of sentences: parted by line ends, and by white space after a full stop or the like."""
-    return F.split(F.regexp_replace(text, r"([.!?;:])[\x20\x09]+", "$1\n"), "\n")
+_CUT = re.compile(r"([.!?;:])[\x20\x09]+")
+_OTHER = re.compile(r"[^a-z0-9]+")
+# A full stop or the like at the end of a part, also before closing quotes and brackets.
+_STOP = re.compile(r"[.!?][\"')\]]*\s*\Z")
+
 
+def parts_of(text: str) -> list[str]:
+    """Parts of a text: cut at line ends, and at white space after a full stop or the like."""
+    return _CUT.sub("\\1\n", text).split("\n")
 
-def normalised(sentence: Column) -> Column:
+
+def normalised(text: str) -> str:
     """Lower-case letters and digits of ASCII, one space for each run of anything else."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+    return _OTHER.sub(" ", text.lower()).strip()
+
+
+def found_in(text: str, wanted: list[tuple[str, str]]) -> list[tuple[int, int, int, str]]:
+    """Known sentences of a text: (first part, last part, how many sentences end before it, identifier).
+
+    A sentence may run over any number of parts, so wrapped lines, blank lines and its own punctuation do
+    not hide it; it begins where a part begins and ends where one ends. Sentences end at full stops, at
+    blank lines and with each known sentence, single line ends do not end them.
+    """
+    parts = parts_of(text)
+    plain = [normalised(p) for p in parts]
+    starts, ends, at = {}, {}, 1
+    for i, p in enumerate(plain):
+        if p:
+            starts[at] = i
+            ends[at + len(p)] = i
+            at += len(p) + 1
+    joined = f" {' '.join(p for p in plain if p)} "
+    found: dict[tuple[int, str], int] = {}
+    for sentence, name in wanted:
+        at = joined.find(sentence)
+        while at >= 0:
+            first, last = starts.get(at + 1), ends.get(at + len(sentence) - 1)
+            if first is not None and last is not None:
+                found[first, name] = min(last, found.get((first, name), last))
+            at = joined.find(sentence, at + 1)
+    closing = set(found.values())
+    before, count = [], 0
+    for i, p in enumerate(plain):
+        before.append(count)
+        if p and (i in closing or _STOP.search(parts[i]) or not any(plain[i + 1 : i + 2])):
+            count += 1
+    return [(first, last, before[first], name) for (first, name), last in found.items()]
+
+
+def _found_batches(wanted: list[tuple[str, str]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            rows = []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                whole = f" {normalised(text or '')} "
+                # Most texts hold no known sentence at all.
+                if held := [w for w in wanted if w[0] in whole]:
+                    rows += [(i, *f) for f in found_in(text, held)]
+            if not rows:
+                continue
+            owner, first, last, before, name = zip(*rows)
+            keys = [batch.column(k).take(pa.array(owner)) for k in (0, 1)]
+            places = [pa.array(c, pa.int32()) for c in (first, last, before)]
+            yield pa.RecordBatch.from_arrays([*keys, *places, pa.array(name, pa.string())], ["doc_id", "row", "at", "upto", "before", "id"])
+
+    return run
 
 
 def licences(
@@ -102,30 +167,28 @@ def licences(
     """A row per rule and place matched: doc_id, licence, rule, first_sentence, last_sentence, sentences.
 
     A rule matches when its sentences stand in order, with at most ``slack`` others between the first and
-    the last; the numbers are those of the document's sentences, from 0. A match inside a longer match of
-    the same document is left out. Null and empty texts match nothing; rows that share a doc_id are each
+    the last. Wrapped lines belong to one sentence (see ``found_in``). The numbers are those of the
+    document's parts (lines, cut after ``.!?;:`` and white space), from 0: the part where the first sentence
+    begins and the one where the last ends. A match inside a longer match of the same document is left out. Null and empty texts match nothing; rows that share a doc_id are each
     scanned (told apart by their text), rows that repeat both are reported once. The tables of sentences
-    and rules are arguments of a few kilobytes, so their sides of the joins are broadcast.
+    and rules are arguments of a few kilobytes, so the rules are broadcast and the sentences go with the tasks.
     """
     spark = docs.sparkSession
-    known = spark.createDataFrame(
-        [(s, k) for k, texts in sentences.items() for s in texts], "sentence string, id string"
-    ).distinct()
+    ship(spark)
+    wanted = sorted({(f" {s} ", k) for k, texts in sentences.items() for s in texts})
     ordered = spark.createDataFrame([(r, n, list(ids)) for r, (n, ids) in rules.items()], "rule string, licence string, ids array<string>")
-    rows = docs.select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), sentences_of(F.col("text").cast("string")).alias("all")
-    )
-    listed = rows.select("doc_id", "row", F.posexplode("all").alias("at", "raw"))
-    found = listed.withColumn("sentence", normalised(F.col("raw"))).join(F.broadcast(known), "sentence")
-    per_doc = found.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("at", "id"))).alias("found"))
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), F.col("text").cast("string").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(_found_batches(wanted), f"doc_id {kind}, row long, at int, upto int, before int, id string")
+    per_doc = found.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("at", "upto", "before", "id"))).alias("found"))
     # From each place of the rule's first sentence, every further one is taken as early as it comes.
-    nexts = "array_min(transform(filter(found, f -> f.id = id and f.at > at), f -> f.at))"
-    last = f"aggregate(slice(ids, 2, size(ids)), start.at, (at, id) -> {nexts})"
+    nexts = "get(filter(found, f -> f.id = id and f.at > so_far.upto), 0)"
+    last = f"aggregate(slice(ids, 2, size(ids)), start, (so_far, id) -> {nexts})"
     starts = per_doc.join(F.broadcast(ordered), F.expr("exists(found, f -> f.id = ids[0])")).withColumn(
         "start", F.explode(F.expr("filter(found, f -> f.id = ids[0])"))
     )
-    matches = starts.withColumn("last", F.expr(last)).where(f"last is not null and last - start.at < size(ids) + {slack}")
-    matches = matches.select("doc_id", "row", "rule", "licence", F.col("start.at").alias("first"), "last", F.size("ids").alias("n"))
+    matches = starts.withColumn("last", F.expr(last)).where(f"last is not null and last.before - start.before < size(ids) + {slack}")
+    matches = matches.select("doc_id", "row", "rule", "licence", F.col("start.at").alias("first"), F.col("last.upto").alias("last"), F.size("ids").alias("n"))
     match = F.struct("rule", "licence", "first", "last", "n")
     together = matches.groupBy("doc_id", "row").agg(F.collect_list(match).alias("all"))
     inside = "o.first <= m.first and o.last >= m.last and o.n > m.n"
