@@ -28,9 +28,11 @@ from cohortscope.plans.ship import ship
 
 THRESHOLD = 20
 ANCHOR_WORDS = 5
-# Words of one shard's index, about; and pieces of one anchor above which its windows are dealt singly.
+# Words of one shard's index, about; and pieces of one anchor above which its windows are counted by their hash.
 SHARD_WORDS = 400_000
 HOT_PIECES = 5_000
+# Copies of one such window that are told from its first place under one key.
+COPIES = 10_000
 _LAST = (1 << 63) - 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -198,7 +200,7 @@ def earlier_windows(words: pa.Array, rank: np.ndarray, base: np.ndarray, thresho
     """Of the pieces of a shard, the windows that start in an earlier piece: rows of (piece, offset).
 
     ``rank`` orders the pieces by where they first stand; ``base`` is the offset of a piece's first window
-    in it (0, or more for windows that were dealt singly). Windows of one document do not share pieces, so
+    in it. Windows of one document do not share pieces, so
     places are in the order of (rank, offset).
     """
     split = pc.ascii_split_whitespace(words.cast(pa.string()))
@@ -243,7 +245,7 @@ def _shard_batches(threshold: int):
             np.append(0, (np.diff(doc[order]) != 0) | (np.diff(row[order]) != 0) | (np.diff(at[order]) != 0))
         )
         words = pc.cast(table.column("words"), pa.large_binary()).combine_chunks()
-        base = table.column("base").to_numpy().astype(np.int64)
+        base = np.zeros(len(order), np.int64)
         found = earlier_windows(pa.array(words) if isinstance(words, pa.ChunkedArray) else words, rank, base, threshold)
         take = pa.array(found[:, 0])
         columns = [table.column(c).combine_chunks().take(take) for c in ("h1", "h2")]
@@ -253,22 +255,50 @@ def _shard_batches(threshold: int):
 
 
 def _single_windows(threshold: int):
-    """Pieces cut into windows, each a piece of its own that is dealt by its words."""
+    """Windows of pieces by a 128-bit hash of their words: (h1, h2, doc, row, start, offset, w1, w2)."""
+    names = ["h1", "h2", "doc", "row", "start", "offset", "w1", "w2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [w.split() for w in batch.column(batch.schema.get_field_index("words")).to_pylist()]
-            windows = [(i, k, b" ".join(w[k : k + threshold])) for i, w in enumerate(words) for k in range(len(w) - threshold + 1)]
-            take = pa.array([i for i, _, _ in windows], pa.int64())
-            out = {n: batch.column(i).take(take) for i, n in enumerate(batch.schema.names)}
-            out["base"] = pa.array([k for _, k, _ in windows], pa.int32())
-            out["words"] = pa.array([w for _, _, w in windows], pa.binary())
-            out["anchor"] = pa.array([xxhash.xxh3_64_intdigest(w) - (1 << 63) for _, _, w in windows], pa.int64())
-            yield pa.RecordBatch.from_arrays([out[n] for n in batch.schema.names], batch.schema.names)
+        for batch in chunks(batches, "words"):
+            owner, offset, digests = [], [], []
+            for i, words in enumerate(batch.column("words").to_pylist()):
+                w = words.split()
+                for k in range(len(w) - threshold + 1):
+                    owner.append(i)
+                    offset.append(k)
+                    digests.append(xxhash.xxh3_128_digest(b" ".join(w[k : k + threshold])))
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            take, offset = pa.array(owner, pa.int64()), np.array(offset, np.int32)
+            keys = [batch.column(c).take(take) for c in ("h1", "h2", "doc", "row")]
+            start = batch.column("at").take(take).to_numpy() + offset
+            columns = [*keys, pa.array(start), pa.array(offset), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
+def _late_windows(pieces: DataFrame, threshold: int) -> DataFrame:
+    """(h1, h2, offset) of the windows that also start earlier, for pieces of anchors that very many share.
+
+    Equal windows have one anchor, so no other piece holds them. They meet as one row counted on the map
+    side; no task holds all copies of a window, nor their words.
+    """
+    schema = "h1 long, h2 long, doc long, row long, start int, offset int, w1 long, w2 long"
+    windows = written(pieces.mapInArrow(_single_windows(threshold), schema), "hot-windows")
+    place = F.struct("doc", "row", "start")
+    firsts = windows.groupBy("w1", "w2").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Copies of a window are spread over salts, so that a very common one is not one task's.
+    firsts = written(firsts.select("w1", "w2", "kept", "n"), "hot-firsts")
+    salts = f"cast(ceil(n / {COPIES}) as int)"
+    common = firsts.where(f"n > {COPIES}").select("w1", "w2", F.expr(salts).alias("salts"))
+    salted = windows.join(F.broadcast(common), ["w1", "w2"], "left").withColumn(
+        "salt", F.expr("if(salts is null, 0, pmod(xxhash64(doc, row, start), salts))")
+    )
+    firsts = firsts.select("w1", "w2", "kept", F.explode(F.expr(f"sequence(0, {salts} - 1)")).alias("salt"))
+    own = "doc = kept.doc and row = kept.row and start = kept.start"
+    return salted.join(firsts, ["w1", "w2", "salt"]).where(f"not ({own})").select("h1", "h2", "offset")
+
+
 def repeated_windows(
     docs: DataFrame, threshold: int = THRESHOLD, shard_words: int = SHARD_WORDS, hot_pieces: int = HOT_PIECES
 ) -> DataFrame:
@@ -288,19 +318,20 @@ def repeated_windows(
     distinct = pieces.groupBy(*content).agg(
         F.min(F.struct("doc", "row", "at")).alias("first"), F.max("windows").alias("windows"), F.any_value("words").alias("words")
     )
-    distinct = written(distinct.select(*content, "first.*", "windows", F.lit(0).alias("base"), "words"), "distinct-pieces")
+    distinct = written(distinct.select(*content, "first.*", "windows", "words"), "distinct-pieces")
     hot = written(distinct.groupBy("anchor").count().where(F.col("count") > hot_pieces).select("anchor"), "hot-anchors")
+    common = None
     dealt = distinct
     if not hot.isEmpty():
-        single = distinct.join(hot, "anchor", "left_semi").select(*distinct.columns)
-        # Equal windows of a hot anchor stand in the shard once, at their first place.
-        single = single.mapInArrow(_single_windows(threshold), distinct.schema)
-        dealt = distinct.join(hot, "anchor", "left_anti").select(*distinct.columns).unionByName(single)
-    total = distinct.agg(F.sum(F.col("windows") + threshold)).first()[0] or 0
+        common = distinct.join(hot, "anchor", "left_semi").select(*distinct.columns)
+        dealt = distinct.join(hot, "anchor", "left_anti").select(*distinct.columns)
+    total = dealt.agg(F.sum(F.col("windows") + threshold)).first()[0] or 0
     shards = max(1, -(-total // shard_words))
     late = dealt.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(
         _shard_batches(threshold), "h1 long, h2 long, offset int"
     )
+    if common is not None:
+        late = late.unionByName(_late_windows(common, threshold))
     late = written(late.groupBy("h1", "h2").agg(F.collect_set("offset").alias("offsets")), "late")
     known = distinct.select("h1", "h2", F.struct("doc", "row", "at").alias("first"))
     known = written(known.join(late, ["h1", "h2"], "left"), "known-pieces")

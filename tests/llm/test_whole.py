@@ -1,11 +1,13 @@
 """Whole results where a shorter way would lose some: wrapped licences, passages of hot anchors, similar lines."""
 
+import random
 import textwrap
 
 import pytest
 
-from cohortscope.llm import licences
+from cohortscope.llm import licences, passages
 from llm import edge
+from llm.test_dedup import check_passages
 
 MIT = """
 Copyright (c) 2020 Someone
@@ -89,3 +91,27 @@ def test_slack_counts_sentences_not_lines(spark):
         (2, f"{grant}.\n" + "a sentence.\n" * 20 + f"{keep}.\n{as_is}.", None, None, 0),
     ]
     assert [(r.doc_id, r.rule) for r in licences.licences(edge.table(spark, data)).collect()] == [(1, "mit-text")]
+
+
+@pytest.mark.parametrize("copies", [4, 10_000])
+def test_copies_of_a_hot_window_do_not_meet_in_a_shard(spark, monkeypatch, copies):
+    rng = random.Random(6)
+    common = edge.sentence(rng, 24)
+    texts = [f"{edge.sentence(rng, 9)} {common} {edge.sentence(rng, 9)}" for _ in range(60)]
+    docs = edge.table(spark, [(i % 50, t, None, None, 0) for i, t in enumerate(texts)])
+    shard_batches = passages._shard_batches
+
+    def checked(threshold):
+        inner = shard_batches(threshold)
+
+        def run(table):
+            words = table.column("words").to_pylist()
+            assert len(words) == len(set(words)), "equal windows in one shard"
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(passages, "_shard_batches", checked)
+    monkeypatch.setattr(passages, "COPIES", copies, raising=False)
+    check_passages(docs, 20, hot_pieces=5)
+    check_passages(docs, 20, hot_pieces=5, shard_words=300)
