@@ -23,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, how many repeat earlier ones, and a digest of what is left."""
-    cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents"))
+    cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents"), whole=True)
     return cleaned.select("doc_id", "n_lines", "n_removed", _sha256("text").alias("kept_sha256"))
 
 

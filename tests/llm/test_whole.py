@@ -5,7 +5,7 @@ import textwrap
 
 import pytest
 
-from cohortscope.llm import licences, passages
+from cohortscope.llm import licences, lines, passages
 from llm import edge
 from llm.test_dedup import check_passages
 
@@ -115,3 +115,18 @@ def test_copies_of_a_hot_window_do_not_meet_in_a_shard(spark, monkeypatch, copie
     monkeypatch.setattr(passages, "COPIES", copies, raising=False)
     check_passages(docs, 20, hot_pieces=5)
     check_passages(docs, 20, hot_pieces=5, shard_words=300)
+
+def test_lines_with_one_edit_are_removed(spark):
+    rng = random.Random(9)
+    first, second = [], []
+    for i in range(200):
+        words = edge.sentence(rng, rng.randint(10, 50)).split()
+        first.append(" ".join(words))
+        at = rng.randrange(len(words))
+        words[at] = edge.sentence(rng, 1) if i % 2 else words[at][:-1] + "z"
+        second.append(" ".join(words))
+    unlike = [" ".join(line.split()[::-1]) for line in first]
+    data = [(n, "\n".join(some), None, None, 0) for n, some in enumerate([first, second, unlike])]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(edge.table(spark, data), whole=True).collect()}
+    assert got[0] == got[2] == 0
+    assert got[1] >= 196
