@@ -54,7 +54,7 @@ def contaminated(
     with the aligned words of the document in at least ``agreement`` of the positions; a window with no
     common seed is not looked at. ``matched`` and ``overlap`` count equal and aligned words of the best
     alignment, ``doc_start`` is the word of the document where its overlap begins. Items of equal words
-    are reported once, by the smallest item_id. Null and empty texts, and items with fewer words than a
+    are reported once, by the smallest item_id; one without an id is reported with a null one. Null and empty texts, and items with fewer words than a
     mask, match nothing. Rows that share a doc_id and a text are looked at once. Masks must be equally
     long.
     """
@@ -62,11 +62,13 @@ def contaminated(
         raise ValueError("masks must be equally long")
     span = len(masks[0])
     items = benchmark.select("item_id", F.col("text").cast("string")).select("item_id", _fixed(words=_HASHES))
-    items = written(items.where(f"size(words) >= {span}").groupBy("words").agg(F.min("item_id").alias("item_id")), "items")
+    items = items.where(f"size(words) >= {span}").groupBy("words").agg(F.min("item_id").alias("item_id"))
+    # An item without an id is found as well, so items are joined by a key of their words.
+    items = written(items.select(F.xxhash64("words").alias("key"), "item_id", "words"), "items")
     count = len(masks)
     place = f"i % (size(words) - {span - 1})"
-    found = items.select("item_id", F.size("words").alias("size"), "words", F.posexplode_outer(F.expr(_seeds(masks))).alias("i", "seed"))
-    seeds = written(found.select("seed", "item_id", F.expr(place).alias("at")), "seeds")
+    found = items.select("key", F.size("words").alias("size"), "words", F.posexplode_outer(F.expr(_seeds(masks))).alias("i", "seed"))
+    seeds = written(found.select("seed", "key", F.expr(place).alias("at")), "seeds")
     # Neither side of the join carries a text or its words.
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), F.col("text").cast("string"))
     hashed = keyed.select("doc_id", "row", _fixed(words=_HASHES))
@@ -75,8 +77,8 @@ def contaminated(
     )
     if seeds.count() <= broadcast_seeds:
         seeds = F.broadcast(seeds)
-    hits = spread.join(seeds, "seed").selectExpr("doc_id", "row", "item_id", "cast(i % seeds as int) - at as shift")
-    shifts = hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("item_id", "shift")).alias("hits"))
+    hits = spread.join(seeds, "seed").selectExpr("doc_id", "row", "key", "cast(i % seeds as int) - at as shift")
+    shifts = hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("key", "shift")).alias("hits"))
     shifts = written(shifts, "hits")
     marked = keyed.join(shifts.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")) & (keyed["row"] == shifts["row"]))
     marked = marked.dropDuplicates(["doc_id", "row"]).select("doc_id", "hits", _fixed(words=_HASHES))
@@ -85,16 +87,16 @@ def contaminated(
     sums = "aggregate(same, array(0), (sums, x) -> concat(sums, array(element_at(sums, -1) + x)))"
     aligned = (
         marked.select("doc_id", "words", F.inline("hits"))
-        .join(items.withColumnRenamed("words", "item"), "item_id")
+        .join(items.withColumnRenamed("words", "item"), "key")
         .withColumn("low", F.expr("greatest(0, -shift)"))
         .withColumn("high", F.expr("least(size(item), size(words) - shift)"))
-        .select("doc_id", "item_id", "item", "low", "shift", _fixed(same=same))
+        .select("doc_id", "key", "item_id", "item", "low", "shift", _fixed(same=same))
         .withColumn("wide", F.expr(f"least({window}, size(item))"))
-        .select("doc_id", "item_id", "low", "shift", "same", "wide", _fixed(sums=sums))
+        .select("doc_id", "key", "item_id", "low", "shift", "same", "wide", _fixed(sums=sums))
         .where("size(same) >= wide")
         .where(F.expr(f"exists(sequence(wide, size(same)), k -> sums[k] - sums[k - wide] >= {agreement}D * wide)"))
     )
-    best = aligned.groupBy("doc_id", "item_id").agg(
+    best = aligned.groupBy("doc_id", "key", "item_id").agg(
         F.max(F.struct(F.expr("element_at(sums, -1)").alias("matched"), F.size("same").alias("overlap"), (-F.expr("low + shift")).alias("back"))).alias("best")
     )
     return best.select(

@@ -5,7 +5,7 @@ import textwrap
 
 import pytest
 
-from cohortscope.llm import licences, lines, passages
+from cohortscope.llm import licences, lines, passages, spaced
 from llm import edge
 from llm.test_dedup import check_passages
 
@@ -130,3 +130,13 @@ def test_lines_with_one_edit_are_removed(spark):
     got = {r.doc_id: r.n_removed for r in lines.dedup_lines(edge.table(spark, data), whole=True).collect()}
     assert got[0] == got[2] == 0
     assert got[1] >= 196
+
+
+def test_benchmark_items_without_an_id_are_found(spark):
+    rng = random.Random(7)
+    first, second = edge.sentence(rng, 30), edge.sentence(rng, 30)
+    docs = edge.table(spark, [(i, t, None, None, 0) for i, t in enumerate([f"a b {first} c", second, edge.sentence(rng, 40)])])
+    bench = spark.createDataFrame([(None, first), (None, second)], "item_id long, text string")
+    got = spaced.contaminated(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.matched) for r in got) == [(0, None, 30), (1, None, 30)]
+    assert [r.doc_id for r in spaced.decontaminate(docs, bench).collect()] == [2]
