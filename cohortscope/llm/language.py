@@ -116,7 +116,7 @@ def spans(scores: np.ndarray, offsets: np.ndarray, switch: float) -> np.ndarray:
     labels = np.zeros(len(scores), np.int64)
     if not steps:
         return labels
-    came = np.zeros(len(scores), np.int8)
+    came = np.zeros(len(scores), np.min_scalar_type(scores.shape[1]))
     stays = np.zeros((len(scores), scores.shape[1]), bool)
     best = np.zeros((active[0], scores.shape[1]))
     for t in range(steps):

@@ -3,9 +3,10 @@
 import random
 import textwrap
 
+import numpy as np
 import pytest
 
-from cohortscope.llm import licences, lines, passages, spaced
+from cohortscope.llm import language, licences, lines, passages, spaced
 from llm import edge
 from llm.test_dedup import check_passages
 
@@ -140,3 +141,11 @@ def test_benchmark_items_without_an_id_are_found(spark):
     got = spaced.contaminated(docs, bench).collect()
     assert sorted((r.doc_id, r.item_id, r.matched) for r in got) == [(0, None, 30), (1, None, 30)]
     assert [r.doc_id for r in spaced.decontaminate(docs, bench).collect()] == [2]
+
+
+@pytest.mark.parametrize("languages", [100, 200, 300])
+def test_spans_of_many_languages(languages):
+    want = [languages - 1] * 4 + [0] * 4
+    scores = np.full((8, languages), -10.0)
+    scores[np.arange(8), want] = 0.0
+    assert language.spans(scores, np.array([0, 8]), 3.0).tolist() == want
