@@ -32,4 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Free what ``written`` wrote for these tables, once nothing that is still to run reads them.
+
+    What was made from them must have been written itself, as a lost executor's tasks run again.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
