@@ -33,9 +33,10 @@ INSIDE = 80
 # Words of one broadcast dictionary, phrases of one broadcast trie.
 DICTIONARY = 2_000_000
 TRIE = 1_000_000
-# Bytes of text, and numbers, that a task looks at together.
-BYTES = 8 << 20
-NUMBERS = 2_000_000
+# Bytes of text, and numbers, that a task looks at together, and counts that it holds before it passes them on.
+BYTES = 2 << 20
+NUMBERS = 500_000
+HELD = 500_000
 # Bytes that part words, and those that part pieces.
 BLANKS, MARKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _BLANK, _MARK = table_of(BLANKS + MARKS), table_of(MARKS)
@@ -62,20 +63,27 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.Table] = []
     for batch in chunks(batches, "text", BYTES):
         words, text, _ = words_of(batch.column(1))
         langs, coded = batch.column(0).dictionary_encode(), words.dictionary_encode()
         size = max(1, len(coded.dictionary))
         keys = langs.indices.to_numpy().astype(np.int64)[text] * size + coded.indices.to_numpy()
         found, n = np.unique(keys, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                langs.dictionary.take(pa.array(found // size)),
-                coded.dictionary.take(pa.array(found % size)).cast(pa.string()),
-                pa.array(n),
-            ],
-            ["lang", "word", "n"],
-        )
+        columns = [langs.dictionary.take(pa.array(found // size)), coded.dictionary.take(pa.array(found % size))]
+        held.append(pa.table([columns[0], columns[1].cast(pa.string()), pa.array(n)], ["lang", "word", "n"]))
+        if sum(h.num_rows for h in held) > HELD:
+            held = [_added(held)]
+            if held[0].num_rows > HELD // 2:
+                yield from held[0].to_batches()
+                held = []
+    if held:
+        yield from _added(held).to_batches()
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(tables).group_by(["lang", "word"]).aggregate([("n", "sum")])
+    return pa.table([sums.column(c) for c in ("lang", "word", "n_sum")], ["lang", "word", "n"])
 
 
 def numbered_words(frequent: DataFrame, dictionary: int = DICTIONARY) -> tuple[DataFrame, int]:
@@ -107,7 +115,7 @@ def _encode(dictionary: Broadcast):
         for batch in chunks(batches, "text", BYTES):
             words, text, _ = words_of(batch.column(1))
             ids = np.zeros(len(words), np.int32)
-            before = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            before = _entries(batch.column(2))
             if len(before):
                 ids[:] = before
             langs = batch.column(0).dictionary_encode()
@@ -129,7 +137,7 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text the numbers of its words, a 0 at the end of runs of frequent words; lone words are left out."""
     for batch in chunks(batches, "text", BYTES):
         _, text, last = words_of(batch.column(0))
-        ids = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+        ids = _entries(batch.column(1))
         place = np.arange(len(ids)) + np.cumsum(last) - last
         size = len(ids) + int(last.sum())
         spread, owner = np.zeros(size, np.int32), np.zeros(size, np.int64)
@@ -158,30 +166,54 @@ def encoded(docs: DataFrame, vocabulary: DataFrame, dictionaries: int) -> DataFr
     return written(rows.select("text", "ids").mapInArrow(_sequences, "ids array<int>").where("size(ids) > 0"), "encoded")
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """The columns of batches as flat arrays, of at most about NUMBERS entries or one row."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts with lists of at most about NUMBERS entries, or one row."""
     for batch in batches:
-        sizes = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // NUMBERS
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            if b > a:
-                some = batch.slice(a, b - a)
-                yield tuple(some.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(some.num_columns))
-
-
-def _counted(k: int, keys: np.ndarray) -> pa.RecordBatch:
-    found, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(found), k, np.int32)), pa.array(found), pa.array(n)], ["k", "key", "n"]
-    )
+        if batch.num_rows:
+            sizes = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // NUMBERS
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:]):
+                yield batch.slice(a, b - a)
+
+
+def _entries(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _counted(parts: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """How often a task has each key, for parts of (k, keys): (k, key, n)."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def added(k: int) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate(x) for x in zip(*held[k]))
+        order = np.argsort(keys, kind="stable")
+        begin = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)) if len(keys) else order
+        return keys[order][begin], np.add.reduceat(n[order], begin) if len(keys) else n
+
+    def row(k: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys), pa.array(n)], ["k", "key", "n"])
+
+    for k, keys in parts:
+        held.setdefault(k, []).append(np.unique(keys, return_counts=True))
+        if sum(len(x) for x, _ in held[k]) > HELD:
+            held[k] = [added(k)]
+            if len(held[k][0][0]) > HELD // 2:
+                yield row(k, *held.pop(k)[0])
+    for k in held:
+        yield row(k, *added(k))
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adjacent frequent words, with how often a part of a task has them."""
-    for (ids,) in _joined(batches):
-        both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        yield _counted(2, ids[both].astype(np.int64) << 32 | ids[both + 1])
+
+    def parts() -> Iterator[tuple[int, np.ndarray]]:
+        for batch in _slices(batches):
+            ids = _entries(batch.column(0))
+            both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+            yield 2, ids[both].astype(np.int64) << 32 | ids[both + 1]
+
+    yield from _counted(parts())
 
 
 def _mark(trie: Broadcast, base: int):
@@ -189,10 +221,9 @@ def _mark(trie: Broadcast, base: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Trie = trie.value
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column(0)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            before = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            ids, before = (_entries(batch.column(i)) for i in range(2))
             pairs = before.copy() if len(before) else np.zeros(len(ids), np.int32)
             for length, places, states in known.walk(ids, 2):
                 if length == 2:
@@ -206,14 +237,18 @@ def _mark(trie: Broadcast, base: int):
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of three and four words all of whose pairs are candidates, named by their first and last pair."""
-    for _, pairs in _joined(batches):
-        some = pairs.astype(np.int64)
-        for k in range(3, LONGEST + 1):
-            whole = np.ones(max(0, len(some) - k + 2), bool)
-            for step in range(k - 1):
-                whole &= some[step : step + len(whole)] > 0
-            at = np.flatnonzero(whole)
-            yield _counted(k, some[at] << 32 | some[at + k - 2])
+
+    def parts() -> Iterator[tuple[int, np.ndarray]]:
+        for batch in _slices(batches):
+            some = _entries(batch.column(1)).astype(np.int64)
+            for k in range(3, LONGEST + 1):
+                whole = np.ones(max(0, len(some) - k + 2), bool)
+                for step in range(k - 1):
+                    whole &= some[step : step + len(whole)] > 0
+                at = np.flatnonzero(whole)
+                yield k, some[at] << 32 | some[at + k - 2]
+
+    yield from _counted(parts())
 
 
 def _accepted(trie: Broadcast, shard: int):
@@ -222,8 +257,8 @@ def _accepted(trie: Broadcast, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Trie = trie.value
         total = np.zeros(int(known.number.max(initial=0)) + 1, np.int64)
-        for (ids,) in _joined(batches):
-            for _, _, states in known.walk(ids, LONGEST):
+        for batch in _slices(batches):
+            for _, _, states in known.walk(_entries(batch.column(0)), LONGEST):
                 total += np.bincount(known.number[states], minlength=len(total))
         total[0] = 0
         there = np.flatnonzero(total)

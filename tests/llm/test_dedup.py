@@ -10,7 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cohortscope.llm import graph, lines, passages, simhash
+from cohortscope.llm import edit, graph, lines, passages, simhash
 from cohortscope.llm.text import bit_counts
 from llm import edge
 
@@ -101,71 +101,152 @@ def test_bit_counts(hashes, at):
     assert counts.tolist() == [[sum(h >> b & 1 for h in p) for b in range(64)] for p in parts]
 
 
-def slow_lines(data, radius=3, similarity=0.8):
-    """Lines removed of each row, by (doc, text)."""
-    order = sorted(
-        (2**63 - 1 if d is None else d, int(h), t) for (d, t), h in data.items()
+def near_texts(texts, some=None, similarity=0.8):
+    """Pairs of texts whose edit similarity is high enough, of all pairs (with one of ``some``): no fingerprints."""
+    sizes = np.array([len(t) for t in texts])
+    letters = {c: n for n, c in enumerate(sorted(set("".join(texts))))}
+    counts = np.zeros((len(texts), len(letters)), np.int32)
+    for n, t in enumerate(texts):
+        np.add.at(counts[n], [letters[c] for c in t], 1)
+    out = []
+    for i in range(len(texts)) if some is None else some:
+        most = (np.maximum(sizes, sizes[i]) * (1 - similarity) + 1e-9).astype(int)
+        # Each edit changes one letter's count by one, up or down.
+        off = counts - counts[i]
+        bound = np.maximum(np.where(off > 0, off, 0).sum(axis=1), np.where(off < 0, -off, 0).sum(axis=1))
+        for j in np.flatnonzero(bound <= most).tolist():
+            if j != i and (some is not None or j > i) and edit.within(texts[i], texts[j], int(most[j])):
+                out.append((i, j))
+    return out
+
+
+def slow_lines(docs):
+    """Lines that fall to equal ones, and to any of high edit similarity: two sets of (doc, row, line), by brute force."""
+    from pyspark.sql import functions as F
+
+    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).distinct().collect()
+    keyed = sorted((2**63 - 1 if r.doc_id is None else r.doc_id, r.h, r.text or "") for r in rows)
+    seen = [((d, h, k), edge.plain_line(s)) for d, h, t in keyed for k, s in enumerate(t.split("\n"))]
+    seen = [x for x in seen if x[1]]
+    texts = list(dict.fromkeys(s for _, s in seen))
+    roots = dict(zip(texts, edge.groups(len(texts), near_texts(texts))))
+    out = []
+    for name in (lambda s: s, roots.get):
+        first = {}
+        for place, s in seen:
+            first.setdefault(name(s), place)
+        out.append({place for place, s in seen if first[name(s)] != place})
+    return out
+
+
+def keyed_docs(docs):
+    from pyspark.sql import functions as F
+
+    return docs.select(
+        F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("doc"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("row"),
+        "text",
     )
-    seen = [(n, k, edge.plain_line(s)) for n, (_, _, t) in enumerate(order) for k, s in enumerate((t or "").split("\n"))]
-    seen = [x for x in seen if x[2]]
-    texts = list(dict.fromkeys(s for _, _, s in seen))
-    fps = lines.lines_of(pa.array(texts, pa.string()))["fp"].view(np.uint64) if texts else []
-    near = [
-        (a, b)
-        for a, b in edge.near_pairs(fps, radius)
-        if edge.edits(texts[a], texts[b]) <= max(len(texts[a]), len(texts[b])) * (1 - similarity) + 1e-9
-    ]
-    roots = dict(zip(texts, edge.groups(len(texts), near)))
-    first = {}
-    for n, k, s in seen:
-        first.setdefault(roots[s], (n, k))
-    gone = collections.Counter(n for n, k, s in seen if first[roots[s]] != (n, k))
-    return {(None if d == 2**63 - 1 else d, t): gone[n] for n, (d, _, t) in enumerate(order)}
-
-
-def check_lines(spark, docs, **options):
+
+
+def removed_lines(docs, **options):
+    found = lines.repeated_lines(keyed_docs(docs), **options).collect()
+    return {(r.doc, r.row, n) for r in found for n in r.removed}
+
+
+def check_lines(docs, least=0.9, **options):
+    """Nothing is removed without cause, all equal lines are, and nearly all similar ones."""
+    equal, every = slow_lines(docs)
+    got = removed_lines(docs, **options)
+    assert equal <= got <= every
+    assert len(got - equal) >= least * len(every - equal)
+    return got
+
+
+def check_cleaned(docs, gone):
     from pyspark.sql import functions as F
 
-    hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).distinct().collect()
-    want = slow_lines({(r.doc_id, r.text): r.h for r in hashed})
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    cleaned = lines.dedup_lines(docs, **options)
-    assert cleaned.columns == [*columns, "n_lines", "n_removed"]
-    got = cleaned.select("doc_id", "text", "n_lines", "n_removed").collect()
-    assert len(got) == docs.count()
+    cleaned = lines.dedup_lines(docs)
+    assert cleaned.columns == [*(c for c in docs.columns if c not in ("n_lines", "n_removed")), "n_lines", "n_removed"]
     per = collections.defaultdict(set)
-    for (d, t), gone in want.items():
-        per[d].add((len(t.split("\n")) if t is not None else 0, gone))
-    for r in got:
-        assert (r.n_lines, r.n_removed) in per[r.doc_id]
-        assert r.text is None or r.n_lines - r.n_removed == (len(r.text.split("\n")) if r.text or r.n_lines > r.n_removed else 0)
+    for doc, row, line in gone:
+        per[doc, row].add(line)
+    want = []
+    for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect():
+        drop = per[2**63 - 1 if r.doc_id is None else r.doc_id, r.h]
+        left = None if r.text is None else "\n".join(s for k, s in enumerate(r.text.split("\n")) if k not in drop)
+        want.append((r.doc_id or -1, left or "", r.text is None, 0 if r.text is None else len(r.text.split("\n")), len(drop)))
+    got = cleaned.select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted(want) == sorted((r.doc_id or -1, r.text or "", r.text is None, r.n_lines, r.n_removed) for r in got)
 
 
-def test_lines_of_documents(spark, documents):
-    check_lines(spark, documents)
+def test_lines_of_documents(documents):
+    check_cleaned(documents, check_lines(documents))
 
 
 def test_lines_of_awkward_rows(spark):
-    check_lines(spark, edge.table(spark))
+    check_cleaned(edge.table(spark), check_lines(edge.table(spark), least=0))
     assert lines.dedup_lines(edge.empty(spark)).count() == 0
 
 
-def test_narrower_blocks_find_the_same_lines(spark, documents):
-    assert lines.block_count(1000) == 4 < lines.block_count(1000, bucket=1e-3)
-    usual = sorted(lines.dedup_lines(documents).select("doc_id", "n_removed").collect())
-    assert sorted(lines.dedup_lines(documents, bucket=1e-3).select("doc_id", "n_removed").collect()) == usual
+@pytest.mark.parametrize("options", [{"bucket": 100}, {"bucket": 4, "tile": 8, "most_lines": 3}])
+def test_lines_in_small_buckets_and_tiles(documents, options):
+    check_lines(documents, **options)
+
+
+def test_nine_of_ten_similar_lines_are_found(spark):
+    """Of a larger table: every eighth line with all others, by edit distance alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    places = {}
+    for r in sorted(keyed_docs(docs).collect(), key=lambda r: (r.doc, r.row)):
+        for k, s in enumerate(r.text.split("\n")):
+            if s := edge.plain_line(s):
+                places.setdefault(s, (r.doc, r.row, k))
+    texts = list(places)
+    asked = spark.sparkContext.parallelize(range(0, len(texts), 8), 32)
+    pairs = asked.mapPartitions(lambda some: near_texts(texts, list(some))).collect()
+    gone = removed_lines(docs)
+    kept = [(a, b) for a, b in pairs if places[texts[a]] not in gone and places[texts[b]] not in gone]
+    assert len(pairs) > 50 and len(kept) <= 0.1 * len(pairs)
+
+
+def test_one_changed_word_is_found(spark):
+    rng = random.Random(8)
+    data = []
+    for n in range(600):
+        base = edge.sentence(rng, 12).split()
+        data += [(2 * n, " ".join(base), None, None, 0)]
+        base[rng.randrange(12)] = "changed"
+        data += [(2 * n + 1, " ".join(base), None, None, 0)]
+    gone = {doc for doc, _, _ in removed_lines(edge.table(spark, data))}
+    assert gone <= set(range(1, 1200, 2)) and len(gone) >= 540
 
 
-def test_near_line_is_removed_and_unlike_line_with_a_near_fingerprint_stays(spark):
+def test_same_words_in_another_order_stay_and_short_words_are_told_apart(spark):
     rng = random.Random(8)
     base = [edge.sentence(rng, 1) + str(i) for i in range(300)]
-    changed = [[*base[:i], "changed", *base[i + 1 :]] for i in range(50)]
-    fps = lines.lines_of(pa.array([" ".join(w) for w in [base, *changed]]))["fp"].view(np.uint64)
-    other = changed[int(np.bitwise_count(fps[1:] ^ fps[0]).argmin())]
-    turned = base[::-1]  # the same words, so the same fingerprint, but no edit similarity
-    data = [(1, " ".join(base), None, None, 0), (2, " ".join(other), None, None, 0), (3, " ".join(turned), None, None, 0)]
-    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(edge.table(spark, data)).collect()}
-    assert got == {1: 0, 2: 1, 3: 0}
+    pages = [f"page {n * 7919}" for n in range(40)]
+    data = [(1, " ".join(base), None, None, 0), (2, " ".join(base[::-1]), None, None, 0), (3, "\n".join(pages), None, None, 0)]
+    docs = edge.table(spark, data)
+    assert check_lines(docs, least=1) == check_lines(docs, least=1, most_lines=4)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7)), min_size=1, max_size=40), st.integers(0, 3))
+def test_fingerprints_of_a_bucket(prints, radius):
+    table = np.array(prints, np.uint64)
+    found = lines.near_in_bucket(table, radius, 1, 60)
+    far = [(i, j) for i in range(len(table)) for j in range(i) if int(lines._apart(table[i], table[j])) <= radius]
+    assert set(found) <= {p for i, j in far for p in ((i, j), (j, i))}
+    if len(table) <= 8:
+        assert edge.groups(len(table), found) == edge.groups(len(table), far)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abc ", max_size=30), st.text("abc ", max_size=30), st.integers(0, 12))
+def test_edit_distance(a, b, most):
+    assert edit.distance(a, b) == edge.edits(a, b)
+    assert edit.within(a, b, most) == (edge.edits(a, b) <= most)
 
 
 def check_passages(docs, width, **options):

@@ -47,14 +47,23 @@ def test_toxic_documents_go(spark, stages):
 
 def test_repeated_lines_go_and_every_document_stays(stages):
     docs, done = stages["line_dedup"]
-    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
-    gone = slow_lines({(r.doc_id, r.text): r.h for r in rows})
+    rows = {r.doc_id: r for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
     kept = {r.doc_id: r for r in done.collect()}
     assert sorted(kept) == ids(docs)
-    for (doc, text), n in gone.items():
+    equal, every = slow_lines(docs)
+    found = 0
+    for doc, r in rows.items():
+        lines = r.text.split("\n")
+        must, may = ({k for d, h, k in gone if (d, h) == (doc, r.h)} for gone in (equal, every))
         left = kept[doc].text
         assert kept[doc].n_chars == len(left)
-        assert len(text.split("\n")) - n == (len(left.split("\n")) if left or len(text.split("\n")) > n else 0)
+        # What is left lies between the text without equal lines and that without all similar ones.
+        most = collections.Counter(s for k, s in enumerate(lines) if k not in must)
+        least = collections.Counter(s for k, s in enumerate(lines) if k not in may)
+        have = collections.Counter(left.split("\n") if left or len(may) < len(lines) else [])
+        assert least <= have <= most
+        found += sum(most.values()) - sum(have.values())
+    assert found >= 0.9 * (len(every) - len(equal))
 
 
 def test_one_document_of_each_near_group_stays(stages):
@@ -81,7 +90,7 @@ def test_sources_are_mixed(stages):
 
 def test_all_queries_are_registered():
     names = set(contract.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(contract.oracle_sql()) <= names
 
 
