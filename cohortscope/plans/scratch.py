@@ -6,6 +6,7 @@ outlive lost executors and cut the lineage, and each later pass reads only the c
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,9 +41,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Free what ``written`` wrote for these tables, once nothing that is still to run reads them.
 
-    What was made from them must have been written itself, as a lost executor's tasks run again.
+    What was made from them must have been written itself, as a lost executor's tasks run again. The driver
+    collects its garbage as well, whereupon Spark drops the shuffle files of plans that nothing refers to.
     """
     for table in tables:
         spark = table.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
