@@ -99,13 +99,18 @@ def plan(
     ``size`` counts the runs of characters that are no ASCII white space (null text: 0). Each source's
     documents stand in the order of md5(doc_id), so reruns agree; ``start`` is the words before one in
     that order. The source takes whole passes over them, then the start of one more, so that it takes its
-    target to the word; the last document may be taken in part. ``taken`` counts a document's words over
+    target to the word; the last document may be taken in part. ``row`` is a hash of the text, which orders rows
+    that share a doc_id, and those without one. ``taken`` counts a document's words over
     all passes, never more than ``most_repeats`` times its size. ``position`` is the place in the run, in
     words, of its first pass (null if it is not taken). A null source is a source of its own, a null
     doc_id comes last in its source, rows that repeat are rows of their own. Empty tables give no rows.
     """
-    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text")).alias("size"))
-    sized = written(sized.withColumn("place", F.expr("coalesce(md5(cast(doc_id as string)), 'z')")), "sized")
+    sized = docs.select(
+        F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text")).alias("size"), row_of(F.col("text")).alias("row")
+    )
+    # Rows without an id come last, spread by their texts.
+    place = "coalesce(md5(cast(doc_id as string)), concat('z', md5(cast(row as string))))"
+    sized = written(sized.withColumn("place", F.expr(place)), "sized")
     sources = written(source_sizes(sized), "sources")
     schedules = rising_and_falling(sources) if schedules is None else schedules
     goal = written(targets(sources, schedules, most_repeats), "targets")
@@ -114,13 +119,13 @@ def plan(
     while 16**digits * per_range < largest and digits < 8:
         digits += 1
     # Running sums in two steps, so that a source of any size is ordered by many tasks.
-    ranged = sized.withColumn("range", F.substring("place", 1, digits))
+    ranged = sized.withColumn("range", F.expr(f"substring(place, 1, if(doc_id is null, {digits + 1}, {digits}))"))
     keys = ["source", "range"]
     whole = ranged.groupBy(*keys).agg(F.sum("size").alias("range_size"))
     ahead = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     offsets = whole.select(*keys, F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("offset"))
     offsets = offsets.join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    inside = W.partitionBy(*keys).orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*keys).orderBy("place", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     started = ranged.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     named = offsets.withColumnsRenamed({"source": "of", "range": "of_range"})
     met = started.join(named, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("of_range")))
@@ -132,11 +137,16 @@ def plan(
         "copies", F.expr("if(size = 0, 0L, passes + if(rest > start, 1L, 0L))")
     )
     return met.select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "copies", "start", "total", "areas",
+        "doc_id", "source", "size", "row", "source_size", "target", "taken", "copies", "start", "total", "areas",
         F.when(F.col("taken") > 0, place_of("start")).alias("position"),
     )
 
 
+def row_of(text: Column) -> Column:
+    """A hash that tells a text from others."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def place_of(start: str) -> Column:
     """Where in the run, in words, a source has asked for ``start`` words: its demand inverted."""
     asked = f"(areas[size(areas) - 1].area * {start} / target)"
@@ -153,24 +163,38 @@ def training_order(docs: DataFrame, schedules: DataFrame | None = None, most_rep
     """The documents in training order: a row per pass, sorted by position over all partitions.
 
     Columns of the documents, then copy (1 for the first pass), words (to read from the text's start)
-    and position; columns of those names in the input are replaced. Rows that share doc_id, source and
-    size are all given the passes of the first of them.
+    and position; columns of those names in the input are replaced. Every row has its own passes; rows alike in
+    doc_id, source and text have those of as many places, dealt out among them in any order.
     """
     names = [c for c in docs.columns if c not in ("copy", "words", "position")]
-    row = F.struct("start", "taken", "copies", "source_size", "target", "total", "areas")
-    mix = plan(docs, schedules, most_repeats).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.min_by(row, "start").alias("row"))
-    mix = mix.select("doc_id", "source", "size", "row.*")
-    passes = mix.withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+    key = ["doc_id", "source", "size", "row"]
+    mix = plan(docs, schedules, most_repeats).select(*key, F.struct("start", "taken", "copies", "source_size", "target", "total", "areas").alias("it"))
+    mix = written(mix, "mix")
+    alike = written(mix.groupBy(*key).count().where("count > 1").select(F.struct(*key).alias("key")), "alike")
+    mix = mix.select(F.struct(*key).alias("key"), F.lit(1).alias("nth"), "it.*")
+    keyed = F.struct(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        words_in(F.col("text")).alias("size"), row_of(F.col("text")).alias("row"),
+    )
+    whole = docs.select(keyed.alias("key"), F.lit(1).alias("nth"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("it"))
+    if not alike.isEmpty():
+        # Rows that are alike are numbered on both sides.
+        mix, whole = (
+            side.join(alike, "key", "left_anti").unionByName(
+                side.join(alike, "key", "left_semi").withColumn("nth", F.row_number().over(W.partitionBy("key").orderBy(by)))
+            )
+            for side, by in ((mix, "start"), (whole, F.lit(0)))
+        )
+    passes = mix.where("taken > 0").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     passes = passes.withColumn("at", F.expr("start + (copy - 1) * source_size")).select(
-        F.struct("doc_id", "source", "size").alias("key"),
+        "key",
+        "nth",
         "copy",
-        F.expr("least(size, taken - (copy - 1) * size)").alias("words"),
+        F.expr("least(key.size, taken - (copy - 1) * key.size)").alias("words"),
         place_of("at").alias("position"),
     )
-    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size"))
-    whole = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("it"))
     return (
-        whole.join(passes, "key")
+        whole.join(passes, ["key", "nth"])
         .select(*(F.col(f"it.`{c}`").alias(c) for c in names), "copy", "words", "position")
         .orderBy("position", "doc_id", "copy")
     )

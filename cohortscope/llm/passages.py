@@ -2,12 +2,13 @@
 
 Every window of ``threshold`` words belongs to the least hash of its runs of a few words, its anchor;
 neighbouring windows with one anchor form a piece. Equal windows have equal anchors, so pieces are dealt
-to shards by anchor, and only pieces whose anchor is found twice are looked at. Copies of a piece are
-counted before they travel and stand in a shard once. Each shard builds an FM-index over its pieces: the
-Burrows-Wheeler transform in a wavelet matrix of packed bits. The pieces are streamed against it by
-backward search, which gives the length of the longest repeated run that ends at each word (matching
-statistics, up to the threshold); where it reaches the threshold, the least place among the matches tells
-whether the run starts earlier.
+to shards by anchor, and only pieces whose anchor is found twice are looked at. Copies of a piece meet as
+their hash, counted before they travel; the words are read for one place of each content only, and stand in a shard
+once. Pieces of an anchor that very many share are parted by the next least hashes of their windows, until few
+share them. Each shard builds an FM-index over its pieces: the Burrows-Wheeler transform in a wavelet matrix of
+packed bits. The pieces are streamed against it by backward search, which gives the length of the longest repeated
+run that ends at each word (matching statistics, up to the threshold); where it reaches the threshold, the least
+place among the matches tells whether the run starts earlier.
 """
 
 from __future__ import annotations
@@ -19,24 +20,33 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.llm.marks import MARKS, PLACE, marked, marks_of, place_slots
 from cohortscope.llm.text import SPACE_TABLE, chunks, cut, flat, mix, range_hashes
-from cohortscope.plans.scratch import written
+from cohortscope.plans.scratch import release, written
 from cohortscope.plans.ship import ship
 
 THRESHOLD = 20
 ANCHOR_WORDS = 5
-# Words of one shard's index, about; and pieces of one anchor above which its windows are counted by their hash.
+# Words of one shard's index, about; and pieces of one anchor above which they are dealt by further hashes.
 SHARD_WORDS = 400_000
 HOT_PIECES = 5_000
-# Copies of one such window that are told from its first place under one key.
-COPIES = 10_000
 _LAST = (1 << 63) - 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
+def _runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every run of ``width`` words."""
+    words = range_hashes(data, starts, ends)
+    runs = np.zeros(len(words) - width + 1, np.uint64)
+    for k in range(width):
+        runs = runs * _STEP + words[k : k + len(runs)]
+    return mix(runs)
+
+
 def _pieces(texts: pa.Array, threshold: int) -> dict[str, np.ndarray]:
     """All pieces of some texts: anchor, text number, first window's word in its text, number of windows.
 
@@ -51,11 +61,8 @@ def _pieces(texts: pa.Array, threshold: int) -> dict[str, np.ndarray]:
     if count < 1:
         empty = np.zeros(0, np.int64)
         return out | {"anchor": empty, "text": empty, "at": empty, "windows": empty}
-    words = range_hashes(data, starts, ends)
-    runs = np.zeros(len(words) - width + 1, np.uint64)
-    for k in range(width):
-        runs = runs * _STEP + words[k : k + len(runs)]
-    least, place = mix(runs), np.arange(len(runs))
+    least = _runs(data, starts, ends, width)
+    place = np.arange(len(least))
     span, total = 1, threshold - width + 1
     while span < total:
         step = min(span, total - span)
@@ -76,41 +83,104 @@ def _pieces(texts: pa.Array, threshold: int) -> dict[str, np.ndarray]:
     }
 
 
+def _parts(texts: pa.Array, threshold: int, level: int) -> dict[str, np.ndarray]:
+    """Pieces again, of windows next to each other that have the same ``level`` least hashes of runs."""
+    data, offsets = flat(texts)
+    starts, ends, text = cut(SPACE_TABLE[data], offsets)
+    first = np.searchsorted(text, np.arange(len(texts) + 1))
+    out = {"data": data, "starts": starts, "ends": ends, "first": first}
+    width = min(ANCHOR_WORDS, threshold)
+    runs = _runs(data, starts, ends, width)
+    each = np.lib.stride_tricks.sliding_window_view(runs, threshold - width + 1)
+    valid = np.flatnonzero(text[: len(each)] == text[threshold - 1 :])
+    least = np.sort(each[valid], axis=1)[:, :level]
+    keys = np.zeros(len(valid), np.uint64)
+    for k in range(least.shape[1]):
+        keys = mix(keys * _STEP + least[:, k])
+    owner = text[valid]
+    begin = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))[: len(valid)])
+    return out | {
+        "anchor": keys[begin].view(np.int64),
+        "text": owner[begin],
+        "at": valid[begin] - first[owner[begin]],
+        "windows": np.diff(np.append(begin, len(valid))),
+    }
+
+
+def _words(found: dict[str, np.ndarray], chosen: np.ndarray, threshold: int) -> tuple[list[bytes], np.ndarray]:
+    """The words of the chosen pieces, joined by single spaces, and both halves of their hashes."""
+    low = found["first"][found["text"][chosen]] + found["at"][chosen]
+    high = low + found["windows"][chosen] + threshold - 2
+    raw = found["data"].tobytes()
+    a, b = (found["starts"][low].tolist(), found["ends"][high].tolist()) if len(chosen) else ([], [])
+    words = [b" ".join(raw[i:j].split()) for i, j in zip(a, b)]
+    return words, np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.int64).reshape(-1, 2)
+
+
 def _anchor_batches(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = _pieces(batch.column(1), threshold)
-            doc = batch.column(0).take(pa.array(found["text"]))
-            columns = [pa.array(found["anchor"]), doc, pa.array(found["at"].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "at"])
+            anchors, n = np.unique(_pieces(batch.column(0), threshold)["anchor"], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(n)], ["anchor", "n"])
 
     return run
 
 
-def _piece_batches(threshold: int):
-    """The wanted pieces of each document with their words."""
-    names = ["anchor", "h1", "h2", "doc", "row", "at", "windows", "words"]
+def _piece_batches(threshold: int, marks: Broadcast):
+    """The pieces of marked anchors, without their words."""
+    names = ["anchor", "h1", "h2", "doc", "row", "at", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             found = _pieces(batch.column(2), threshold)
-            wanted = batch.column(3)
-            owners = np.repeat(np.arange(len(batch)), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
-            at = wanted.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            chosen = np.flatnonzero(np.isin(found["text"] << 32 | found["at"], owners << 32 | at))
-            text, begin, windows = (found[k][chosen] for k in ("text", "at", "windows"))
-            low = found["first"][text] + begin
-            high = low + windows + threshold - 2
-            raw = found["data"].tobytes()
-            a, b = found["starts"][low].tolist(), found["ends"][high].tolist() if len(high) else []
-            words = [b" ".join(raw[i:j].split()) for i, j in zip(a, b)]
-            halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.int64).reshape(-1, 2)
-            take = pa.array(text)
+            chosen = np.flatnonzero(marked(marks.value, found["anchor"] & (MARKS - 1)))
+            _, halves = _words(found, chosen, threshold)
+            take = pa.array(found["text"][chosen])
             columns = [
                 pa.array(found["anchor"][chosen]), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
                 batch.column(0).take(take), batch.column(1).take(take),
-                pa.array(begin.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(words, pa.binary()),
-            ]
+                pa.array(found["at"][chosen].astype(np.int32)), pa.array(found["windows"][chosen].astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def _word_batches(threshold: int, marks: Broadcast):
+    """The words of the pieces at marked places: (h1, h2, doc, row, at, words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            found = _pieces(batch.column(2), threshold)
+            doc, row = (batch.column(i).to_numpy()[found["text"]] for i in range(2))
+            # The anchor stands in for the content, as it is known before the words are cut out.
+            chosen = np.flatnonzero(marked(marks.value, place_slots(found["anchor"], doc, row, found["at"])))
+            words, halves = _words(found, chosen, threshold)
+            columns = [halves[:, 0], halves[:, 1], doc[chosen], row[chosen], found["at"][chosen].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns), pa.array(words, pa.binary())], ["h1", "h2", "doc", "row", "at", "words"]
+            )
+
+    return run
+
+
+def _part_batches(threshold: int, level: int):
+    """Pieces parted by their windows' ``level`` least hashes; (h1, h2, offset) is the place in the piece."""
+    names = ["anchor", "c1", "c2", "doc", "row", "at", "windows", "h1", "h2", "offset", "words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "words"):
+            found = _parts(batch.column("words").cast(pa.string()), threshold, level)
+            chosen = np.arange(len(found["anchor"]))
+            words, halves = _words(found, chosen, threshold)
+            take, at = pa.array(found["text"]), found["at"].astype(np.int32)
+            place = [batch.column(c).take(take) for c in ("doc", "row", "at")]
+            columns = [
+                pa.array(found["anchor"]), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
+                *place[:2], pa.array(place[2].to_numpy() + at), pa.array(found["windows"].astype(np.int32)),
+                batch.column("h1").take(take), batch.column("h2").take(take),
+                pa.array(batch.column("offset").take(take).to_numpy() + at), pa.array(words, pa.binary()),
+            ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
@@ -245,7 +315,7 @@ def _shard_batches(threshold: int):
             np.append(0, (np.diff(doc[order]) != 0) | (np.diff(row[order]) != 0) | (np.diff(at[order]) != 0))
         )
         words = pc.cast(table.column("words"), pa.large_binary()).combine_chunks()
-        base = np.zeros(len(order), np.int64)
+        base = table.column("offset").to_numpy().astype(np.int64)
         found = earlier_windows(pa.array(words) if isinstance(words, pa.ChunkedArray) else words, rank, base, threshold)
         take = pa.array(found[:, 0])
         columns = [table.column(c).combine_chunks().take(take) for c in ("h1", "h2")]
@@ -254,49 +324,52 @@ def _shard_batches(threshold: int):
     return run
 
 
-def _single_windows(threshold: int):
-    """Windows of pieces by a 128-bit hash of their words: (h1, h2, doc, row, start, offset, w1, w2)."""
-    names = ["h1", "h2", "doc", "row", "start", "offset", "w1", "w2"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "words"):
-            owner, offset, digests = [], [], []
-            for i, words in enumerate(batch.column("words").to_pylist()):
-                w = words.split()
-                for k in range(len(w) - threshold + 1):
-                    owner.append(i)
-                    offset.append(k)
-                    digests.append(xxhash.xxh3_128_digest(b" ".join(w[k : k + threshold])))
-            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            take, offset = pa.array(owner, pa.int64()), np.array(offset, np.int32)
-            keys = [batch.column(c).take(take) for c in ("h1", "h2", "doc", "row")]
-            start = batch.column("at").take(take).to_numpy() + offset
-            columns = [*keys, pa.array(start), pa.array(offset), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return run
+def _hot(contents: DataFrame, most: int) -> DataFrame | None:
+    """Anchors that more than ``most`` contents share, if there are any."""
+    hot = written(contents.groupBy("anchor").count().where(F.col("count") > most).select("anchor"), "hot-anchors")
+    return None if hot.isEmpty() else hot
 
 
-def _late_windows(pieces: DataFrame, threshold: int) -> DataFrame:
-    """(h1, h2, offset) of the windows that also start earlier, for pieces of anchors that very many share.
+def _late_windows(pieces: DataFrame, hot: DataFrame | None, threshold: int, shard_words: int, hot_pieces: int) -> DataFrame:
+    """(h1, h2, offset) of the windows that also start in a piece of other content at an earlier place.
 
-    Equal windows have one anchor, so no other piece holds them. They meet as one row counted on the map
-    side; no task holds all copies of a window, nor their words.
+    ``pieces`` has a row for each content: anchor, h1, h2, doc, row, at, windows, offset (0) and words; ``hot``
+    has the anchors whose pieces are parted.
     """
-    schema = "h1 long, h2 long, doc long, row long, start int, offset int, w1 long, w2 long"
-    windows = written(pieces.mapInArrow(_single_windows(threshold), schema), "hot-windows")
-    place = F.struct("doc", "row", "start")
-    firsts = windows.groupBy("w1", "w2").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Copies of a window are spread over salts, so that a very common one is not one task's.
-    firsts = written(firsts.select("w1", "w2", "kept", "n"), "hot-firsts")
-    salts = f"cast(ceil(n / {COPIES}) as int)"
-    common = firsts.where(f"n > {COPIES}").select("w1", "w2", F.expr(salts).alias("salts"))
-    salted = windows.join(F.broadcast(common), ["w1", "w2"], "left").withColumn(
-        "salt", F.expr("if(salts is null, 0, pmod(xxhash64(doc, row, start), salts))")
-    )
-    firsts = firsts.select("w1", "w2", "kept", F.explode(F.expr(f"sequence(0, {salts} - 1)")).alias("salt"))
-    own = "doc = kept.doc and row = kept.row and start = kept.start"
-    return salted.join(firsts, ["w1", "w2", "salt"]).where(f"not ({own})").select("h1", "h2", "offset")
+    names = ["anchor", "h1", "h2", "doc", "row", "at", "windows", "offset", "words"]
+    schema = "anchor long, c1 long, c2 long, doc long, row long, at int, windows int, h1 long, h2 long, offset int, words binary"
+    late = []
+    level, last = 1, threshold - min(ANCHOR_WORDS, threshold) + 1
+    while True:
+        few = pieces if hot is None else pieces.join(hot, "anchor", "left_anti")
+        total = few.agg(F.sum(F.col("windows") + threshold)).first()[0] or 0
+        shards = max(1, -(-total // shard_words))
+        sharded = few.select(*names).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        late.append(
+            sharded.groupBy("shard").applyInArrow(_shard_batches(threshold), "h1 long, h2 long, offset int")
+        )
+        if hot is None:
+            break
+        level += 1
+        many = pieces.join(hot, "anchor", "left_semi").select(*names)
+        parts = written(many.mapInArrow(_part_batches(threshold, level), schema), "parts")
+        # Copies of a part meet as one row; all but the earliest are late as a whole.
+        content, place = ["anchor", "c1", "c2"], F.struct("doc", "row", "at", "h1", "h2", "offset")
+        firsts = parts.groupBy(*content).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        firsts = written(firsts, "first-parts")
+        own = "h1 = first.h1 and h2 = first.h2 and offset = first.offset"
+        copies = parts.drop("words").join(firsts.where("n > 1"), content).where(f"not ({own})")
+        late.append(copies.select("h1", "h2", F.explode(F.expr("sequence(offset, offset + windows - 1)")).alias("offset")))
+        # The words of a part are taken at its first place, where other parts share its hashes.
+        shared = firsts.groupBy("anchor").count().where("count > 1").select("anchor")
+        kept = firsts.join(shared, "anchor", "left_semi").selectExpr(*content, "first.h1", "first.h2", "first.offset")
+        pieces = written(parts.join(kept, [*content, "h1", "h2", "offset"]).select(*names), "kept-parts")
+        # Windows that have all hashes in common are alike, so there is no further cut.
+        hot = _hot(pieces, hot_pieces) if level < last else None
+    out = late[0]
+    for more in late[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def repeated_windows(
@@ -306,39 +379,40 @@ def repeated_windows(
 
     ``docs`` has doc, row and text. A run is a piece; offsets are its repeated windows, null for all.
     """
-    ship(docs.sparkSession)
-    anchors = written(docs.select("doc", "text").mapInArrow(_anchor_batches(threshold), "anchor long, doc long, at int"), "anchors")
-    # Written, so that the join shuffles both sides itself and Spark can split a very common anchor.
-    twice = written(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
-    wanted = anchors.join(twice, "anchor", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("wanted"))
-    asked = docs.join(wanted, "doc").select("doc", "row", "text", "wanted")
-    schema = "anchor long, h1 long, h2 long, doc long, row long, at int, windows int, words binary"
-    pieces = written(asked.mapInArrow(_piece_batches(threshold), schema), "pieces")
+    spark = docs.sparkSession
+    ship(spark)
+    anchors = docs.select("text").mapInArrow(_anchor_batches(threshold), "anchor long, n long")
+    twice = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    marks = spark.sparkContext.broadcast(marks_of(twice, f"anchor & {MARKS - 1}L"))
+    schema = "anchor long, h1 long, h2 long, doc long, row long, at int, windows int"
+    pieces = written(docs.mapInArrow(_piece_batches(threshold, marks), schema), "pieces")
     content = ["anchor", "h1", "h2"]
     distinct = pieces.groupBy(*content).agg(
-        F.min(F.struct("doc", "row", "at")).alias("first"), F.max("windows").alias("windows"), F.any_value("words").alias("words")
-    )
-    distinct = written(distinct.select(*content, "first.*", "windows", "words"), "distinct-pieces")
-    hot = written(distinct.groupBy("anchor").count().where(F.col("count") > hot_pieces).select("anchor"), "hot-anchors")
-    common = None
-    dealt = distinct
-    if not hot.isEmpty():
-        common = distinct.join(hot, "anchor", "left_semi").select(*distinct.columns)
-        dealt = distinct.join(hot, "anchor", "left_anti").select(*distinct.columns)
-    total = dealt.agg(F.sum(F.col("windows") + threshold)).first()[0] or 0
-    shards = max(1, -(-total // shard_words))
-    late = dealt.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(
-        _shard_batches(threshold), "h1 long, h2 long, offset int"
+        F.min(F.struct("doc", "row", "at")).alias("first"), F.max("windows").alias("windows"), F.count(F.lit(1)).alias("n")
     )
-    if common is not None:
-        late = late.unionByName(_late_windows(common, threshold))
+    distinct = written(distinct.select(*content, "first.*", "windows", "n"), "distinct-pieces")
+    shared = written(distinct.groupBy("anchor").count().where("count > 1").select("anchor"), "shared")
+    asked = written(distinct.join(shared, "anchor", "left_semi").select(*content, "doc", "row", "at", "windows"), "asked")
+    hot = _hot(asked, hot_pieces)
+    marks = spark.sparkContext.broadcast(marks_of(asked, PLACE.format("anchor", "at")))
+    place = ["h1", "h2", "doc", "row", "at"]
+    words = docs.mapInArrow(_word_batches(threshold, marks), "h1 long, h2 long, doc long, row long, at int, words binary")
+    # Rows that repeat a document give a place several times.
+    words = words.groupBy(*place).agg(F.any_value("words").alias("words"))
+    words = written(asked.join(words, place).withColumn("offset", F.lit(0)), "words")
+    release(shared, asked)
+    late = _late_windows(words, hot, threshold, shard_words, hot_pieces)
     late = written(late.groupBy("h1", "h2").agg(F.collect_set("offset").alias("offsets")), "late")
-    known = distinct.select("h1", "h2", F.struct("doc", "row", "at").alias("first"))
-    known = written(known.join(late, ["h1", "h2"], "left"), "known-pieces")
+    release(words)
+    known = distinct.select("h1", "h2", "n", F.struct("doc", "row", "at").alias("first"))
+    known = written(known.join(late, ["h1", "h2"], "left").where("n > 1 or offsets is not null").drop("n"), "known-pieces")
+    release(distinct, late)
     runs = pieces.select("h1", "h2", "doc", "row", "at", "windows").join(known, ["h1", "h2"])
     own = "first.doc = doc and first.row = row and first.at = at"
     runs = runs.where(f"not ({own}) or offsets is not null").withColumn("offsets", F.expr(f"if({own}, offsets, null)"))
-    return runs.groupBy("doc", "row").agg(F.collect_list(F.struct("at", "windows", "offsets")).alias("runs"))
+    runs = written(runs.groupBy("doc", "row").agg(F.collect_list(F.struct("at", "windows", "offsets")).alias("runs")), "runs")
+    release(pieces, known)
+    return runs
 
 
 def covered(count: int, runs: list[dict], threshold: int) -> np.ndarray:

@@ -96,7 +96,10 @@ def encoder(ranks: bytes) -> tiktoken.Encoding:
 
 
 def count_tokens(docs: DataFrame, ranks: bytes) -> DataFrame:
-    """(doc_id, source, lang, n_bytes, tokens) of every row's whole text; a null text has 0 of both."""
+    """(doc_id, source, lang, n_bytes, tokens) of every row's whole text; a null text has 0 of both.
+
+    Null sources and languages stay null, other columns are ignored, whatever their names.
+    """
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -115,21 +118,40 @@ def count_tokens(docs: DataFrame, ranks: bytes) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, source string, lang string, n_bytes long, tokens long")
 
 
-def load(spark: SparkSession, folder: str, docs: DataFrame, ranks: bytes, version: str) -> None:
-    """Bring documents into a store in three batches, as they become known.
+def digest(counted: DataFrame) -> str:
+    """A name of a table's rows, whatever their order."""
+    hashed = counted.select(F.xxhash64(*counted.columns).alias("h"), F.xxhash64(F.lit(7), *counted.columns).alias("g"))
+    half = F.lit(1 << 31)
+    parts = hashed.agg(
+        F.count(F.lit(1)), F.bit_xor("h"), F.bit_xor("g"), F.sum(F.pmod("h", half)), F.sum(F.pmod("g", half))
+    ).first()
+    return "-".join(f"{(x or 0) & (1 << 64) - 1:x}" for x in parts)
+
+
+def load(
+    spark: SparkSession, folder: str, docs: DataFrame, ranks: bytes, version: str, name: str | None = None
+) -> dict[str, bool]:
+    """Bring documents into a store in three batches, as they become known; which of them were taken.
 
     They arrive with an estimate of a token for every four bytes, are revised to the exact counts, and
-    those without any token are withdrawn. Each batch has its name from the version, so loading the same
-    documents again changes nothing.
+    those without any token are withdrawn. Batches are named by the version and ``name``; without one by the rows
+    themselves (their ids, sources, languages and counts), so that further documents add to the totals, and the same ones, loaded
+    again, do not. A batch whose name is in the store already is refused: its entry of the result is False. Null
+    sources and languages are keys of their own, rows that repeat count as often as they stand, other columns
+    of the documents are ignored, whatever their names, and an empty table gives batches without rows.
     """
     create(spark, folder)
     counted = written(count_tokens(docs, ranks).withColumn("tokenizer", F.lit(version)), "counted")
+    name = digest(counted) if name is None else name
     guess = F.expr("cast(ceil(n_bytes / 4) as long)")
     none = F.lit(None).cast("long")
 
     def changes(rows: DataFrame, op: str, tokens, old) -> DataFrame:
         return rows.select(F.lit(op).alias("op"), *KEYS, tokens.alias("tokens"), old.alias("old_tokens"))
 
-    commit(spark, folder, f"{version}/arrived", changes(counted, "insert", guess, none))
-    commit(spark, folder, f"{version}/counted", changes(counted, "revise", F.col("tokens"), guess))
-    commit(spark, folder, f"{version}/empty", changes(counted.where("tokens = 0"), "delete", F.col("tokens"), none))
+    batches = {
+        "arrived": changes(counted, "insert", guess, none),
+        "counted": changes(counted, "revise", F.col("tokens"), guess),
+        "empty": changes(counted.where("tokens = 0"), "delete", F.col("tokens"), none),
+    }
+    return {step: commit(spark, folder, f"{version}/{name}/{step}", rows) for step, rows in batches.items()}

@@ -25,6 +25,8 @@ RADIUS = 3
 SHINGLE = 3
 SEGMENTS = 2
 SEED = 42
+# Fixed value: the id that stands for a missing doc_id, so that it sorts last.
+_LAST = (1 << 63) - 1
 _BLOCK = 50_000
 
 
@@ -69,10 +71,14 @@ def fingerprints_of(texts: list[str | None], width: int = SHINGLE) -> np.ndarray
 
 
 def _fingerprint_batches(width: int):
+    """Texts give way to their fingerprints; the columns before them stay."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            fps = fingerprints_of(batch.column(1).to_pylist(), width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = fingerprints_of(batch.column("text").to_pylist(), width)
+            columns = [c for name, c in zip(batch.schema.names, batch.columns) if name != "text"]
+            names = [name for name in batch.schema.names if name != "text"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(fps.view(np.int64))], [*names, "fp"])
 
     return run
 
@@ -133,18 +139,37 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, seg
     )
 
 
-def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents less all but the smallest doc_id of each near-duplicate group.
+def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS) -> DataFrame:
+    """The documents less all rows but one of each near-duplicate group.
 
-    Of rows that repeat a doc_id, one is kept. Rows without a doc_id cannot be told apart, so all of
-    them stay; nothing is known to copy them.
+    Groups are those of ``near_groups``, of rows: the one with the smallest doc_id stays (a null one comes last),
+    of equal doc_ids the one with the smaller hash of its text, of rows that are alike in both any one. So rows that
+    share a doc_id but not their texts are told apart, and rows without a doc_id are kept once like others. Further
+    columns stay as they are, whatever their names; an empty table stays empty.
     """
-    known = docs.where("doc_id is not null")
-    groups = written(near_groups(known, width, radius), "groups")
-    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = written(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    spark = docs.sparkSession
+    ship(spark)
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc")
+    row = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row")
+    keyed = docs.select(doc, row, F.col("text").cast("string").alias("text"))
+    marked = written(keyed.mapInArrow(_fingerprint_batches(width), "doc long, row long, fp long"), "fingerprints")
+    distinct = written(
+        marked.groupBy("fp").agg(F.min(F.struct("doc", "row")).alias("first"), F.count(F.lit(1)).alias("n")), "distinct"
+    )
+    roots = components(near_links(index_rows(distinct, radius, segments), radius))
+    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.expr("coalesce(root, fp)"))
+    # Of each group's rows only the least one stays, so what goes is named by its fingerprint's group.
+    least = written(named.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("rows")), "least")
+    several = named.where("n > 1 or root <> fp").join(least, "root").select("fp", "kept")
+    heads = least.where("rows > 1").select("root", "kept")
+    several = written(several.union(heads.selectExpr("root as fp", "kept")).distinct(), "several")
+    met = marked.join(several, "fp")
+    gone = met.where("doc <> kept.doc or row <> kept.row").select("doc", "row").distinct()
+    # Rows alike in both are all kept so far, if they are the least.
+    alike = written(met.where("doc = kept.doc and row = kept.row").groupBy("doc", "row").count().where("count > 1").select("doc", "row"), "alike")
+    packed = docs.select(doc, row, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("it"))
+    kept = packed.join(gone, ["doc", "row"], "left_anti")
+    if not alike.isEmpty():
+        once = kept.join(alike, ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"])
+        kept = kept.join(alike, ["doc", "row"], "left_anti").unionByName(once)
+    return kept.select(*(F.col(f"it.`{c}`").alias(c) for c in docs.columns))

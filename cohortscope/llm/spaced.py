@@ -17,6 +17,8 @@ WINDOW = 16
 AGREEMENT = 0.8
 # Benchmark seeds are broadcast up to this number of rows (some 32 bytes each); more are shuffled.
 BROADCAST_SEEDS = 500_000
+# Fixed value: the id that stands for a missing doc_id.
+_LAST = (1 << 63) - 1
 
 # Words in lower case; all that is neither a letter nor a digit parts them.
 _HASHES = r"transform(filter(split(lower(text), '[^\\p{L}\\p{N}]+'), w -> w <> ''), w -> xxhash64(w))"
@@ -40,7 +42,27 @@ def _fixed(**column: str) -> Column:
     return F.inline_outer(F.expr(f"array(named_struct('{name}', {expression}))")).alias(name)
 
 
-def contaminated(
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """(doc_id, item_id, matched, overlap, doc_start): documents that hold a passage of the benchmark.
+
+    Options are those of ``alignments``. An item is found when some window of ``window`` words of it (the whole item, if it is shorter) agrees
+    with the aligned words of the document in at least ``agreement`` of the positions; a window with no
+    common seed is not looked at. ``matched`` and ``overlap`` count equal and aligned words of the best
+    alignment, ``doc_start`` is the word of the document where its overlap begins. Items of equal words
+    are reported once, by the smallest item_id; one without an id is reported with a null one. Null and empty texts, and items with fewer words than a
+    mask, match nothing. Rows that share a doc_id and a text are looked at once, of those that share a doc_id only
+    the best alignment counts. Other columns of both tables are ignored, whatever their names.
+    """
+    aligned = alignments(docs, benchmark, **options)
+    best = aligned.groupBy("doc_id", "key", "item_id").agg(
+        F.max(F.struct(F.expr("element_at(sums, -1)").alias("matched"), F.size("same").alias("overlap"), (-F.expr("low + shift")).alias("back"))).alias("best")
+    )
+    return best.select(
+        "doc_id", "item_id", F.col("best.matched").cast("long").alias("matched"), F.col("best.overlap").cast("long").alias("overlap"), F.expr("cast(-best.back as long)").alias("doc_start")
+    )
+
+
+def alignments(
     docs: DataFrame,
     benchmark: DataFrame,
     masks: tuple[str, ...] = MASKS,
@@ -48,15 +70,9 @@ def contaminated(
     agreement: float = AGREEMENT,
     broadcast_seeds: int = BROADCAST_SEEDS,
 ) -> DataFrame:
-    """(doc_id, item_id, matched, overlap, doc_start): documents that hold a passage of the benchmark.
+    """Every alignment of an item with a row (doc_id, row: a hash of its text) in which a window agrees.
 
-    An item is found when some window of ``window`` words of it (the whole item, if it is shorter) agrees
-    with the aligned words of the document in at least ``agreement`` of the positions; a window with no
-    common seed is not looked at. ``matched`` and ``overlap`` count equal and aligned words of the best
-    alignment, ``doc_start`` is the word of the document where its overlap begins. Items of equal words
-    are reported once, by the smallest item_id; one without an id is reported with a null one. Null and empty texts, and items with fewer words than a
-    mask, match nothing. Rows that share a doc_id and a text are looked at once. Masks must be equally
-    long.
+    Masks must be equally long.
     """
     if len({len(m) for m in masks}) != 1:
         raise ValueError("masks must be equally long")
@@ -81,30 +97,33 @@ def contaminated(
     shifts = hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("key", "shift")).alias("hits"))
     shifts = written(shifts, "hits")
     marked = keyed.join(shifts.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")) & (keyed["row"] == shifts["row"]))
-    marked = marked.dropDuplicates(["doc_id", "row"]).select("doc_id", "hits", _fixed(words=_HASHES))
+    marked = marked.dropDuplicates(["doc_id", "row"]).select("doc_id", keyed["row"], "hits", _fixed(words=_HASHES))
     # 1 for each aligned position with equal words; the overlap holds a seed, so it is not empty
     same = "transform(sequence(low, high - 1), k -> if(item[k] = words[k + shift], 1, 0))"
     sums = "aggregate(same, array(0), (sums, x) -> concat(sums, array(element_at(sums, -1) + x)))"
-    aligned = (
-        marked.select("doc_id", "words", F.inline("hits"))
+    return (
+        marked.select("doc_id", "row", "words", F.inline("hits"))
         .join(items.withColumnRenamed("words", "item"), "key")
         .withColumn("low", F.expr("greatest(0, -shift)"))
         .withColumn("high", F.expr("least(size(item), size(words) - shift)"))
-        .select("doc_id", "key", "item_id", "item", "low", "shift", _fixed(same=same))
+        .select("doc_id", "row", "key", "item_id", "item", "low", "shift", _fixed(same=same))
         .withColumn("wide", F.expr(f"least({window}, size(item))"))
-        .select("doc_id", "key", "item_id", "low", "shift", "same", "wide", _fixed(sums=sums))
+        .select("doc_id", "row", "key", "item_id", "low", "shift", "same", "wide", _fixed(sums=sums))
         .where("size(same) >= wide")
         .where(F.expr(f"exists(sequence(wide, size(same)), k -> sums[k] - sums[k - wide] >= {agreement}D * wide)"))
     )
-    best = aligned.groupBy("doc_id", "key", "item_id").agg(
-        F.max(F.struct(F.expr("element_at(sums, -1)").alias("matched"), F.size("same").alias("overlap"), (-F.expr("low + shift")).alias("back"))).alias("best")
-    )
-    return best.select(
-        "doc_id", "item_id", F.col("best.matched").cast("long").alias("matched"), F.col("best.overlap").cast("long").alias("overlap"), F.expr("cast(-best.back as long)").alias("doc_start")
-    )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without those that hold a benchmark passage; documents with a null id stay."""
-    gone = contaminated(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents without the rows that hold a benchmark passage.
+
+    Rows that share a doc_id are told apart by their texts; a row without a doc_id is looked at like any other.
+    Columns stay as they are, whatever their names.
+    """
+    found = alignments(docs, benchmark, **options)
+    gone = found.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "row").distinct()
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc")
+    row = F.xxhash64(F.coalesce("text", F.lit(""))).alias("row")
+    packed = docs.select(doc, row, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("it"))
+    kept = packed.join(gone, ["doc", "row"], "left_anti")
+    return kept.select(*(F.col(f"it.`{c}`").alias(c) for c in docs.columns))

@@ -101,15 +101,34 @@ def test_training_order(spark):
     assert got.columns == [*(c for c in docs.columns if c != "words"), "copy", "words", "position"]
     rows = got.collect()
     assert [r.position for r in rows] == sorted(r.position for r in rows)
-    first, times = {}, collections.Counter((r.doc_id, r.text, r.source) for r in docs.collect())
-    for r in curriculum.plan(docs).where("taken > 0").orderBy("start").collect():
-        first.setdefault((r.doc_id, r.source, r["size"]), r)
-    taken = collections.Counter()
+    plan, taken = curriculum.plan(docs).collect(), collections.Counter()
+    size = lambda r: len(edge.WORD.findall(r.text or ""))
     for r in rows:
-        taken[r.doc_id, r.text, r.source] += r.words
-        assert (r.copy == 1) == (r.position == first[r.doc_id, r.source, len(edge.WORD.findall(r.text))].position)
-    for (doc, text, source), n in taken.items():
-        assert n == first[doc, source, len(edge.WORD.findall(text))].taken * times[doc, text, source]
+        taken[r.doc_id, r.source, size(r)] += r.words
+    want = collections.Counter()
+    for r in plan:
+        want[r.doc_id, r.source, r["size"]] += r.taken
+    assert taken == +want
+    assert collections.Counter((r.doc_id, r.source, size(r), r.position) for r in rows if r.copy == 1) == collections.Counter(
+        (r.doc_id, r.source, r["size"], r.position) for r in plan if r.taken
+    )
+
+
+def test_rows_without_an_id_and_rows_alike_have_their_own_passes(spark):
+    texts = [f"one{i} two three" for i in range(30)]
+    data = [(None, t, None, "a", 0) for t in texts] + [(7, t, None, "a", 0) for t in texts[:4]] + [(8, "x y", None, "a", 0)] * 5
+    data += [(9, " ".join(["w"] * 40), None, "b", 0)]
+    got = curriculum.training_order(edge.table(spark, data)).collect()
+    plan = curriculum.plan(edge.table(spark, data), per_range=2).collect()
+    taken, times = collections.Counter(), collections.Counter()
+    for r in got:
+        taken[r.doc_id, r.text] += r.words
+        times[r.doc_id, r.text] += r.copy == 1
+    for r in plan:
+        assert r.taken <= 3 * r["size"]
+    assert sum(taken.values()) == sum(r.taken for r in plan) == sum(int(t) for t in {r.source: r.target for r in plan}.values())
+    # Rows of equal size and id have passes by their texts.
+    assert all(taken[key] <= 9 for key in taken if key[0] in (None, 7)) and times[8, "x y"] == sum(r.taken > 0 for r in plan if r.doc_id == 8)
 
 
 def changes(spark, rows):
@@ -189,10 +208,22 @@ def test_token_totals_of_awkward_rows(spark, tmp_path):
             docs[source, lang] += 1
     got = rollups.totals(spark, folder).collect()
     assert {(r.source, r.lang): (r.docs, r.tokens) for r in got} == {k: (docs[k], tokens[k]) for k in tokens}
-    rollups.load(spark, str(tmp_path / "none"), edge.empty(spark), ranks, "v")
+    assert all(rollups.load(spark, str(tmp_path / "none"), edge.empty(spark), ranks, "v").values())
     assert rollups.totals(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_tables_of_one_version_add_up_and_one_loaded_again_does_not(spark, tmp_path):
+    ranks = rollups.read_ranks(VOCABULARY)
+    folder, count = str(tmp_path), len(rollups.encoder(ranks).encode_ordinary("some words"))
+    one = edge.table(spark, [(1, "some words", "en", "a", 0)])
+    other = edge.table(spark, [(2, "some words", "en", "a", 0)])
+    assert all(rollups.load(spark, folder, one, ranks, "v").values())
+    assert all(rollups.load(spark, folder, other, ranks, "v").values())
+    assert not any(rollups.load(spark, folder, one.repartition(2), ranks, "v").values())
+    assert all(rollups.load(spark, folder, one, ranks, "v", "again on purpose").values())
+    assert [(r.docs, r.tokens) for r in rollups.totals(spark, folder).collect()] == [(3, 3 * count)]
+
+
 def test_licences_of_awkward_rows(spark):
     mit = ["mit-grant", "mit-keep", "as-is"]
     full = ". ".join(licences.SENTENCES[s][0].upper() for s in mit) + "."

@@ -1,6 +1,7 @@
 """Edit distance, piecewise fingerprints and spaced seeds against slow versions, and on awkward tables."""
 
 import hashlib
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -100,8 +101,21 @@ def test_leaks_of_awkward_rows(spark):
     assert spaced.contaminated(docs, bench.limit(0)).count() == 0
     kept = spaced.decontaminate(docs, bench)
     assert kept.columns == docs.columns
-    gone = {d for d, _ in got}
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in data if r[0] is None or r[0] not in gone)
+    # A row without an id goes for its passage like others; one that shares an id with it stays.
+    holds = {r.doc_id for r in spaced.contaminated(docs.where("doc_id is not null"), bench).collect()}
+    alone = {r[1] for r in data if r[0] is None and spaced.contaminated(edge.table(spark, [(1, *r[1:])]), bench).count()}
+    left = [(r[0], r[1]) for r in data if (r[0] not in holds if r[0] is not None else r[1] not in alone)]
+    assert sorted(map(str, left)) == sorted(str((r.doc_id, r.text)) for r in kept.collect())
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    rng = random.Random(5)
+    passage, clean = edge.sentence(rng, 40), edge.sentence(rng, 40)
+    rows = [(4, passage), (4, clean), (None, "so " + passage), (None, clean)]
+    docs = edge.table(spark, [(d, t, None, None, 0) for d, t in rows])
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = spaced.decontaminate(docs, bench).collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(4, clean), (None, clean)] or [(r.doc_id, r.text) for r in kept] == [(None, clean), (4, clean)]
 
 
 def test_masks_must_be_equally_long(spark):
