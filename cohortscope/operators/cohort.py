@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -72,20 +72,39 @@ def build_cohort(
     return attach_tasks(join_scores(scores, demographics), tasks, cfg, outcomes)
 
 
+def _check_present(people: DataFrame, cfg: EvalConfig, outcomes: list[str]) -> None:
+    lacking = [c for c in (*cfg.strata, *cfg.covariates, *outcomes) if c not in people.columns]
+    if lacking:
+        raise ValueError(f"demographics lacks the columns {lacking}")
+
+
+def check_columns(scores: DataFrame, demographics: DataFrame, cfg: EvalConfig, outcomes: list[str]) -> None:
+    """Whether scores and demographics can be joined: all columns there, none twice."""
+    keys = [k for k in ("task_id", "pgs", PERSON) if k in scores.columns]
+    clash = (set(keys + [SCORE]) - {PERSON}) & set(demographics.columns)
+    if clash:
+        raise ValueError(f"demographics also has the columns {sorted(clash)}")
+    _check_present(demographics, cfg, outcomes)
+
+
+def person_columns(people: DataFrame, cfg: EvalConfig) -> list[Column]:
+    """A person's groups and covariates."""
+    text = {f.name for f in people.schema if isinstance(f.dataType, StringType)}
+    return [
+        *(known_group(s, cfg).alias(stratum_column(s)) for s in cfg.strata),
+        *(F.col(c) if c in text else missing_as_null(c).alias(c) for c in cfg.covariates),
+    ]
+
+
 def attach_tasks(
     joined: DataFrame, tasks: DataFrame, cfg: EvalConfig, outcomes: list[str]
 ) -> DataFrame:
-    lacking = [
-        c for c in (*cfg.strata, *cfg.covariates, *outcomes) if c not in joined.columns
-    ]
-    if lacking:
-        raise ValueError(f"demographics lacks the columns {lacking}")
+    _check_present(joined, cfg, outcomes)
     key = "task_id" if "task_id" in joined.columns else "pgs"
     picked = F.element_at(
         F.array(*(missing_as_null(c) for c in outcomes)),
         F.array_position(F.array(*(F.lit(c) for c in outcomes)), F.col("outcome")).cast("int"),
     )
-    text = {f.name for f in joined.schema if isinstance(f.dataType, StringType)}
     rows = joined.join(tasks.select(key, *({"task_id"} - {key}), "method", "outcome"), key)
     return rows.select(
         "task_id",
@@ -93,11 +112,7 @@ def attach_tasks(
         PERSON,
         missing_as_null(SCORE).alias(SCORE),
         picked.alias("y"),
-        *(known_group(s, cfg).alias(stratum_column(s)) for s in cfg.strata),
-        *(
-            F.col(c) if c in text else missing_as_null(c).alias(c)
-            for c in cfg.covariates
-        ),
+        *person_columns(joined, cfg),
     )
 
 

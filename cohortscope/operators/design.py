@@ -1,9 +1,9 @@
-"""The design matrix of a task's rows, built from Arrow batches inside a Spark task."""
+"""The design matrix of a bundle's rows, built from Arrow batches inside a Spark task."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cohortscope.config import BOTH, COVARIATES_ONLY, LOGISTIC, PRS_ONLY, EvalConfig, StrataSet
+from cohortscope.operators.bundles import SCORES, Bundles, Request, outcome_column
 from cohortscope.operators.cohort import stratum_column
 
 # Rows of a cell fall into three classes; a formula uses two of them at most.
@@ -64,7 +65,7 @@ class Design:
 
 @dataclass(frozen=True)
 class Scale:
-    """Shift and scale of SCORE, the numeric covariates and the outcome, for one request."""
+    """Shift and scale of the score, the numeric covariates and the outcome, for one request."""
 
     shift: np.ndarray
     scale: np.ndarray
@@ -87,34 +88,41 @@ def make_design(rows: DataFrame, cfg: EvalConfig) -> Design:
     return Design(tuple(c for c in names if c not in text), tuple(levels), sex)
 
 
-def task_scales(rows: DataFrame, design: Design) -> dict[str, Scale]:
-    """Mean and spread per request, one small row each. Any shift and scale gives the same models."""
-    columns = ["SCORE", *design.numeric, "y"]
-    stats = rows.groupBy("task_id", "method").agg(
+def request_scales(bundles: Bundles, design: Design) -> dict[str, Scale]:
+    """Mean and spread per request, taken per bundle and score. Any shift and scale gives the same models."""
+    rows, ys = bundles.rows, [outcome_column(i) for i in range(bundles.outcomes)]
+    columns = [*design.numeric, *ys]
+    stats = rows.groupBy("bundle").agg(
         *(F.expr(f"avg(`{c}`) as m{i}") for i, c in enumerate(columns)),
         *(F.expr(f"avg(`{c}` * `{c}`) as q{i}") for i, c in enumerate(columns)),
-        F.expr("count_if(y not in (0, 1)) as other"),
+        *(F.expr(f"count_if({y} not in (0, 1)) as other_{y}") for y in ys),
     )
+    each = rows.select("bundle", F.posexplode(SCORES).alias("slot", "s")).groupBy("bundle", "slot")
+    score_stats = {(r.bundle, r.slot): (r.m, r.q) for r in each.agg(F.expr("avg(s) as m"), F.expr("avg(s * s) as q")).collect()}
     scales = {}
     for row in stats.collect():
-        logistic = row.method == LOGISTIC
-        if logistic and row.other:
-            raise ValueError(f"{row.task_id}: the outcome of a logistic request must be 0 or 1")
-        shift = np.array([row[f"m{i}"] or 0.0 for i in range(len(columns))])
-        square = np.array([row[f"q{i}"] or 0.0 for i in range(len(columns))])
-        spread = square - shift * shift
-        scale = np.sqrt(np.where(spread > 1e-12 * square, spread, 1.0))
-        if logistic:
-            shift[-1], scale[-1] = 0.0, 1.0
-        scales[row.task_id] = Scale(shift, scale, logistic)
+        for request in bundles.requests[row.bundle]:
+            logistic = request.method == LOGISTIC
+            outcome = outcome_column(request.outcome)
+            if logistic and row[f"other_{outcome}"]:
+                raise ValueError(f"{request.task_id}: the outcome of a logistic request must be 0 or 1")
+            at = [*range(len(design.numeric)), columns.index(outcome)]
+            mean, square = score_stats[row.bundle, request.slot]
+            shift = np.array([mean or 0.0, *(row[f"m{i}"] or 0.0 for i in at)])
+            square = np.array([square or 0.0, *(row[f"q{i}"] or 0.0 for i in at)])
+            spread = square - shift * shift
+            scale = np.sqrt(np.where(spread > 1e-12 * square, spread, 1.0))
+            if logistic:
+                shift[-1], scale[-1] = 0.0, 1.0
+            scales[request.task_id] = Scale(shift, scale, logistic)
     return scales
 
 
-def input_columns(design: Design, cfg: EvalConfig, extra: Iterable[str] = ()) -> list[str]:
+def input_columns(bundles: Bundles, design: Design, cfg: EvalConfig, extra: Iterable[str] = ()) -> list[str]:
     return [
-        "task_id",
-        "SCORE",
-        "y",
+        "bundle",
+        SCORES,
+        *(outcome_column(i) for i in range(bundles.outcomes)),
         *design.numeric,
         *(name for name, _ in design.levels),
         *(stratum_column(s) for s in cfg.strata),
@@ -123,17 +131,20 @@ def input_columns(design: Design, cfg: EvalConfig, extra: Iterable[str] = ()) ->
 
 
 @dataclass
-class TaskRows:
-    """Rows of one request: matrix, outcome, groups per stratum, row class with and without sex."""
+class TargetRows:
+    """Rows of a bundle for one outcome: groups per stratum, row class with and without sex."""
 
-    task_id: str
-    z: np.ndarray
     groups: dict[str, tuple[np.ndarray, list[str]]]
     classes: dict[bool, np.ndarray]
-    held: np.ndarray | None
+    known: dict[int, tuple] = field(default_factory=dict)
 
     def cuts(self, s: StrataSet) -> tuple[np.ndarray, np.ndarray, list[tuple[str, str]]]:
         """Rows sorted by cell: (row numbers, start of each cell, group names of each cell)."""
+        if s.set_id not in self.known:
+            self.known[s.set_id] = self._cuts(s)
+        return self.known[s.set_id]
+
+    def _cuts(self, s: StrataSet) -> tuple[np.ndarray, np.ndarray, list[tuple[str, str]]]:
         codes, names = self.groups[s.one]
         if s.two is None:
             cell, second = codes.copy(), [""]
@@ -153,6 +164,44 @@ class TaskRows:
         return order, starts, labels
 
 
+@dataclass
+class BundleRows:
+    """Rows of one bundle: matrix (its score and outcome columns stay open), scores and outcomes.
+
+    What the requests of a target share, the cells of all rows, is worked out once.
+    """
+
+    bundle: str
+    z: np.ndarray
+    scores: np.ndarray
+    score_ok: np.ndarray
+    outcomes: np.ndarray
+    complete: dict[bool, np.ndarray]
+    groups: dict[str, tuple[np.ndarray, list[str]]]
+    held: np.ndarray | None
+    targets: dict[tuple[int, bool], TargetRows] = field(default_factory=dict)
+
+    def target(self, request: Request, scale: Scale) -> TargetRows:
+        """Put the request's outcome into the matrix; its rows' classes and cells."""
+        y = (self.outcomes[:, request.outcome] - scale.shift[-1]) / scale.scale[-1]
+        y_ok = ~np.isnan(y)
+        self.z[:, -1] = np.where(y_ok, y, 0.0)
+        if request.target not in self.targets:
+            classes = {}
+            for use_sex, ok in self.complete.items():
+                cls = np.full(len(y), -1)
+                cls[y_ok & self.score_ok & ok] = COMPLETE
+                cls[y_ok & self.score_ok & ~ok] = SCORE_ONLY
+                cls[y_ok & ~self.score_ok & ok] = NO_SCORE
+                classes[use_sex] = cls
+            self.targets[request.target] = TargetRows(self.groups, classes)
+        return self.targets[request.target]
+
+    def score(self, request: Request, scale: Scale) -> np.ndarray:
+        """The request's scores, 0 for a missing one."""
+        return np.where(self.score_ok, (self.scores[:, request.slot] - scale.shift[0]) / scale.scale[0], 0.0)
+
+
 def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, list]:
     encoded = column.combine_chunks().dictionary_encode()
     if isinstance(encoded, pa.ChunkedArray):
@@ -173,58 +222,58 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def task_rows(
-    batches: Iterable[pa.RecordBatch], design: Design, scales: dict[str, Scale], cfg: EvalConfig
-) -> Iterator[TaskRows]:
-    """Decode Arrow batches; only rows with an outcome and a usable formula get a class."""
+def bundle_rows(
+    batches: Iterable[pa.RecordBatch],
+    design: Design,
+    scales: dict[str, Scale],
+    requests: dict[str, list[Request]],
+    outcomes: int,
+    cfg: EvalConfig,
+) -> Iterator[BundleRows]:
+    """Decode Arrow batches: the rows of every bundle that has requests."""
     for table in _chunks(batches):
-        task_codes, task_ids = _codes(table["task_id"])
-        numbers = np.column_stack(
-            [
-                table[c].to_numpy().astype(float)
-                for c in ("SCORE", *design.numeric, "y")
-            ]
-        )
+        bundle_codes, names = _codes(table["bundle"])
+        numbers = [table[c].to_numpy().astype(float) for c in design.numeric]
+        numbers = np.column_stack(numbers) if numbers else np.zeros((table.num_rows, 0))
+        ys = np.column_stack([table[outcome_column(i)].to_numpy().astype(float) for i in range(outcomes)])
+        lists = pa.concat_arrays(table[SCORES].chunks)
         text = {name: _codes(table[name]) for name, _ in design.levels}
         strata = {s: _codes(table[stratum_column(s)]) for s in cfg.strata}
         held = table["held"].to_numpy() if "held" in table.column_names else None
-        for code, task_id in enumerate(task_ids):
-            scale = scales.get(task_id)
-            if scale is None:
+        for code, name in enumerate(names):
+            if not requests.get(name):
                 continue
-            pick = np.flatnonzero(task_codes == code)
-            x = (numbers[pick] - scale.shift) / scale.scale
+            # Covariates are scaled alike for all requests of a bundle.
+            scale = scales[requests[name][0].task_id]
+            pick = np.flatnonzero(bundle_codes == code)
+            x = (numbers[pick] - scale.shift[1:-1]) / scale.scale[1:-1]
             missing = np.isnan(x)
             x[missing] = 0.0
-            z = np.empty((len(pick), design.width))
-            z[:, 0] = x[:, 0]
+            z = np.zeros((len(pick), design.width))
             z[:, 1] = 1.0
-            z[:, design.numeric_at] = x[:, 1:-1]
-            z[:, -1] = x[:, -1]
+            z[:, design.numeric_at] = x
             at = 2 + len(design.numeric) - (design.sex in design.numeric)
-            lacking = {name: missing[:, 1 + i] for i, name in enumerate(design.numeric)}
-            for name, levels in design.levels:
-                codes, seen = text[name]
+            lacking = {name: missing[:, i] for i, name in enumerate(design.numeric)}
+            for column, levels in design.levels:
+                codes, seen = text[column]
                 position = {level: i for i, level in enumerate(levels)}
                 # One further slot for a missing value, which the code -1 picks.
                 lookup = np.array([*(position.get(v, -1) for v in seen), -1])
                 level = lookup[codes[pick]]
                 z[:, at : at + len(levels)] = level[:, None] == np.arange(len(levels))
-                lacking[name] = level < 0
+                lacking[column] = level < 0
                 at += len(levels)
-            score_ok, y_ok = ~missing[:, 0], ~missing[:, -1]
-            classes = {}
+            complete = {}
             for use_sex in (True, False):
-                ok = np.ones(len(pick), bool)
-                for name, lacks in lacking.items():
-                    if use_sex or name != design.sex:
-                        ok &= ~lacks
-                cls = np.full(len(pick), -1)
-                cls[y_ok & score_ok & ok] = COMPLETE
-                cls[y_ok & score_ok & ~ok] = SCORE_ONLY
-                cls[y_ok & ~score_ok & ok] = NO_SCORE
-                classes[use_sex] = cls
-            groups = {s: (codes[pick], names) for s, (codes, names) in strata.items()}
-            yield TaskRows(
-                task_id, z, groups, classes, None if held is None else held[pick].astype(bool)
+                complete[use_sex] = np.ones(len(pick), bool)
+                for column, lacks in lacking.items():
+                    if use_sex or column != design.sex:
+                        complete[use_sex] &= ~lacks
+            scores = lists.take(pa.array(pick)).flatten().to_numpy(zero_copy_only=False).reshape(len(pick), -1)
+            empty = np.isnan(scores)
+            if (empty != empty[:, :1]).any():
+                raise ValueError(f"scores of {name} are missing for different persons")
+            groups = {s: (codes[pick], values) for s, (codes, values) in strata.items()}
+            yield BundleRows(
+                name, z, scores, ~empty[:, 0], ys[pick], complete, groups, None if held is None else held[pick].astype(bool)
             )

@@ -14,8 +14,9 @@ from cohortscope.functions.columns import (
     suppressed,
     test_size,
 )
+from cohortscope.operators.bundles import Bundles, of_rows, request_rows
 from cohortscope.operators.cohort import PERSON
-from cohortscope.operators.design import Design, Scale, make_design, task_scales
+from cohortscope.operators.design import Design, Scale, make_design, request_scales
 from cohortscope.operators.linear import linear_gate, solve_cells
 from cohortscope.operators.logistic import fit_logistic, logistic_gate
 from cohortscope.operators.moments import cell_moments
@@ -24,10 +25,6 @@ from cohortscope.operators.summary import quartile_columns, score_quartiles
 from cohortscope.plans.scratch import written
 
 
-# Parts a request's rows are hashed to before Spark sizes the partitions.
-SPREAD = 64
-
-
 @dataclass
 class Evaluation:
     """Reports per method, before the incremental column is added."""
@@ -38,38 +35,31 @@ class Evaluation:
 
 @dataclass
 class Models:
-    rows: DataFrame
+    bundles: Bundles
     table: DataFrame
     design: Design
     scales: dict[str, Scale]
 
 
-def clustered(rows: DataFrame) -> DataFrame:
-    """Write the rows once, those of a request next to each other.
-
-    Spark splits partitions that come out too large and merges small ones, so one request may hold
-    most of the rows. The order lets a later pass over some requests skip the pages of the others.
-    """
-    spread = F.pmod(F.xxhash64(PERSON), F.lit(SPREAD))
-    together = rows.withColumn("spread", spread).hint("rebalance", "task_id", "spread").drop("spread")
-    return written(together.sortWithinPartitions("task_id"), "cohort")
-
-
-def fit_cells(rows: DataFrame, cfg: EvalConfig, holdout: bool = False) -> Models:
-    """Moments of all cells and the models that follow from them."""
+def fit_cells(cohort: Bundles | DataFrame, cfg: EvalConfig, holdout: bool = False) -> Models:
+    """Moments of all cells and the models that follow from them, for bundles or for rows of single requests."""
+    rows = cohort.rows if isinstance(cohort, Bundles) else cohort
     if holdout:
         share = int(round(cfg.test_fraction * 1000))
         rows = rows.withColumn("held", holdout_bucket(F.col(PERSON), cfg.holdout_seed) < share)
-    rows = clustered(rows)
-    design = make_design(rows, cfg)
-    scales = task_scales(rows, design)
-    moments = cell_moments(rows, design, scales, cfg, holdout)
-    table = written(solve_cells(moments, design, scales, cfg), "models")
-    return Models(rows, table, design, scales)
+    if isinstance(cohort, Bundles):
+        bundles = Bundles(rows, cohort.requests, cohort.outcomes).stored()
+    else:
+        bundles = of_rows(rows)
+    design = make_design(bundles.rows, cfg)
+    scales = request_scales(bundles, design)
+    moments = cell_moments(bundles, design, scales, cfg, holdout)
+    table = written(solve_cells(moments, bundles, design, scales, cfg), "models")
+    return Models(bundles, table, design, scales)
 
 
 def _with_quartiles(models: DataFrame, fitted: Models, cfg: EvalConfig, method: str) -> DataFrame:
-    rows = fitted.rows.where(F.col("method") == method)
+    rows = request_rows(fitted.bundles, cfg, method)
     largest = models.agg(F.max("n")).first()[0] or 0
     quartiles = score_quartiles(rows, cfg, largest)
     return models.join(quartiles, [*TASK_CELL, "formula"], "left")
@@ -116,7 +106,7 @@ def logistic_report(fitted: Models, cfg: EvalConfig) -> DataFrame:
     row stays, and the report has a further column CONVERGED (null for cells of one class, not fitted).
     """
     models = fitted.table.where(F.col("method") == LOGISTIC).where(logistic_gate(cfg))
-    labels = fit_logistic(fitted.rows, fitted.table, fitted.design, fitted.scales, cfg)
+    labels = fit_logistic(fitted.bundles, fitted.table, fitted.design, fitted.scales, cfg)
     if not cfg.keep_unconverged:
         open_models = labels.where("not converged")
         some = open_models.limit(5).collect()
@@ -159,8 +149,8 @@ def logistic_report(fitted: Models, cfg: EvalConfig) -> DataFrame:
     )
 
 
-def evaluate(rows: DataFrame, cfg: EvalConfig, holdout: bool = False) -> Evaluation:
+def evaluate(cohort: Bundles | DataFrame, cfg: EvalConfig, holdout: bool = False) -> Evaluation:
     """Both reports. ``holdout`` scores the linear models on rows left out of the fit."""
-    fitted = fit_cells(rows, cfg, holdout)
+    fitted = fit_cells(cohort, cfg, holdout)
     return Evaluation(linear_report(fitted, cfg, holdout), logistic_report(fitted, cfg))
 

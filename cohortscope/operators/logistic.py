@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope.config import BOTH, COVARIATES_ONLY, LOGISTIC, PRS_ONLY, EvalConfig
+from cohortscope.operators.bundles import Bundles
 from cohortscope.operators.design import (
     COMPLETE,
     NO_SCORE,
     SCORE_ONLY,
     Design,
     Scale,
+    bundle_rows,
     input_columns,
-    task_rows,
 )
 from cohortscope.operators.moments import FLUSH_BYTES, triangle, unfold
 from cohortscope.plans.scratch import scratch_path
@@ -62,10 +63,10 @@ def model_sums(x: np.ndarray, y: np.ndarray, beta: np.ndarray) -> np.ndarray:
     return np.concatenate([head, residual @ x, (scaled.T @ scaled)[triangle(len(beta))]])
 
 
-def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list, state: dict, cfg):
+def _passes(bundles: Bundles, design: Design, scales: dict[str, Scale], models: list, state: dict, cfg):
     """Loss, gradient, Hessian and label counts of the active models, solved for their next step."""
-    ship(rows.sparkSession)
-    sc = rows.sparkSession.sparkContext
+    ship(bundles.rows.sparkSession)
+    sc = bundles.rows.sparkSession.sparkContext
     wanted: dict = {}
     for m in np.flatnonzero(state["active"]):
         task, set_id, one, two, formula = models[m][:5]
@@ -78,41 +79,47 @@ def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: l
             "penalty": state["penalty"],
             "range": state["range"],
             "scales": {t: scales[t] for t in wanted},
+            "requests": {
+                name: some for name in bundles.of_tasks(wanted) if (some := [r for r in bundles.requests[name] if r.task_id in wanted])
+            },
         }
     )
-    sets = cfg.strata_sets()
+    sets, outcomes = cfg.strata_sets(), bundles.outcomes
     columns = {(f, sex): design.columns(f, sex) for f in cfg.formulas for sex in (True, False)}
 
     def partial(batches):
         mine = shared.value
         sums: dict = {}
         held = 0
-        for part in task_rows(batches, design, mine["scales"], cfg):
-            active = mine["wanted"][part.task_id]
-            for s in sets:
-                if not any((s.set_id, f) in active for f in cfg.formulas):
-                    continue
-                order, starts, labels = part.cuts(s)
-                z = part.z.take(order, axis=0)
-                cls = part.classes[s.use_sex][order]
-                mixed = cls.any()
-                for a, b, label in zip(starts, np.r_[starts[1:], len(order)], labels):
-                    for formula in cfg.formulas:
-                        model = active.get((s.set_id, formula), {}).get(label)
-                        if model is None:
-                            continue
-                        cell = z[a:b]
-                        if mixed:
-                            cell = cell[np.isin(cls[a:b], USED[formula])]
-                        first, last = columns[formula, s.use_sex]
-                        value = model_sums(
-                            cell[:, first:last], cell[:, -1], mine["beta"][model, : last - first]
-                        )
-                        if model in sums:
-                            sums[model] += value
-                        else:
-                            sums[model] = value
-                            held += value.nbytes
+        for part in bundle_rows(batches, design, mine["scales"], mine["requests"], outcomes, cfg):
+            for request in sorted(mine["requests"][part.bundle], key=lambda r: r.target):
+                active, scale = mine["wanted"][request.task_id], mine["scales"][request.task_id]
+                rows = part.target(request, scale)
+                part.z[:, 0] = part.score(request, scale)
+                for s in sets:
+                    if not any((s.set_id, f) in active for f in cfg.formulas):
+                        continue
+                    order, starts, labels = rows.cuts(s)
+                    z = part.z.take(order, axis=0)
+                    cls = rows.classes[s.use_sex][order]
+                    mixed = cls.any()
+                    for a, b, label in zip(starts, np.r_[starts[1:], len(order)], labels):
+                        for formula in cfg.formulas:
+                            model = active.get((s.set_id, formula), {}).get(label)
+                            if model is None:
+                                continue
+                            cell = z[a:b]
+                            if mixed:
+                                cell = cell[np.isin(cls[a:b], USED[formula])]
+                            first, last = columns[formula, s.use_sex]
+                            value = model_sums(
+                                cell[:, first:last], cell[:, -1], mine["beta"][model, : last - first]
+                            )
+                            if model in sums:
+                                sums[model] += value
+                            else:
+                                sums[model] = value
+                                held += value.nbytes
             if held > FLUSH_BYTES:
                 yield from _emit(sums)
                 sums, held = {}, 0
@@ -147,7 +154,8 @@ def _passes(rows: DataFrame, design: Design, scales: dict[str, Scale], models: l
                 out["step"] = pa.array(list(step))
                 yield pa.RecordBatch.from_pydict(out)
 
-    needed = rows.where(F.col("task_id").isin(*wanted)).select(*input_columns(design, cfg))
+    needed = bundles.rows.where(F.col("bundle").isin(*bundles.of_tasks(wanted)))
+    needed = needed.select(*input_columns(bundles, design, cfg))
     vectors = sum_vectors(needed.mapInArrow(partial, "model int, " + BLOCK_FIELDS), ["model"])
     steps = vectors.mapInArrow(
         solve,
@@ -165,7 +173,7 @@ def _emit(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"model": pa.array(ids[row])} | columns)
 
 
-def _fit(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list, cfg: EvalConfig):
+def _fit(bundles: Bundles, design: Design, scales: dict[str, Scale], models: list, cfg: EvalConfig):
     """Newton iteration with step halving; returns the state after the last accepted step."""
     count, width = len(models), design.outcome
     use_sex = [s.use_sex for s in cfg.strata_sets()]
@@ -193,7 +201,7 @@ def _fit(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list
     for _ in range(cfg.max_iter):
         if not state["active"].any():
             break
-        result = _passes(rows, design, scales, models, state, cfg)
+        result = _passes(bundles, design, scales, models, state, cfg)
         ids = result["model"].to_numpy()
         loss = result["loss"].to_numpy()
         labels = np.column_stack([result[c].to_numpy() for c in HEAD[1:]])
@@ -220,14 +228,14 @@ def _fit(rows: DataFrame, design: Design, scales: dict[str, Scale], models: list
 
 
 def fit_logistic(
-    rows: DataFrame, models: DataFrame, design: Design, scales: dict[str, Scale], cfg: EvalConfig
+    bundles: Bundles, models: DataFrame, design: Design, scales: dict[str, Scale], cfg: EvalConfig
 ) -> DataFrame:
     """Label counts of every gated logistic model; ``models`` is the table of ``solve_cells``.
 
     Requests are taken in rounds so that the coefficients on the driver stay within a fixed size.
     Models with one class only are not fitted.
     """
-    spark = rows.sparkSession
+    spark = bundles.rows.sparkSession
     gated = models.where((F.col("method") == LOGISTIC) & logistic_gate(cfg) & (F.col("n") > F.col("y_sum")))
     path = scratch_path(spark, "label-counts")
     spark.createDataFrame([], COUNT_FIELDS).write.parquet(path)
@@ -251,15 +259,15 @@ def fit_logistic(
         for row in wanted.toLocalIterator():
             batch.append(tuple(row))
             if len(batch) == cfg.models_per_round:
-                _save(rows, design, scales, batch, cfg, path)
+                _save(bundles, design, scales, batch, cfg, path)
                 batch = []
         if batch:
-            _save(rows, design, scales, batch, cfg, path)
+            _save(bundles, design, scales, batch, cfg, path)
     return spark.read.schema(COUNT_FIELDS).parquet(path)
 
 
-def _save(rows, design, scales, models, cfg, path) -> None:
-    accepted, counts, iterations, converged = _fit(rows, design, scales, models, cfg)
+def _save(bundles, design, scales, models, cfg, path) -> None:
+    accepted, counts, iterations, converged = _fit(bundles, design, scales, models, cfg)
     use_sex = [s.use_sex for s in cfg.strata_sets()]
     out = []
     for m, (task, set_id, one, two, formula, _) in enumerate(models):
@@ -268,5 +276,5 @@ def _save(rows, design, scales, models, cfg, path) -> None:
         out.append(
             (task, set_id, one, two, formula, *counts[m].tolist(), int(iterations[m]), bool(converged[m]), coefficients)
         )
-    rows.sparkSession.createDataFrame(out, COUNT_FIELDS).coalesce(1).write.mode("append").parquet(path)
+    bundles.rows.sparkSession.createDataFrame(out, COUNT_FIELDS).coalesce(1).write.mode("append").parquet(path)
 

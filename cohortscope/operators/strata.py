@@ -104,6 +104,9 @@ def decoded_cell(cfg: EvalConfig, lists: dict[str, list[str]]) -> list[Column]:
 
 
 def with_completeness(rows: DataFrame, cfg: EvalConfig) -> DataFrame:
+    """Whether a row's covariates are complete, with and without sex; rows that say so already stay."""
+    if {"ok_with_sex", "ok_without_sex"} <= set(rows.columns):
+        return rows
     return rows.withColumns(
         {
             "ok_with_sex": covariates_ok(cfg, True),

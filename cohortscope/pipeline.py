@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortscope.config import LINEAR, LOGISTIC, EvalConfig
-from cohortscope.operators.cohort import build_cohort, prepare_tasks
+from cohortscope.operators.bundles import build_bundles
+from cohortscope.operators.cohort import prepare_tasks
 from cohortscope.operators.evaluate import Evaluation, evaluate
 from cohortscope.operators.incremental import incremental
 from cohortscope.operators.scoring import score_people
@@ -36,8 +37,8 @@ def evaluate_requests(
     """
     cfg = cfg or EvalConfig()
     tasks = prepare_tasks(requests, cfg)
-    rows = build_cohort(scores, demographics, tasks, cfg)
-    reports = final_reports(evaluate(rows, cfg, holdout), tasks, legacy)
+    cohort = build_bundles(scores, demographics, tasks, cfg)
+    reports = final_reports(evaluate(cohort, cfg, holdout), tasks, legacy)
     return union_reports(reports[LINEAR], reports[LOGISTIC])
 
 

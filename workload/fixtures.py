@@ -44,6 +44,18 @@ select q.*,
  case when IID % 59 = 0 then null when acctbal / 100 + age + 30 * SCORE > 95 then 1 else 0 end as obesity
 from (select s.pgs, s.SCORE, d.* from ({SCORES}) s join ({DEMOGRAPHICS}) d on s.IID = d.IID) q"""
 
+# Two dozen scores of the same people; every fourth one lacks a fifth of them.
+MANY = tuple(f"PGS8{k:05d}" for k in range(24))
+_PEOPLE = ", ".join(
+    ("ancestry_pred", "race", "ethnicity", "sex_at_birth", "gender", "income_quartiles", "education", "age_quartiles", "age", "agesq",
+     *(f"pca_{i}" for i in range(1, 17)))
+)
+COHORT_MANY = f"""
+select concat('PGS8', substr(cast(100000 + k as varchar(20)), 2, 5)) as pgs,
+ SCORE * (k % 7 + 1) + cast((IID * (k + 3)) % 97 as double) / 7 as SCORE, IID, {_PEOPLE}, waist_circumference, obesity
+from ({COHORT}) q, (select cast(t.k as bigint) as k from (values {', '.join(f'({k})' for k in range(24))}) t(k)) n
+where not (k % 4 = 3 and IID % 5 = 0)"""
+
 # The same people with missing scores, ages, components and sex, and groups of 20 to 25 people.
 COHORT_GAPS = f"""
 select g.pgs, case when IID % 17 = 0 then null else SCORE end as SCORE, IID, ancestry_pred, race, ethnicity,
@@ -130,6 +142,10 @@ def cohort_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, COHORT_GAPS)
 
 
+def many_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, COHORT_MANY).select("pgs", "IID", "SCORE")
+
+
 def requests(spark: SparkSession, wanted=REQUESTS) -> DataFrame:
     values = ", ".join(str(r) for r in wanted)
     return spark.sql(f"select * from values {values} as t(pgs, phenotype, regression)")

@@ -399,6 +399,18 @@ def with_gaps(sql: str) -> str:
     return sql.replace(fx.duck(fx.COHORT), fx.duck(fx.COHORT_GAPS))
 
 
+def many_scores() -> str:
+    """The linear report with age of two dozen scores, which do not all have the same people."""
+    parts = [(f"{pgs}_waist_circumference_linear", "linear", "waist_circumference") for pgs in fx.MANY]
+    sql = f"with {fan(parts, columns=', age')}, {_AGE_RSQ} select {KEY}, {r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')}, n as N from m where n > 20"
+    for pgs in fx.MANY:
+        task = f"'{pgs}_waist_circumference_linear'"
+        begin = sql.index(f"select {task} as task_id")
+        end = sql.index("from cohort", begin) + len("from cohort")
+        sql = sql[:end] + f" where pgs = '{pgs}'" + sql[end:]
+    return sql.replace(fx.duck(fx.COHORT), fx.duck(fx.COHORT_MANY))
+
+
 # Each request's file has scores of its own.
 COHORT_FROM_FILES = COHORT_JOIN.replace(
     r("SCORE", "SCORE"), r("SCORE + case task_id " + " ".join(f"when '{t}' then {i}" for i, (t, _, _) in enumerate(TASKS)) + " end", "SCORE")
@@ -484,6 +496,7 @@ from g window w as (partition by {CELL})""",
     "logistic_age": LOGISTIC_AGE,
     "logistic_full": logistic_full(),
     "all_tasks_report": all_tasks_report(),
+    "many_scores": many_scores(),
     "incremental_auc": INCREMENTAL_AUC,
     "distribution_input": DISTRIBUTION_INPUT,
     "distribution_groups_exact": DISTRIBUTION_GROUPS,

@@ -10,7 +10,8 @@ from cohortscope.operators import distribution as dist
 from cohortscope.operators import strata, summary
 from cohortscope.operators.cohort import attach_tasks, build_cohort, prepare_tasks
 from cohortscope.operators.design import make_design
-from cohortscope.operators.evaluate import clustered, fit_cells, linear_report, logistic_report
+from cohortscope.operators.bundles import build_bundles, clustered
+from cohortscope.operators.evaluate import fit_cells, linear_report, logistic_report
 from cohortscope.operators.incremental import incremental
 from cohortscope.operators.scoring import score_people
 from cohortscope.pipeline import evaluate_requests, run
@@ -418,6 +419,15 @@ def all_tasks_report(spark, sf):
     )
 
 
+def many_scores(spark, sf):
+    """Linear models of two dozen scores with age; the people's rows are shared by bundles of scores."""
+    wanted = [(pgs, "waist_circumference", "linear") for pgs in fixtures.MANY]
+    tasks = prepare_tasks(fixtures.requests(spark, wanted), AGE)
+    cohort = build_bundles(fixtures.many_scores(spark, sf), fixtures.demographics(spark, sf), tasks, AGE, size=5)
+    report = linear_report(fit_cells(cohort, AGE), AGE)
+    return _round(report.select(*KEY, "RSQ", "MSE", "N"))
+
+
 # --- distributions ----------------------------------------------------------------------------
 
 
@@ -487,6 +497,7 @@ QUERIES = {
         whole_run,
         all_tasks_age,
         all_tasks_report,
+        many_scores,
         distribution_input,
         distribution_groups_exact,
         distribution_quartiles,
