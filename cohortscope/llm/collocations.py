@@ -34,9 +34,9 @@ INSIDE = 80
 DICTIONARY = 2_000_000
 TRIE = 1_000_000
 # Bytes of text, and numbers, that a task looks at together, and counts that it holds before it passes them on.
-BYTES = 2 << 20
-NUMBERS = 500_000
-HELD = 500_000
+BYTES = 1 << 20
+NUMBERS = 300_000
+HELD = 300_000
 # Bytes that part words, and those that part pieces.
 BLANKS, MARKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _BLANK, _MARK = table_of(BLANKS + MARKS), table_of(MARKS)
@@ -136,8 +136,8 @@ def _encode(dictionary: Broadcast):
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text the numbers of its words, a 0 at the end of runs of frequent words; lone words are left out."""
     for batch in chunks(batches, "text", BYTES):
-        _, text, last = words_of(batch.column(0))
-        ids = _entries(batch.column(1))
+        _, text, last = words_of(batch.column("text"))
+        ids = _entries(batch.column("ids"))
         place = np.arange(len(ids)) + np.cumsum(last) - last
         size = len(ids) + int(last.sum())
         spread, owner = np.zeros(size, np.int32), np.zeros(size, np.int64)
@@ -160,10 +160,12 @@ def encoded(docs: DataFrame, vocabulary: DataFrame, dictionaries: int) -> DataFr
         words = vocabulary.where(F.col("dictionary") == shard).select("lang", "word", "id").toPandas()
         for lang, own in words.groupby("lang"):
             known[lang] = (pa.array(own["word"], pa.large_string()), own["id"].to_numpy(np.int32))
-        rows = rows.mapInArrow(_encode(spark.sparkContext.broadcast(known)), "lang string, text string, ids array<int>")
+        encode = _encode(spark.sparkContext.broadcast(known))
         if shard + 1 < dictionaries:
-            rows = written(rows, "encoded-part")
-    return written(rows.select("text", "ids").mapInArrow(_sequences, "ids array<int>").where("size(ids) > 0"), "encoded")
+            rows = written(rows.mapInArrow(encode, "lang string, text string, ids array<int>"), "encoded-part")
+    # One Python worker does both steps.
+    done = rows.mapInArrow(lambda batches: _sequences(encode(batches)), "ids array<int>")
+    return written(done.where("size(ids) > 0"), "encoded")
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,10 +320,11 @@ def counted_phrases(rows: DataFrame, least: int = LEAST, trie: int = TRIE) -> Da
         raise ValueError("more than 2^31 frequent word pairs")
     marked = rows.withColumn("pairs", F.array().cast("array<int>"))
     for shard in range(shards):
-        marked = marked.mapInArrow(_mark(_broadcast(built, shard), int(bases[shard])), "ids array<int>, pairs array<int>")
+        mark = _mark(_broadcast(built, shard), int(bases[shard]))
         if shard + 1 < shards:
-            marked = written(marked, "marked-part")
-    longer = written(_frequent(marked.mapInArrow(_longer, schema), least), "longer")
+            marked = written(marked.mapInArrow(mark, "ids array<int>, pairs array<int>"), "marked-part")
+    longer = _frequent(marked.mapInArrow(lambda batches: _longer(mark(batches)), schema), least)
+    longer = written(longer, "longer")
     base_of = rows.sparkSession.createDataFrame([(s, int(b)) for s, b in enumerate(bases[:-1])], "shard int, base long")
     named = pairs.join(F.broadcast(base_of), "shard").selectExpr("cast(base + number as int) as pair", "w1", "w2")
     ends = longer.selectExpr("k", "cast(shiftright(key, 32) as int) as first", "cast(key & 4294967295L as int) as last")
