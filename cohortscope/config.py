@@ -87,8 +87,11 @@ class EvalConfig:
     keep_unconverged: bool = False
     tolerance: float = 1e-8
     holdout_seed: str = "42"
-    # Upper bound on the number of models iterated together; more are fitted in further rounds.
+    # Texts of a demographics file that mean a missing value, besides an empty one.
+    null_tokens: tuple[str, ...] = ("None", "NA")
+    # Upper bound on the number of models iterated together; more are fitted in further rounds, some at a time.
     models_per_round: int = 50_000
+    rounds_in_flight: int = 3
     # Largest number of distinct values ranked inside one task; larger groups are binned first.
     max_ranked: int = 50_000
     # Levels of a text covariate at most, each a column of the model. A request's sums per cell grow with
@@ -116,11 +119,13 @@ class EvalConfig:
 
     @classmethod
     def legacy(cls) -> EvalConfig:
-        """The older rules: gates of 100, no outcome alias, "other" is an ordinary answer."""
+        """The older rules: gates of 100, no outcome alias, 100 passes; "other" and, in a file, "NA" are ordinary answers."""
         return cls(
             ambiguous=tuple(a for a in AMBIGUOUS if a != "other"),
             outcome_alias={},
             linear_min_n=99,
             linear_min_test=20,
             logistic_min_n=100,
+            max_iter=100,
+            null_tokens=(),
         )

@@ -3,15 +3,18 @@
 Objective per model: log-loss plus half the squared raw-scale coefficients times 1/C, intercept free.
 Each Newton step is one pass: tasks add up loss, gradient, Hessian and label counts per model, Spark
 sums them, and the steps are solved in parallel. Only one short vector per model reaches the driver,
-for at most ``models_per_round`` models at a time.
+for at most ``models_per_round`` models of a round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -232,13 +235,14 @@ def fit_logistic(
 ) -> DataFrame:
     """Label counts of every gated logistic model; ``models`` is the table of ``solve_cells``.
 
-    Requests are taken in rounds so that the coefficients on the driver stay within a fixed size.
-    Models with one class only are not fitted.
+    Requests are taken in rounds so that the coefficients on the driver stay within a fixed size, and some rounds
+    (``rounds_in_flight``) run at the same time, each in a scheduler pool of its own. Models with one class only are
+    not fitted.
     """
     spark = bundles.rows.sparkSession
     gated = models.where((F.col("method") == LOGISTIC) & logistic_gate(cfg) & (F.col("n") > F.col("y_sum")))
     path = scratch_path(spark, "label-counts")
-    spark.createDataFrame([], COUNT_FIELDS).write.parquet(path)
+    spark.createDataFrame([], COUNT_FIELDS).write.parquet(f"{path}/none")
     sizes = {
         r.task_id: r["count"]
         for r in gated.groupBy("task_id").count().collect()
@@ -251,19 +255,29 @@ def fit_logistic(
             room = cfg.models_per_round
         rounds[-1].append(task)
         room -= size
-    for tasks in rounds:
-        wanted = gated.where(F.col("task_id").isin(*tasks)).select(
+    def fit_round(number: int) -> None:
+        # With fair scheduling, the short passes of one round do not wait for the long ones of another.
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"round-{number}")
+        wanted = gated.where(F.col("task_id").isin(*rounds[number])).select(
             "task_id", "set_id", "group_one", "group_two", "formula", "start"
         )
         batch: list = []
+        # Folders of their own, as the rounds write at the same time.
+        folders = (f"{path}/round-{number}-{k}" for k in count())
         for row in wanted.toLocalIterator():
             batch.append(tuple(row))
             if len(batch) == cfg.models_per_round:
-                _save(bundles, design, scales, batch, cfg, path)
+                _save(bundles, design, scales, batch, cfg, next(folders))
                 batch = []
         if batch:
-            _save(bundles, design, scales, batch, cfg, path)
-    return spark.read.schema(COUNT_FIELDS).parquet(path)
+            _save(bundles, design, scales, batch, cfg, next(folders))
+
+    # Each pass of a round waits for its slowest task and for the steps; passes of other rounds fill the gaps.
+    if rounds:
+        with ThreadPoolExecutor(min(cfg.rounds_in_flight, len(rounds))) as threads:
+            for done in [threads.submit(inheritable_thread_target(fit_round), number) for number in range(len(rounds))]:
+                done.result()
+    return spark.read.schema(COUNT_FIELDS).option("recursiveFileLookup", "true").parquet(path)
 
 
 def _save(bundles, design, scales, models, cfg, path) -> None:
@@ -276,5 +290,5 @@ def _save(bundles, design, scales, models, cfg, path) -> None:
         out.append(
             (task, set_id, one, two, formula, *counts[m].tolist(), int(iterations[m]), bool(converged[m]), coefficients)
         )
-    bundles.rows.sparkSession.createDataFrame(out, COUNT_FIELDS).coalesce(1).write.mode("append").parquet(path)
+    bundles.rows.sparkSession.createDataFrame(out, COUNT_FIELDS).coalesce(1).write.parquet(path)
 

@@ -71,9 +71,26 @@ def _binned(
     bins: int,
 ) -> DataFrame:
     """Large groups: ranks are searched in ever narrower bins."""
-    targets = written(
-        _first_targets(rows, keys, flags, probabilities), "quantile-targets"
-    )
+    targets = written(_first_targets(rows, keys, flags, probabilities), "quantile-targets")
+    return searched(rows, targets, keys, masks, flags, max_ranked, largest, bins)
+
+
+def searched(
+    rows: DataFrame,
+    targets: DataFrame,
+    keys: list[str],
+    masks: list[str],
+    flags: list[str],
+    max_ranked: int,
+    largest: int,
+    bins: int = BINS,
+) -> DataFrame:
+    """The values at the ranks of ``targets``: keys, lo and hi (where a rank is searched), width (rows between them),
+    flag, p, side, rank (among the flagged rows from lo on), fraction.
+
+    ``rows`` has the keys, ``v`` and the flags; rows of a group outside of its intervals may be missing. The largest
+    interval has ``largest`` rows.
+    """
     few = targets.count() <= BROADCAST_TARGETS
     even, logarithmic = _even_bin(bins), _logarithmic_bin(bins)
     part = even
@@ -126,21 +143,21 @@ def _first_targets(
         F.max("v").alias("hi"),
         *(F.count_if(f).alias(f) for f in flags),
     )
+    ranks = wanted_ranks({flag: flag for flag in flags}, probabilities)
+    return bounds.select(*keys, "lo", "hi", "width", ranks).where("rank >= 0")
+
+
+def wanted_ranks(sizes: Mapping[str, str], probabilities: Sequence[float]) -> Column:
+    """Rows (flag, p, side, rank, fraction): the ranks below and above each quantile; ``sizes`` are SQL, by flag."""
     wanted = ", ".join(
-        f"{f}, {p}, {side}, least(floor({float(probability)!r}D * ({flag} - 1)) + {side}, {flag} - 1), "
-        f"{float(probability)!r}D * ({flag} - 1) - floor({float(probability)!r}D * ({flag} - 1))"
-        for f, flag in enumerate(flags)
+        f"{f}, {p}, {side}, least(floor({float(probability)!r}D * ({size} - 1)) + {side}, {size} - 1), "
+        f"{float(probability)!r}D * ({size} - 1) - floor({float(probability)!r}D * ({size} - 1))"
+        for f, size in enumerate(sizes.values())
         for p, probability in enumerate(probabilities)
         for side in (0, 1)
     )
-    count = len(flags) * len(probabilities) * 2
-    return bounds.select(
-        *keys,
-        "lo",
-        "hi",
-        "width",
-        F.expr(f"stack({count}, {wanted})").alias("flag", "p", "side", "rank", "fraction"),
-    ).where("rank >= 0")
+    count = len(sizes) * len(probabilities) * 2
+    return F.expr(f"stack({count}, {wanted})").alias("flag", "p", "side", "rank", "fraction")
 
 
 def _even_bin(bins: int) -> Column:

@@ -63,7 +63,17 @@ def fan_out_coded(
     rows: DataFrame, cfg: EvalConfig, lists: dict[str, list[str]], keep: list[str | Column]
 ) -> DataFrame:
     """As ``fan_out``, with the cell as one number, which is much cheaper to group by than names."""
-    coded = rows.withColumns(
+    coded = with_codes(rows, cfg, lists)
+    values = ", ".join(
+        f"{code}, {'ok_with_sex' if s.use_sex else 'ok_without_sex'}" for s, code in zip(cfg.strata_sets(), cell_codes(cfg))
+    )
+    cells = F.expr(f"stack({len(cfg.strata_sets())}, {values})")
+    return coded.select(*keep, cells.alias("cell", "covariates_ok")).where("cell is not null")
+
+
+def with_codes(rows: DataFrame, cfg: EvalConfig, lists: dict[str, list[str]]) -> DataFrame:
+    """Add the place of each stratum's group in its list, as ``code_0`` and so on."""
+    return rows.withColumns(
         {
             f"code_{i}": F.expr(
                 f"array_position(array({quoted(tuple(lists[s]))}), `{stratum_column(s)}`)"
@@ -73,14 +83,14 @@ def fan_out_coded(
             for i, s in enumerate(cfg.strata)
         }
     )
-    values = ", ".join(
-        f"{s.set_id << 40}L + shiftleft(code_{cfg.strata.index(s.one)}, 20)"
-        + (f" + code_{cfg.strata.index(s.two)}" if s.two else "")
-        + (", ok_with_sex" if s.use_sex else ", ok_without_sex")
+
+
+def cell_codes(cfg: EvalConfig) -> list[str]:
+    """For every set, the number of the cell that a row with codes is in, null if it is in none."""
+    return [
+        f"{s.set_id << 40}L + shiftleft(code_{cfg.strata.index(s.one)}, 20)" + (f" + code_{cfg.strata.index(s.two)}" if s.two else "")
         for s in cfg.strata_sets()
-    )
-    cells = F.expr(f"stack({len(cfg.strata_sets())}, {values})")
-    return coded.select(*keep, cells.alias("cell", "covariates_ok")).where("cell is not null")
+    ]
 
 
 def decoded_cell(cfg: EvalConfig, lists: dict[str, list[str]]) -> list[Column]:

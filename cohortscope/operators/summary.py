@@ -6,21 +6,22 @@ by the number of combinations rather than by the number of persons.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortscope.config import BOTH, LOGISTIC, PRS_ONLY, EvalConfig
 from cohortscope.functions.columns import formula_mask, test_size
 from cohortscope.operators.cohort import stratum_column
-from cohortscope.operators.quantiles import exact_quantiles
+from cohortscope.operators.quantiles import BINS, exact_quantiles, searched, wanted_ranks
 from cohortscope.operators.strata import (
-    CELL,
     TASK_CELL,
+    cell_codes,
     decoded_cell,
     fan_out,
     fan_out_coded,
     group_lists,
     named_cells,
+    with_codes,
     with_completeness,
 )
 from cohortscope.plans.scratch import written
@@ -81,20 +82,80 @@ def split_sizes(n: Column, cfg: EvalConfig) -> list[Column]:
 
 
 def score_quartiles(rows: DataFrame, cfg: EvalConfig, largest: int | None = None) -> DataFrame:
-    """Exact quartiles of the score per request, cell and formula that uses the score."""
+    """Exact quartiles of the score per request, cell and formula that uses the score.
+
+    ``largest`` is the size of the largest cell, if the caller knows it. Cells that are known to be small use the
+    built-in percentile; otherwise their histograms are put together from those of combinations of strata.
+    """
     scored = with_completeness(rows, cfg).where("y is not null and SCORE is not null")
     masks = {PRS_ONLY: F.lit(True), BOTH: F.col("covariates_ok")}
     wanted = {f: m for f, m in masks.items() if f in cfg.formulas}
+    if not wanted:
+        empty = "task_id string, set_id int, group_one string, group_two string, formula string, q array<double>"
+        return rows.sparkSession.createDataFrame([], empty)
     # Numbering the cells takes a pass of its own, which pays off only when the bins are needed.
     small = largest is not None and largest <= cfg.max_ranked
     lists = None if small else group_lists(rows, cfg)
     if lists is None:
-        fanned, keys = fan_out(scored, cfg, ["task_id", "SCORE"]), TASK_CELL
-    else:
-        fanned, keys = fan_out_coded(scored, cfg, lists, ["task_id", "SCORE"]), ["task_id", "cell"]
-    found = exact_quantiles(fanned, keys, "SCORE", QUARTILES, wanted, cfg.max_ranked, largest)
-    cells = CELL if lists is None else decoded_cell(cfg, lists)
-    return found.select("task_id", *cells, F.col("mask").alias("formula"), "q")
+        fanned = fan_out(scored, cfg, ["task_id", "SCORE"])
+        found = exact_quantiles(fanned, TASK_CELL, "SCORE", QUARTILES, wanted, cfg.max_ranked, largest)
+        return found.select(*TASK_CELL, F.col("mask").alias("formula"), "q")
+    found = merged_quantiles(scored, cfg, lists, list(wanted), QUARTILES)
+    return found.select("task_id", *decoded_cell(cfg, lists), F.col("mask").alias("formula"), "q")
+
+
+def merged_quantiles(
+    scored: DataFrame, cfg: EvalConfig, lists: dict[str, list[str]], formulas: list[str], probabilities: tuple[float, ...], bins: int = BINS
+) -> DataFrame:
+    """Quantiles of the score per request, cell (as its number) and formula, from histograms that add up.
+
+    Scores are counted per combination of strata and bin; the counts, not the persons, are fanned out to the cells
+    and added up there. That tells for each cell which bins hold its quantiles. A person then goes to those of
+    its cells only that look into the bin its score is in.
+    """
+    flags = {f"in_{i}": ("true" if f == PRS_ONLY else "covariates_ok") for i, f in enumerate(formulas)}
+    # An even grid of each request's own range; its ends are scaled first, as their difference may exceed any double.
+    bounds = scored.groupBy("task_id").agg(F.min("SCORE").alias("from_"), F.max("SCORE").alias("to_"))
+    share = f"(SCORE / {bins} - from_ / {bins}) / (to_ / {bins} - from_ / {bins})"
+    bin_ = F.expr(f"cast(if(to_ > from_, least(floor({share} * {bins}), {bins - 1}), 0) as int)")
+    strata = [stratum_column(s) for s in cfg.strata]
+    flat = scored.select("task_id", "SCORE", "ok_with_sex", "ok_without_sex", *strata).join(bounds, "task_id").withColumn("bin", bin_)
+    combined = flat.groupBy("task_id", "bin", "ok_with_sex", "ok_without_sex", *strata).agg(
+        F.count(F.lit(1)).alias("n"), F.min("SCORE").alias("lo"), F.max("SCORE").alias("hi")
+    )
+    fanned = fan_out_coded(combined, cfg, lists, ["task_id", "bin", "n", "lo", "hi"])
+    counted = fanned.groupBy("task_id", "cell", "bin").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("width"),
+        *(F.sum(F.expr(f"if({mask}, n, 0L)")).alias(flag) for flag, mask in flags.items()),
+    )
+    # At most as many rows per cell as there are bins.
+    cell, running = Window.partitionBy("task_id", "cell"), Window.partitionBy("task_id", "cell").orderBy("bin")
+    sums = counted.select(
+        "*",
+        *(F.sum(f).over(cell).alias(f"all_{f}") for f in flags),
+        F.array(*(F.sum(f).over(running) for f in flags)).alias("through"),
+        F.array(*flags).alias("size"),
+    )
+    ranked = sums.select("*", wanted_ranks({f: f"all_{f}" for f in flags}, probabilities)).where("rank >= 0")
+    before = "through[flag] - size[flag]"
+    targets = ranked.where(f"rank >= {before} and rank < through[flag]").selectExpr(
+        "task_id", "cell", "bin", "lo", "hi", "width", "flag", "p", "side", f"rank - ({before}) as rank", "fraction"
+    )
+    targets = written(targets, "quantile-targets")
+    # Which cells look into a bin; a person is in one cell of each set at most.
+    asked = targets.groupBy("task_id", "bin").agg(F.collect_set("cell").alias("asked"))
+    codes = ", ".join(cell_codes(cfg))
+    sexes = ", ".join(str(s.use_sex).lower() for s in cfg.strata_sets())
+    near = with_codes(flat.join(asked, ["task_id", "bin"]), cfg, lists).withColumn("own", F.expr(f"array({codes})"))
+    mine = "filter(asked, c -> own[cast(shiftright(c, 40) as int)] = c)"
+    near = near.select("task_id", "SCORE", "ok_with_sex", "ok_without_sex", F.explode(F.expr(mine)).alias("cell"))
+    ok = F.expr(f"if(array({sexes})[cast(shiftright(cell, 40) as int)], ok_with_sex, ok_without_sex)")
+    near = near.withColumn("covariates_ok", ok)
+    pairs = written(
+        near.select("task_id", "cell", F.col("SCORE").alias("v"), *(F.expr(mask).alias(f) for f, mask in flags.items())), "near-quantiles"
+    )
+    largest = targets.where("lo < hi").agg(F.max("width")).first()[0] or 0
+    return searched(pairs, targets.drop("bin"), ["task_id", "cell"], formulas, list(flags), cfg.max_ranked, largest)
 
 
 def score_summary(rows: DataFrame, cfg: EvalConfig) -> DataFrame:

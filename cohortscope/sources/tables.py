@@ -86,9 +86,13 @@ def read_demographics(
     cfg: EvalConfig,
     outcomes: list[str],
     text_covariates: tuple[str, ...] = ("sex_at_birth",),
-    null_values: tuple[str, ...] = NULL_TOKENS,
+    null_values: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Person, strata as text, covariates and outcomes as numbers; other columns are not read."""
+    """Person, strata as text, covariates and outcomes as numbers; other columns are not read.
+
+    ``null_values`` are the texts that mean a missing value, by default those of ``cfg``.
+    """
+    null_values = cfg.null_tokens if null_values is None else null_values
     text = set(cfg.strata) | set(text_covariates)
     wanted = dict.fromkeys((*cfg.strata, *cfg.covariates, *outcomes))
     return _by_name(spark, paths).select(

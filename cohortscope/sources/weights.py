@@ -46,7 +46,7 @@ def _pgs(pattern: str) -> Column:
 def read_weight_headers(
     spark: SparkSession, paths: str | list[str], pgs_pattern: str = PGS_PATTERN
 ) -> DataFrame:
-    """The ``#key=value`` lines: file, pgs, line_no, key, value (key is null for a title line)."""
+    """The lines that start with ``#``: file, pgs, line_no, key, value (both null for a line without ``=``), and the line itself."""
     pair = r"^#+([^=]+)=(.*)$"
     order = Window.partitionBy("file").orderBy("place")
     return (
@@ -58,6 +58,7 @@ def read_weight_headers(
             F.row_number().over(order).alias("line_no"),
             F.when(F.col("line").rlike(pair), F.regexp_extract("line", pair, 1)).alias("key"),
             F.when(F.col("line").rlike(pair), F.regexp_extract("line", pair, 2)).alias("value"),
+            "line",
         )
     )
 
@@ -138,16 +139,13 @@ def weight_file_name(pgs: Column) -> Column:
 
 
 def export_weight_files(weights: DataFrame, headers: DataFrame, path: str) -> None:
-    """Normalised weights as gzipped text: the header lines, the column line, the rows.
+    """Normalised weights as gzipped text: the header lines as they were, the column line, the rows.
 
     A folder per score bears the name of its file. Header lines come from the score's first raw file. A
     gzip file is one sequence, so each score is written by one task; its rows are sorted by place only.
     """
     first = headers.groupBy("pgs").agg(F.min("file").alias("file"))
-    text = F.when(F.col("key").isNull(), F.lit("###PGS CATALOG SCORING FILE")).otherwise(
-        F.concat(F.lit("#"), "key", F.lit("="), "value")
-    )
-    tops = headers.join(first, ["pgs", "file"]).select("pgs", F.col("line_no").cast("long").alias("place"), text.alias("line"))
+    tops = headers.join(first, ["pgs", "file"]).select("pgs", F.col("line_no").cast("long").alias("place"), "line")
     column_line = weights.select("pgs").distinct().select(
         "pgs", F.lit(1 << 40).alias("place"), F.lit("\t".join(WEIGHT_COLUMNS)).alias("line")
     )

@@ -168,6 +168,37 @@ def test_partitioning_and_rounds_do_not_change_results(rows):
             assert left[key].PRS_Q1 == pytest.approx(right[key].PRS_Q1) if left[key].PRS_Q1 is not None else True
 
 
+def test_rounds_of_models_run_at_the_same_time(rows, monkeypatch):
+    import threading
+
+    from cohortscope.operators import logistic
+
+    few = rows.where("stratum_race is not null and method = 'logistic'")
+    few = few.withColumn("task_id", F.explode(F.array(*(F.lit(t) for t in "abcd"))))
+    cfg = CFG.with_(strata=("race",), families=(), covariates=("age",), models_per_round=10, rounds_in_flight=2)
+    inside, most, passes = set(), [0], logistic._passes
+
+    def counted(*args):
+        inside.add(threading.get_ident())
+        most[0] = max(most[0], len(inside))
+        try:
+            return passes(*args)
+        finally:
+            inside.discard(threading.get_ident())
+
+    monkeypatch.setattr(logistic, "_passes", counted)
+    found = by_key_of_task(logistic_report(fit_cells(few, cfg), cfg))
+    assert most[0] == 2
+    # The four requests are the same, so are their rows.
+    for (task, *key), row in found.items():
+        assert row.AUC == found["a", *key].AUC
+    assert {k[0] for k in found} == set("abcd")
+
+
+def by_key_of_task(report):
+    return {(r.task_id, r.GROUP_ONE, r.COVARIATES): r for r in report.collect()}
+
+
 def test_incremental_is_equal_on_all_rows_of_a_cell(fitted):
     report = incremental(linear_report(fitted, CFG), "RSQ")
     cells = {}

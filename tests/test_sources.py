@@ -58,6 +58,29 @@ def test_headers(spark, weight_files):
     assert summary == {"PGS000001": ("2", 4), "PGS000002": ("10", 1)}
 
 
+def test_header_lines_are_written_as_they_were(spark, tmp_path):
+    head = ["###PGS CATALOG SCORING FILE - see https://example.org", "#format_version=2.0", "##GENOME BUILD", "##weight=a=b", "#", "# a remark\twith a tab"]
+    columns = "chr_name\thm_pos\teffect_allele\tother_allele\teffect_weight"
+    (tmp_path / "raw").mkdir()
+    put(tmp_path / "raw" / "PGS000009.txt", "\n".join([*head, columns, "1\t5\tA\tC\t0.25"]) + "\n")
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    headers = weights.read_weight_headers(spark, raw)
+    assert [r.key for r in headers.orderBy("line_no").collect()] == [None, "format_version", None, "weight", None, None]
+    weights.export_weight_files(weights.read_weights(spark, raw), headers, out)
+    again = weights.read_weight_headers(spark, out).orderBy("line_no").collect()
+    assert [r.line for r in again] == head
+    assert weights.read_normalized(spark, out).count() == 1
+
+
+def test_older_inputs_have_no_texts_for_missing_values(spark, tmp_path):
+    put(tmp_path / "people.tsv", "IID\trace\tage\ty\n1\tNA\t30\t1\n2\tother\t40\t0\n3\t\t50\t1\n")
+    cfg = EvalConfig().with_(strata=("race",), covariates=("age",))
+    old = EvalConfig.legacy().with_(strata=("race",), covariates=("age",))
+    assert old.max_iter == 100
+    groups = lambda c: {r.IID: r.race for r in tables.read_demographics(spark, str(tmp_path), c, ["y"]).collect()}
+    assert groups(cfg) == {1: None, 2: "other", 3: None} and groups(old) == {1: "NA", 2: "other", 3: None}
+
+
 def test_unusable_file_is_refused(spark, tmp_path):
     put(tmp_path / "PGS000003.txt", "#x=1\nrsID\teffect_allele\nrs1\tA\n")
     with pytest.raises(Exception, match="needed columns"):

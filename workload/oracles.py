@@ -13,6 +13,7 @@ BAD = (
     "PMI: Prefer Not To Answer", "PMI: Skip", "I prefer not to answer", "None", "Intersex",
     "No matching concept", "None of these", "More than one population", "None Indicated", "other",
 )
+LEGACY_BAD = ", ".join(f"'{b}'" for b in BAD if b != "other")
 _BAD = ", ".join(f"'{b}'" for b in BAD)
 _NEVER = (
     {"gender", "sex_at_birth"}, {"ancestry_pred", "race"}, {"ancestry_pred", "ethnicity"}, {"race", "ethnicity"},
@@ -387,7 +388,6 @@ def _total(d: str, score: str | None = None) -> str:
     return f"2 * count({d}) as ALLELE_CT, {r(f'sum({d})', 'NAMED_ALLELE_DOSAGE_SUM')}, {r(score or f'sum({d} * weight)', 'SCORE')}"
 
 
-LEGACY_BAD = ", ".join(f"'{b}'" for b in BAD if b != "other")
 _LEGACY_GATE = "(case when method = 'logistic' then n > 100 and y_sum > 20 else n >= 101 end)"
 
 COHORT_JOIN = f"""with {rows()} select task_id, method, IID, {r('SCORE', 'SCORE')}, {r('y', 'y')}, {', '.join('stratum_' + s for s in STRATA)},
@@ -411,6 +411,17 @@ def many_scores() -> str:
     return sql.replace(fx.duck(fx.COHORT), fx.duck(fx.COHORT_MANY))
 
 
+def legacy_inputs() -> str:
+    """Groups of the older inputs: NA and other are ordinary answers."""
+    people = fx.duck(fx.DEMOGRAPHICS)
+    answer = {"race": "case when IID % 29 = 0 then 'other' else race end", "education": "coalesce(education, 'NA')"}
+    parts = " union all ".join(
+        f"""select '{s}' as STRATA_ONE, {answer.get(s, s)} as GROUP_ONE, count(*) as people from ({people}) where {answer.get(s, s)} not in ({LEGACY_BAD}) group by 2"""
+        for s in STRATA
+    )
+    return f"select * from ({parts})"
+
+
 # Each request's file has scores of its own.
 COHORT_FROM_FILES = COHORT_JOIN.replace(
     r("SCORE", "SCORE"), r("SCORE + case task_id " + " ".join(f"when '{t}' then {i}" for i, (t, _, _) in enumerate(TASKS)) + " end", "SCORE")
@@ -421,15 +432,16 @@ from fitted window w as (partition by {CELL})"""
 # The cohort with the scores that the raw weights and dosages give.
 COMPUTED = f"""select s.pgs, s.SCORE, d.* from ({scoring("sum(coalesce(d, expected) * weight) as SCORE")}) s
  join (select * exclude (pgs, SCORE) from ({fx.duck(fx.COHORT)})) d on s.IID = d.IID where s.pgs = 'PGS900001'"""
-WHOLE_RUN = f"""with {fan(LIN, columns=', age')}, {_AGE_RSQ}, g as (select * from m where n > 20)
-select {KEY}, {r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')}, n as N, round(max(case when COVARIATES = 'prs_and_covariates' then q end) over w - max(case when COVARIATES = 'covariates_only' then q end) over w, 6) + 0.0 as INCREMENTAL_RSQ_PRS
-from g window w as (partition by {CELL})""".replace(fx.duck(fx.COHORT), COMPUTED)
+WHOLE_RUN = f"""select * replace (round(MEAN_PRS, 6) + 0.0 as MEAN_PRS, round(VAR_PRS, 6) + 0.0 as VAR_PRS)
+from ({all_tasks_report().replace(fx.duck(fx.COHORT), COMPUTED)})"""
 _FILES = f"(select pgs, p_partkey // {PER_FILE} as chunk from ({fx.duck(fx.WEIGHTS)}) group by pgs, chunk)"
-# The four header lines of the first kind of file; the second kind has another version.
-_HEADERS = """(values (1, null, null), (2, 'format_version', null), (3, 'pgs_id', null),
- (4, 'note', 'a version' || chr(9) || 'with a tab')) as h(line_no, key, v)"""
+# The six header lines of the first kind of file; the second kind has another version.
+_HEADERS = """(values (1, null, null, '###PGS CATALOG SCORING FILE'), (2, 'format_version', null, null), (3, 'pgs_id', null, null),
+ (4, 'note', 'a version' || chr(9) || 'with a tab', null), (5, null, null, '###SOURCE INFORMATION'),
+ (6, 'weight_type', 'beta = log(OR)', '##weight_type=beta = log(OR)')) as h(line_no, key, v, whole)"""
 _HEADER_VALUE = """case when key = 'pgs_id' then pgs when key = 'format_version' then
  case when pgs = 'PGS900001' then '2.0' else '10.1' end else v end as value"""
+_HEADER_LINE = f"coalesce(whole, '#' || key || '=' || {_HEADER_VALUE.replace(' as value', '')}) as line"
 _VERSION = "case when pgs = 'PGS900001' then '2' else '10' end"
 ORACLES = {
     "request_map": f"""with q as ({fx.duck(fx.PART_REQUESTS)}), v as ({fx.duck(fx.PART_VERSIONS)})
@@ -437,10 +449,10 @@ select concat(q.pgs, '_', phenotype, '_', regression) as id, concat(q.pgs, '_for
  case when phenotype = 'bmi' then 'obesity' else phenotype end as outcome, case when lower(regression) = 'logistic' then 'logistic' else 'linear' end as method
 from q left join v on q.pgs = v.pgs""",
     "weights_scan": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
-    "weights_header": f"""select pgs, {_VERSION} as version, cast(line_no as int) as line_no, key, {_HEADER_VALUE}, count(*) as files
+    "weights_header": f"""select pgs, {_VERSION} as version, cast(line_no as int) as line_no, key, {_HEADER_VALUE}, {_HEADER_LINE}, count(*) as files
 from {_FILES} f, {_HEADERS} group by all""",
     "weights_files": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
-    "weights_files_headers": f"""select pgs, concat(pgs, '_formatted_hmPOS_GRCh38.txt.gz') as weight_file, cast(line_no as int) as line_no, key, {_HEADER_VALUE}
+    "weights_files_headers": f"""select pgs, concat(pgs, '_formatted_hmPOS_GRCh38.txt.gz') as weight_file, cast(line_no as int) as line_no, key, {_HEADER_VALUE}, {_HEADER_LINE}
 from (select distinct pgs from ({fx.duck(fx.WEIGHTS)})) f, {_HEADERS}""",
     "weights_normalize": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
     "weights_allele_fallback": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
@@ -497,6 +509,7 @@ from g window w as (partition by {CELL})""",
     "logistic_full": logistic_full(),
     "all_tasks_report": all_tasks_report(),
     "many_scores": many_scores(),
+    "legacy_inputs": legacy_inputs(),
     "incremental_auc": INCREMENTAL_AUC,
     "distribution_input": DISTRIBUTION_INPUT,
     "distribution_groups_exact": DISTRIBUTION_GROUPS,

@@ -89,7 +89,7 @@ def weights_header(spark, sf):
     path = raw_files.write_raw_files(spark, sf)
     lines = weights.read_weight_headers(spark, path)
     versions = weights.header_summary(lines).select("file", "version")
-    return lines.join(versions, "file").groupBy("pgs", "version", "line_no", "key", "value").agg(
+    return lines.join(versions, "file").groupBy("pgs", "version", "line_no", "key", "value", "line").agg(
         F.count(F.lit(1)).alias("files")
     )
 
@@ -347,7 +347,7 @@ def weights_files_headers(spark, sf):
     raw, out = raw_files.write_raw_files(spark, sf), scratch_path(spark, "weight-files")
     weights.export_weight_files(weights.read_weights(spark, raw), weights.read_weight_headers(spark, raw), out)
     lines = weights.read_weight_headers(spark, out)
-    return lines.select("pgs", F.regexp_extract("file", "weight_file=([^/]+)/", 1).alias("weight_file"), "line_no", "key", "value")
+    return lines.select("pgs", F.regexp_extract("file", "weight_file=([^/]+)/", 1).alias("weight_file"), "line_no", "key", "value", "line")
 
 
 def linear_holdout(spark, sf):
@@ -387,14 +387,29 @@ def legacy_report(spark, sf):
 
 
 def whole_run(spark, sf):
-    """From raw weight files and dosages to the written report of a request, with age as covariate."""
+    """From raw weight files and dosages to the written reports of all requests, with all covariates."""
     dosages = fixtures.run(spark, sf, fixtures.GENOTYPES)
     frequencies = dosages.groupBy("chr", "pos", F.col("alt").alias("allele")).agg((F.avg("dosage") / 2).alias("freq"))
     report = run(
-        spark, fixtures.requests(spark, LIN), raw_files.write_raw_files(spark, sf), dosages,
-        fixtures.demographics(spark, sf), scratch_path(spark, "whole-run"), AGE, frequencies=frequencies,
+        spark, fixtures.requests(spark), raw_files.write_raw_files(spark, sf), dosages,
+        fixtures.demographics(spark, sf), scratch_path(spark, "whole-run"), CFG, frequencies=frequencies,
     )
-    return _round(report.select(*KEY, "RSQ", "MSE", "N", "INCREMENTAL_RSQ_PRS"))
+    # Computed scores have more digits than those of the tables.
+    moments = {c: F.round(c, 6) + F.lit(0.0) for c in ("MEAN_PRS", "VAR_PRS")}
+    return _round(report).withColumns(moments)
+
+
+def legacy_inputs(spark, sf):
+    """People per group, read from a file by the older rules."""
+    cfg, path = EvalConfig.legacy(), scratch_path(spark, "older-demographics")
+    people = fixtures.demographics(spark, sf).withColumns(
+        {"education": F.coalesce("education", F.lit("NA")), "race": F.when(F.col("IID") % 29 == 0, "other").otherwise(F.col("race"))}
+    )
+    people.write.options(sep="\t", header=True).csv(path)
+    read = tables.read_demographics(spark, path, cfg, OUTCOMES).select(F.lit("PGS900001").alias("pgs"), F.lit(0.0).alias("SCORE"), "*")
+    found = attach_tasks(read, prepare_tasks(fixtures.requests(spark, LIN), cfg), cfg, OUTCOMES)
+    alone = strata.cells(found, cfg).where("STRATA_TWO is null")
+    return alone.groupBy("STRATA_ONE", "GROUP_ONE").agg(F.count(F.lit(1)).alias("people"))
 
 
 def logistic_full(spark, sf):
@@ -498,6 +513,7 @@ QUERIES = {
         all_tasks_age,
         all_tasks_report,
         many_scores,
+        legacy_inputs,
         distribution_input,
         distribution_groups_exact,
         distribution_quartiles,

@@ -43,6 +43,8 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> str:
             F.when(F.col("pgs") == "PGS900001", "#format_version=2.0").otherwise("#format_version=10.1"),
             F.concat(F.lit("#pgs_id="), "pgs"),
             F.lit("#note=a version\twith a tab"),
+            F.lit("###SOURCE INFORMATION"),
+            F.lit("##weight_type=beta = log(OR)"),
             head,
         )
     ).alias("place", "line")
