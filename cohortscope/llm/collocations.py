@@ -33,10 +33,13 @@ INSIDE = 80
 # Words of one broadcast dictionary, phrases of one broadcast trie.
 DICTIONARY = 2_000_000
 TRIE = 1_000_000
+# Phrases counted in one vector, and vectors that are added up together.
+COUNTED = 256
+PARTS = 64
 # Bytes of text, and numbers, that a task looks at together, and counts that it holds before it passes them on.
-BYTES = 1 << 20
-NUMBERS = 300_000
-HELD = 300_000
+BYTES = 1 << 19
+NUMBERS = 200_000
+HELD = 200_000
 # Bytes that part words, and those that part pieces.
 BLANKS, MARKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _BLANK, _MARK = table_of(BLANKS + MARKS), table_of(MARKS)
@@ -254,24 +257,43 @@ def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _accepted(trie: Broadcast, shard: int):
-    """How often each phrase of a trie stands in a task's sequences: (shard, number, n)."""
+    """How often each phrase of a trie stands in a task's sequences: (shard, part, block, counts), by runs of numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Trie = trie.value
-        total = np.zeros(int(known.number.max(initial=0)) + 1, np.int64)
+        size = -(-(int(known.number.max(initial=0)) + 1) // COUNTED)
+        total = np.zeros(size * COUNTED, np.int64)
         for batch in _slices(batches):
             for _, _, states in known.walk(_entries(batch.column(0)), LONGEST):
                 total += np.bincount(known.number[states], minlength=len(total))
         total[0] = 0
-        there = np.flatnonzero(total)
+        vectors = total.reshape(size, COUNTED)
+        there = np.flatnonzero(vectors.any(axis=1))
+        edges = pa.array(np.arange(len(there) + 1, dtype=np.int32) * COUNTED)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(there), shard, np.int32)), pa.array(there.astype(np.int32)), pa.array(total[there])],
-            ["shard", "number", "n"],
-        )
+            [
+                pa.array(np.full(len(there), shard, np.int32)), pa.array((there // PARTS).astype(np.int32)),
+                pa.array(there.astype(np.int32)), pa.ListArray.from_arrays(edges, pa.array(vectors[there].ravel())),
+            ],
+            ["shard", "part", "block", "counts"],
+        )
 
     return run
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    """The vectors of all tasks added up: (shard, number, a) of the phrases of one part of a trie."""
+    blocks_ = table.column("block").to_numpy()
+    counts = table.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(blocks_), COUNTED)
+    found, back = np.unique(blocks_, return_inverse=True)
+    total = np.zeros((len(found), COUNTED), np.int64)
+    np.add.at(total, back, counts)
+    number = (found.astype(np.int64)[:, None] * COUNTED + np.arange(COUNTED)).ravel()
+    there = np.flatnonzero(total.ravel())
+    shard = np.full(len(there), table.column("shard")[0].as_py(), np.int32)
+    return pa.table([pa.array(shard), pa.array(number[there].astype(np.int32)), pa.array(total.ravel()[there])], ["shard", "number", "a"])
+
+
 def _built(table: pa.Table) -> pa.Table:
     """The trie of a shard's phrases as one row."""
     table = table.sort_by("number")
@@ -313,7 +335,8 @@ def counted_phrases(rows: DataFrame, least: int = LEAST, trie: int = TRIE) -> Da
     schema = "k int, key long, n long"
     pairs = _frequent(rows.mapInArrow(_pairs, schema), least)
     pairs = pairs.selectExpr("cast(shiftright(key, 32) as int) as w1", "cast(key & 4294967295L as int) as w2", "0 as w3", "0 as w4")
-    pairs, built, shards = tries(pairs, trie)
+    # Written, as it is counted before it is dealt to tries.
+    pairs, built, shards = tries(written(pairs, "pairs"), trie)
     sizes = dict(pairs.groupBy("shard").count().collect())
     bases = np.cumsum([0, *(sizes.get(s, 0) for s in range(shards))])
     if bases[-1] >= 1 << 31:
@@ -331,12 +354,12 @@ def counted_phrases(rows: DataFrame, least: int = LEAST, trie: int = TRIE) -> Da
     ends = ends.join(named.selectExpr("pair as first", "w1", "w2"), "first")
     ends = ends.join(named.selectExpr("pair as last", "w1 as v1", "w2 as v2"), "last")
     words = ends.selectExpr("w1", "w2", "if(k = 3, v2, v1) as w3", "if(k = 3, 0, v2) as w4")
-    candidates, built, shards = tries(pairs.select(*_WORDS).unionByName(words), trie)
+    candidates, built, shards = tries(written(pairs.select(*_WORDS).unionByName(words), "candidates"), trie)
     total = None
     for shard in range(shards):
-        found = rows.mapInArrow(_accepted(_broadcast(built, shard), shard), "shard int, number int, n long")
+        found = rows.mapInArrow(_accepted(_broadcast(built, shard), shard), "shard int, part int, block int, counts array<long>")
         total = found if total is None else total.unionByName(found)
-    sums = total.groupBy("shard", "number").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    sums = total.groupBy("shard", "part").applyInArrow(_summed, "shard int, number int, a long").where(F.col("a") >= least)
     return candidates.join(sums, ["shard", "number"]).select(*_WORDS, "a")
 
 
