@@ -460,7 +460,13 @@ def distribution_quartiles(spark, sf):
 
 
 def distribution_density(spark, sf):
-    return _round(dist.violin_density(dist.distribution(stored_rows(spark, sf), CFG)))
+    """Every row in the sums, at any scale."""
+    return _round(dist.violin_density(dist.distribution(stored_rows(spark, sf), CFG), exact_up_to=None))
+
+
+def distribution_density_binned(spark, sf):
+    """Rows shared out to nodes first."""
+    return _round(dist.violin_density(dist.distribution(stored_rows(spark, sf), CFG), exact_up_to=0))
 
 
 QUERIES = {
@@ -518,5 +524,6 @@ QUERIES = {
         distribution_groups_exact,
         distribution_quartiles,
         distribution_density,
+        distribution_density_binned,
     )
 }
