@@ -9,7 +9,7 @@ from cohortscope.operators.bundles import build_bundles
 from cohortscope.operators.cohort import prepare_tasks
 from cohortscope.operators.evaluate import Evaluation, evaluate
 from cohortscope.operators.incremental import incremental
-from cohortscope.operators.scoring import score_people
+from cohortscope.operators.scoring import score_many
 from cohortscope.sources.reports import METRIC, report_table, union_reports, write_report
 from cohortscope.sources.weights import read_weights
 
@@ -58,7 +58,7 @@ def run(
     cfg = cfg or EvalConfig()
     wanted = requests.select("pgs").distinct()
     weights = read_weights(spark, weight_paths).join(wanted, "pgs", "left_semi")
-    scores = score_people(dosages, weights, **scoring)
+    scores = score_many(dosages, weights, **scoring)
     report = evaluate_requests(scores, demographics, requests, cfg, holdout, legacy)
     return write_report(report, report_path)
 

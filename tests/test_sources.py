@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortscope.config import EvalConfig
-from cohortscope.operators.scoring import score_people
+from cohortscope.operators.scoring import score_many, score_people
 from cohortscope.pipeline import evaluate_requests, final_reports, run
 from cohortscope.operators.cohort import build_cohort, prepare_tasks
 from cohortscope.operators.evaluate import evaluate
@@ -58,6 +58,24 @@ def test_headers(spark, weight_files):
     assert summary == {"PGS000001": ("2", 4), "PGS000002": ("10", 1)}
 
 
+def test_many_scores_are_those_of_each(spark):
+    """Repeated weights, missing weights and dosages, swapped alleles, other alleles at one place."""
+    import random
+
+    rng = random.Random(3)
+    alleles = [("A", "C"), ("C", "A"), ("G", "T"), ("A", "T")]
+    w = [(f"P{rng.randrange(37)}", str(rng.randrange(1, 4)), str(rng.randrange(12)), *rng.choice(alleles), rng.choice(["1.5", "-2", "0", None])) for _ in range(700)]
+    d = [(i, str(rng.randrange(1, 4)), rng.randrange(12), *rng.choice(alleles), rng.choice([0.0, 1.0, 2.0, 0.5, None])) for i in range(40) for _ in range(15)]
+    weights_ = spark.createDataFrame(w, "pgs string, hm_chr string, hm_pos string, effect_allele string, other_allele string, effect_weight string")
+    dosages = spark.createDataFrame(d, "IID long, chr string, pos long, alt string, ref string, dosage double")
+    frequencies = spark.createDataFrame([("1", p, "A", 0.25) for p in range(6)], "chr string, pos long, allele string, freq double")
+    plain = lambda df: {(r.pgs, r.IID): tuple(None if x is None else round(x, 9) for x in r[2:]) for r in df.collect()}
+    for options in ({}, {"broadcast_rows": 0, "salts": 3}, {"frequencies": frequencies, "average": True, "drop_ambiguous": True}):
+        want = plain(score_people(dosages, weights_, **options))
+        assert want and plain(score_many(dosages, weights_, slots=5, **options)) == want
+    assert score_many(dosages.limit(0), weights_).count() == 0 and score_many(dosages, weights_.limit(0)).count() == 0
+
+
 def test_header_lines_are_written_as_they_were(spark, tmp_path):
     head = ["###PGS CATALOG SCORING FILE - see https://example.org", "#format_version=2.0", "##GENOME BUILD", "##weight=a=b", "#", "# a remark\twith a tab"]
     columns = "chr_name\thm_pos\teffect_allele\tother_allele\teffect_weight"

@@ -78,6 +78,13 @@ select case when p_partkey % 2 = 0 then 'PGS900001' else 'PGS900002' end as pgs,
  {_ALLELES}, cast(p_size - 25 as varchar(20)) as effect_weight, p_partkey
 from {{part}}"""
 
+# Fifty scores; each has a third of the variants, some of their weights are 0.
+WEIGHTS_MANY = f"""
+select concat('PGS7', substr(cast(100000 + k as varchar(20)), 2, 5)) as pgs, chr_name, hm_chr, hm_pos, effect_allele, other_allele,
+ cast((p_partkey * (k + 1)) % 7 - 3 as varchar(20)) as effect_weight, p_partkey
+from ({WEIGHTS}) w, (select cast(t.k as bigint) as k from (values {', '.join(f'({k})' for k in range(50))}) t(k)) n
+where (p_partkey + k) % 3 = 0"""
+
 GENOTYPES = f"""
 select o.o_custkey as IID, cast(l.l_partkey % 22 + 1 as varchar(20)) as chr, l.l_partkey * 100 as pos,
  case when l.l_partkey % 11 = 0 then w.other_allele else w.effect_allele end as alt,

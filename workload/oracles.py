@@ -466,6 +466,11 @@ from (select distinct pgs from ({fx.duck(fx.WEIGHTS)})) f, {_HEADERS}""",
     "weights_allele_fallback": f"select {_NORMAL} from ({fx.duck(fx.WEIGHTS)})",
     "person_score": scoring(_total("d")),
     "person_score_salted": scoring(_total("d")),
+    "person_scores_many": scoring(_total("d")).replace(fx.duck(fx.WEIGHTS), fx.duck(fx.WEIGHTS_MANY)),
+    "person_scores_many_imputed": scoring(
+        _total("coalesce(d, expected)", "case when count(coalesce(d, expected)) > 0 then sum(coalesce(d, expected) * weight) / (2 * count(coalesce(d, expected))) end"),
+        "concat(w.effect_allele, w.other_allele) not in ('AT', 'TA', 'CG', 'GC')",
+    ).replace(fx.duck(fx.WEIGHTS), fx.duck(fx.WEIGHTS_MANY)),
     "person_score_no_ambiguous": scoring(
         _total("d"), "concat(w.effect_allele, w.other_allele) not in ('AT', 'TA', 'CG', 'GC')"
     ),

@@ -13,7 +13,7 @@ from cohortscope.operators.design import make_design
 from cohortscope.operators.bundles import build_bundles, clustered
 from cohortscope.operators.evaluate import fit_cells, linear_report, logistic_report
 from cohortscope.operators.incremental import incremental
-from cohortscope.operators.scoring import score_people
+from cohortscope.operators.scoring import score_many, score_people
 from cohortscope.pipeline import evaluate_requests, run
 from cohortscope.plans.scratch import scratch_path
 from cohortscope.sources import reports, tables, weights
@@ -136,6 +136,23 @@ def person_score_imputed(spark, sf):
     return _scoring(spark, sf, frequencies=frequencies)
 
 
+def _many(spark, sf, **options):
+    dosages = fixtures.run(spark, sf, fixtures.GENOTYPES)
+    w = weights.normalize_weights(fixtures.run(spark, sf, fixtures.WEIGHTS_MANY))
+    return _round(score_many(dosages, w, **options))
+
+
+def person_scores_many(spark, sf):
+    """Fifty scores of everybody; dosages are shuffled once."""
+    return _many(spark, sf, broadcast_rows=0)
+
+
+def person_scores_many_imputed(spark, sf):
+    dosages = fixtures.run(spark, sf, fixtures.GENOTYPES)
+    frequencies = dosages.groupBy("chr", "pos", F.col("alt").alias("allele")).agg((F.avg("dosage") / 2).alias("freq"))
+    return _many(spark, sf, frequencies=frequencies, drop_ambiguous=True, average=True)
+
+
 # --- cohort and cells -------------------------------------------------------------------------
 
 
@@ -484,6 +501,8 @@ QUERIES = {
         person_score_no_ambiguous,
         person_score_average,
         person_score_imputed,
+        person_scores_many,
+        person_scores_many_imputed,
         cohort_join,
         cohort_from_files,
         cohort_gaps,
