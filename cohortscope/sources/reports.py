@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,13 +48,75 @@ def union_reports(linear: DataFrame, logistic: DataFrame) -> DataFrame:
     return linear.unionByName(logistic, allowMissingColumns=True)
 
 
+# Versions of a report that stay readable besides the current one.
+KEPT_VERSIONS = 1
+_VERSION = "number long, folder string, format string, at timestamp"
+
+
+def _publish(spark: SparkSession, path: str, kind: str, write: Callable[[str], None]) -> None:
+    """Write a new version of a report, then name it as the current one.
+
+    The data of each version stand in a folder of their own. The last step, a one-row append to the list of versions, makes
+    the new one count; whatever fails before it leaves the report as it was.
+    """
+    known = _versions(spark, path)
+    last = known.agg(F.max("number")).first()[0] if known is not None else None
+    folder = uuid.uuid4().hex
+    write(f"{path}/data/{folder}")
+    number = (last or 0) + 1
+    row = spark.range(1).select(
+        F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"), F.lit(kind).alias("format"), F.current_timestamp().alias("at")
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.schema(_VERSION).parquet(f"{path}/versions") if _exists(spark, f"{path}/versions") else None
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """Where the current version of a report stands."""
+    known = _versions(spark, path)
+    row = known.orderBy(F.desc("number"), F.desc("at"), "folder").first() if known is not None else None
+    if row is None:
+        raise FileNotFoundError(f"no report in {path}")
+    return f"{path}/data/{row['folder']}"
+
+
+def forget_versions(spark: SparkSession, path: str, kept: int = KEPT_VERSIONS) -> None:
+    """Free the data of all versions but the current one and ``kept`` before it, which readers may still hold."""
+    known = _versions(spark, path)
+    if known is not None:
+        for row in known.orderBy(F.desc("number"), F.desc("at"), "folder").collect()[kept + 1 :]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/{row['folder']}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_report(report: DataFrame, path: str) -> DataFrame:
     """Parquet, one folder per outcome, method and request; returns what was written, read back.
 
-    It is read with the report's own schema and column order, so a report without rows comes back too.
+    A report that is there stays readable until the new one is complete. It is read with the report's own schema and column
+    order, so a report without rows comes back too.
     """
-    report.write.mode("overwrite").partitionBy("outcome", "method", "task_id").parquet(path)
-    return report.sparkSession.read.schema(report.schema).parquet(path).select(*report.columns)
+    spark = report.sparkSession
+    _publish(spark, path, "parquet", lambda folder: report.write.partitionBy("outcome", "method", "task_id").parquet(folder))
+    return spark.read.schema(report.schema).parquet(current_folder(spark, path)).select(*report.columns)
+
+
+def publish_text(report: DataFrame, path: str, null_value: str = "") -> None:
+    """As ``export_report``, as a new version of the report in ``path``."""
+    _publish(report.sparkSession, path, "text", lambda folder: export_report(report, folder, null_value))
+
+
+def rewrite_with_gain(spark: SparkSession, path: str, method: str, null_value: str = "") -> None:
+    """The current version of a text report of one method anew, with the gain of the score."""
+    folder = current_folder(spark, path)
+    _publish(spark, path, "text", lambda out: add_gain(spark, folder, out, method, null_value))
 
 
 def export_report(report: DataFrame, path: str, null_value: str = "") -> None:

@@ -58,6 +58,40 @@ def test_headers(spark, weight_files):
     assert summary == {"PGS000001": ("2", 4), "PGS000002": ("10", 1)}
 
 
+def test_a_broken_rewrite_leaves_the_report_readable(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "report")
+    table = lambda n: spark.createDataFrame([("y", "linear", f"t{n}", float(n))], "outcome string, method string, task_id string, RSQ double")
+    read = lambda: [tuple(r) for r in spark.read.parquet(reports.current_folder(spark, path)).select("task_id", "RSQ").collect()]
+    with pytest.raises(FileNotFoundError):
+        reports.current_folder(spark, path)
+    assert reports.write_report(table(1), path).count() == 1 and read() == [("t1", 1.0)]
+    # The run stops after the data are written, before the version is named.
+    monkeypatch.setattr(reports, "_versions", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        reports.write_report(table(2), path)
+    monkeypatch.undo()
+    broken = table(2).withColumn("RSQ", F.raise_error(F.lit("stopped")).cast("double"))
+    with pytest.raises(Exception, match="stopped"):
+        reports.write_report(broken, path)
+    appended = spark.range(0).write.__class__.parquet
+
+    def stop(self, target, *rest, **options):
+        if target.endswith("/versions"):
+            raise RuntimeError("stopped between the steps")
+        return appended(self, target, *rest, **options)
+
+    monkeypatch.setattr(spark.range(0).write.__class__, "parquet", stop)
+    with pytest.raises(RuntimeError, match="between"):
+        reports.write_report(table(3), path)
+    monkeypatch.undo()
+    assert read() == [("t1", 1.0)]
+    reports.write_report(table(4), path)
+    reports.write_report(table(5), path)
+    assert read() == [("t5", 5.0)]
+    reports.forget_versions(spark, path, kept=0)
+    assert read() == [("t5", 5.0)]
+
+
 def test_many_scores_are_those_of_each(spark):
     """Repeated weights, missing weights and dosages, swapped alleles, other alleles at one place."""
     import random

@@ -337,12 +337,13 @@ def incremental_stored_report(spark, sf):
 
 
 def report_with_gain(spark, sf):
-    """A stored report rewritten with its further column, and read again."""
-    path, out = scratch_path(spark, "report"), scratch_path(spark, "report-with-gain")
+    """A stored report rewritten in its place with its further column, and read again."""
+    path = scratch_path(spark, "report")
     about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
-    reports.export_report(reports.report_table(_linear(spark, sf, AGE), about, "linear"), path, "None")
-    reports.add_gain(spark, path, out, "linear", "None")
-    return _round(reports.read_report(spark, out, "linear").select(*KEY, "RSQ", "INCREMENTAL_RSQ_PRS"))
+    reports.publish_text(reports.report_table(_linear(spark, sf, AGE), about, "linear"), path, "None")
+    reports.rewrite_with_gain(spark, path, "linear", "None")
+    stored = reports.read_report(spark, reports.current_folder(spark, path), "linear")
+    return _round(stored.select(*KEY, "RSQ", "INCREMENTAL_RSQ_PRS"))
 
 
 def report_parquet(spark, sf):
