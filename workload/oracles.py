@@ -186,6 +186,30 @@ def linear_full() -> str:
 select {keys}, {_LINEAR_COLUMNS}, {_SHOWN_SCORES.format('gain')} from gain join summary on {_SAME.format('gain')}"""
 
 
+def linear_gain(columns: str) -> str:
+    """Some columns of the linear report with all covariates."""
+    return f"with recursive {fan(LIN, columns=DESIGN_COLUMNS)}, {formulas()}, {linear_ctes()} select {KEY}, {columns} from gain"
+
+
+_GAIN = r("gain.gain", "INCREMENTAL_RSQ_PRS")
+
+
+def linear_holdout_age() -> str:
+    """Fitted on score and age of four fifths, measured on the others; every formula has its own complete cases."""
+    same = lambda a, b: " and ".join(f"{a}.{c} is not distinct from {b}.{c}" for c in KEY.split(", "))
+    key = ", ".join("l." + c for c in KEY.split(", "))
+    return f"""with {fan(LIN, columns=', age')}, {formulas()},
+b as materialized (select *, case when COVARIATES <> 'covariates_only' then SCORE else 0 end as x1, case when COVARIATES <> 'prs_only' then age else 0 end as x2,
+ cast('0x' || substr(md5(concat('42:', IID)), 1, 8) as bigint) % 1000 < 200 as held from long_),
+t as (select {KEY}, count(*) as train, avg(x1) as m1, avg(x2) as m2, avg(y) as my, var_pop(x1) as v1, var_pop(x2) as v2, covar_pop(x1, x2) as c,
+ covar_pop(x1, y) as c1, covar_pop(x2, y) as c2 from b where not held group by {KEY}),
+fit as (select *, case when COVARIATES = 'prs_only' then c1 / v1 when COVARIATES = 'covariates_only' then 0 else (c1 * v2 - c2 * c) / (v1 * v2 - c * c) end as b1,
+ case when COVARIATES = 'prs_only' then 0 when COVARIATES = 'covariates_only' then c2 / v2 else (c2 * v1 - c1 * c) / (v1 * v2 - c * c) end as b2 from t),
+e as (select {key}, any_value(train) as train, count(*) as test, var_pop(y) * count(*) as sst,
+ sum(pow(y - my - b1 * (x1 - m1) - b2 * (x2 - m2), 2)) as sse from b l join fit f on {same('l', 'f')} where held group by {key})
+select {KEY}, {r('1 - sse / sst', 'RSQ')}, {r('sse / test', 'MSE')}, train as TRAINING_SIZE, test as TESTING_SIZE from e where train + test > 99 and test > 20"""
+
+
 def logistic_ctes(steps: int = 12) -> str:
     """CTE lgain: penalised logistic models of all covariates, by a fixed chain of Newton steps.
 
@@ -487,10 +511,8 @@ from (select distinct pgs from ({fx.duck(fx.WEIGHTS)})) f, {_HEADERS}""",
     "cell_gates_gaps": with_gaps(_sizes(TASKS, "n", _GATE)),
     "prs_summary_gaps": with_gaps(PRS_SUMMARY),
     "linear_full_gaps": with_gaps(linear_full()),
-    "report_with_gain": f"""with {fan(LIN, columns=', age')}, {_AGE_RSQ}, g as (select * from m where n > 20)
-select {KEY}, {r('q', 'RSQ')}, round(max(case when COVARIATES = 'prs_and_covariates' then q end) over w - max(case when COVARIATES = 'covariates_only' then q end) over w, 6) + 0.0 as INCREMENTAL_RSQ_PRS
-from g window w as (partition by {CELL})""",
-    "report_parquet": LINEAR_AGE,
+    "report_with_gain": linear_gain(f"{r('q', 'RSQ')}, {_GAIN}"),
+    "report_parquet": linear_gain(f"{r('q', 'RSQ')}, {r('vy * (1 - q)', 'MSE')}, n as N"),
     "strata_groups": f"with {rows()} "
     + " union ".join(
         f"""select '{s}' as stratum, stratum_{s} as "group" from rows_ where stratum_{s} is not null""" for s in STRATA
@@ -514,9 +536,10 @@ from g window w as (partition by {CELL})""",
     "linear_two_covariates": LINEAR_AGE,
     "linear_full": linear_full(),
     "incremental_rsq": INCREMENTAL_RSQ,
-    "incremental_stored_report": INCREMENTAL_RSQ,
+    "incremental_stored_report": linear_gain(_GAIN),
     "all_tasks_age": all_tasks_age(),
     "linear_holdout": LINEAR_HOLDOUT,
+    "linear_holdout_age": with_gaps(linear_holdout_age()).replace(" and pca_3 is not null", "").replace(" and sex is not null", ""),
     "logistic_prs_only": LOGISTIC_PRS_ONLY,
     "logistic_age": LOGISTIC_AGE,
     "logistic_full": logistic_full(),

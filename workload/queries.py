@@ -330,8 +330,8 @@ def incremental_rsq(spark, sf):
 def incremental_stored_report(spark, sf):
     """The report written as text, read back, and the gain taken from the stored rows."""
     path = scratch_path(spark, "report")
-    about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
-    reports.export_report(reports.report_table(_linear(spark, sf, AGE), about, "linear"), path, "None")
+    about = prepare_tasks(fixtures.requests(spark, LIN), CFG)
+    reports.export_report(reports.report_table(_linear(spark, sf, CFG), about, "linear"), path, "None")
     report = incremental(reports.read_report(spark, path, "linear"), "RSQ")
     return _round(report.select(*KEY, "INCREMENTAL_RSQ_PRS"))
 
@@ -339,8 +339,8 @@ def incremental_stored_report(spark, sf):
 def report_with_gain(spark, sf):
     """A stored report rewritten in its place with its further column, and read again."""
     path = scratch_path(spark, "report")
-    about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
-    reports.publish_text(reports.report_table(_linear(spark, sf, AGE), about, "linear"), path, "None")
+    about = prepare_tasks(fixtures.requests(spark, LIN), CFG)
+    reports.publish_text(reports.report_table(_linear(spark, sf, CFG), about, "linear"), path, "None")
     reports.rewrite_with_gain(spark, path, "linear", "None")
     stored = reports.read_report(spark, reports.current_folder(spark, path), "linear")
     return _round(stored.select(*KEY, "RSQ", "INCREMENTAL_RSQ_PRS"))
@@ -348,8 +348,8 @@ def report_with_gain(spark, sf):
 
 def report_parquet(spark, sf):
     """The Parquet report, one folder per outcome, method and request, as it is read back."""
-    about = prepare_tasks(fixtures.requests(spark, LIN), AGE)
-    report = reports.report_table(_linear(spark, sf, AGE), about, "linear")
+    about = prepare_tasks(fixtures.requests(spark, LIN), CFG)
+    report = reports.report_table(_linear(spark, sf, CFG), about, "linear")
     back = reports.write_report(report, scratch_path(spark, "parquet-report"))
     return _round(back.select(*KEY, "RSQ", "MSE", "N"))
 
@@ -374,6 +374,13 @@ def linear_holdout(spark, sf):
     return _round(report.select(*KEY, "RSQ", "MSE", "TRAINING_SIZE", "TESTING_SIZE"))
 
 
+def linear_holdout_age(spark, sf):
+    """All three formulas, fitted on four fifths of people with missing values in score and age."""
+    cfg = AGE.with_(linear_min_n=99, linear_min_test=20)
+    report = linear_report(fit_cells(attach_tasks(fixtures.cohort_gaps(spark, sf), prepare_tasks(fixtures.requests(spark, LIN), cfg), cfg, OUTCOMES), cfg, True), cfg, True)
+    return _round(report.select(*KEY, "RSQ", "MSE", "TRAINING_SIZE", "TESTING_SIZE"))
+
+
 def _logistic(spark, sf, cfg, wanted=LOG):
     return logistic_report(fit_cells(rows(spark, sf, cfg, wanted), cfg), cfg)
 
@@ -530,6 +537,7 @@ QUERIES = {
         report_with_gain,
         report_parquet,
         linear_holdout,
+        linear_holdout_age,
         logistic_prs_only,
         logistic_age,
         incremental_auc,
