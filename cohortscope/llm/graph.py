@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.plans.scratch import written
+from cohortscope.plans.scratch import release, written
 
 # A bucket with more fingerprints than this is compared tile by tile in different tasks.
 TILE = 8192
+# Rows of a round of components in one file, about.
+ROWS_PER_FILE = 250_000
 # Buckets up to SMALL give all their pairs; those up to MIDDLE are first searched for any pair.
 SMALL = 12
 MIDDLE = 256
@@ -43,9 +45,12 @@ def components(links: DataFrame) -> DataFrame:
             moved = moved.union(least.selectExpr("n as hi", "least as lo"))
         return moved.where("hi <> lo").distinct()
 
-    state = None
+    state, count = None, pairs.count()
     while True:
-        pairs = written(star(star(pairs, True), False), "stars")
+        # A round gives at most about as many rows as it reads; few rows are written to few files.
+        files = max(1, -(-count // ROWS_PER_FILE))
+        before, pairs = pairs, written(star(star(pairs, True), False).coalesce(files), "stars")
+        release(before)
         now = pairs.agg(
             F.count(F.lit(1)).alias("n"),
             F.bit_xor(F.xxhash64("hi", "lo")).alias("x"),
@@ -53,7 +58,7 @@ def components(links: DataFrame) -> DataFrame:
         ).first()
         if now == state or not now["n"]:
             break
-        state = now
+        state, count = now, now["n"]
     roots = pairs.select("lo").distinct().selectExpr("lo as node", "lo as root")
     return pairs.selectExpr("hi as node", "lo as root").union(roots)
 
@@ -153,8 +158,9 @@ def near_links(rows: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     gives at most about 2 n of them (a small one, up to 12, all its pairs). Buckets with more than
     ``tile`` own fingerprints are compared in tiles, each probe once per tile, by different tasks.
     """
+    # At most one key for every ``tile`` rows.
     hot = written(
-        rows.where("own").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile), "hot"
+        rows.where("own").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).coalesce(1), "hot"
     )
     if hot.isEmpty():
         dealt = rows.selectExpr("key", "0 as tile", "fp", "own")
