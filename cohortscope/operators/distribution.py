@@ -61,14 +61,16 @@ def plotted_groups(rows: DataFrame, cfg: EvalConfig, match: str = "substring") -
     kept = sizes.where(size > cfg.min_cases).select(
         "task_id", "stratum", F.col("group").alias("kept_group")
     )
-    hit = (
-        F.col("group") == F.col("kept_group")
-        if match == "exact"
-        else F.col("group").contains(F.col("kept_group"))
+    if match == "exact":
+        return sizes.join(kept.withColumnRenamed("kept_group", "group"), GROUP, "left_semi")
+    # Parts of a name that are as long as some kept name are looked up, so names are not compared with each other.
+    names = kept.groupBy("task_id", "stratum").agg(F.collect_set(F.length("kept_group")).alias("sizes"))
+    every = "transform(sequence(1, length(group) - size + 1), i -> substring(group, i, size))"
+    parts = sizes.join(names, ["task_id", "stratum"]).select(
+        *GROUP, F.explode(F.expr(f"flatten(transform(filter(sizes, x -> x <= length(group)), size -> {every}))")).alias("kept_group")
     )
-    s, k = sizes.alias("s"), kept.alias("k")
-    same = (F.col("s.task_id") == F.col("k.task_id")) & (F.col("s.stratum") == F.col("k.stratum"))
-    return s.join(k, same & hit, "left_semi")
+    drawn = parts.join(kept, ["task_id", "stratum", "kept_group"], "left_semi").select(*GROUP).distinct()
+    return sizes.join(drawn, GROUP, "left_semi")
 
 
 def _small(groups: DataFrame) -> DataFrame:
