@@ -275,7 +275,7 @@ def fit_logistic(
     # Each pass of a round waits for its slowest task and for the steps; passes of other rounds fill the gaps.
     if rounds:
         with ThreadPoolExecutor(min(cfg.rounds_in_flight, len(rounds))) as threads:
-            for done in [threads.submit(inheritable_thread_target(fit_round), number) for number in range(len(rounds))]:
+            for done in [threads.submit(inheritable_thread_target(spark)(fit_round), number) for number in range(len(rounds))]:
                 done.result()
     return spark.read.schema(COUNT_FIELDS).option("recursiveFileLookup", "true").parquet(path)
 
