@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -149,7 +150,30 @@ def test_collocations_of_documents(spark, options):
     assert check_collocations(spark.read.parquet(f"{SF}/documents.parquet"), 6, **options)
 
 
-def test_collocations_of_awkward_rows(spark, monkeypatch):
+def test_counts_that_leave_a_task_in_parts_add_up(monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 40))) for _ in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"] * 25), pa.array(texts)], ["lang", "text"])
+    ids = pa.RecordBatch.from_arrays([pa.array([[*map(ord, t), 0] for t in texts], pa.list_(pa.int32()))], ["ids"])
+
+    def sums():
+        words, pairs = collections.Counter(), collections.Counter()
+        parts = [list(collocations._count_words(iter([batch]))), list(collocations._pairs(iter([ids])))]
+        for out, counter, n in zip(parts, (words, pairs), ("n", "n")):
+            for b in out:
+                for row in b.to_pylist():
+                    counter[tuple(v for k, v in row.items() if k != n)] += row[n]
+        return words, pairs, len(parts[0]) + len(parts[1])
+
+    whole = sums()
+    for name, value in (("BYTES", 100), ("NUMBERS", 30), ("HELD", 10)):
+        monkeypatch.setattr(collocations, name, value)
+    pieces = sums()
+    assert pieces[:2] == whole[:2] and pieces[2] > whole[2]
+    assert whole[0] == collections.Counter((lang, w) for lang, t in zip(["en", "de"] * 25, texts) for w in t.split())
+
+
+def test_collocations_of_awkward_rows(spark):
     rng = random.Random(3)
     words = ["a", "A", "b", "cé", "日本", "d e", "x" * 300, "b", "a"]
     rows = [(i, "".join(rng.choice(words) + rng.choice([" ", " ", " ", "\t", "  ", ".", "\n", "; ", ""]) for _ in range(80)), rng.choice(["en", None, "de", ""]), None, 0) for i in range(60)]
@@ -157,9 +181,6 @@ def test_collocations_of_awkward_rows(spark, monkeypatch):
     rows += [(5, "same words here " * 50, "hot", None, 0)] * 5
     assert check_collocations(edge.table(spark, rows), 5)
     assert check_collocations(edge.table(spark), 2)
-    monkeypatch.setattr(collocations, "BYTES", 100)
-    monkeypatch.setattr(collocations, "NUMBERS", 30)
-    monkeypatch.setattr(collocations, "HELD", 20)
     assert check_collocations(edge.table(spark, rows), 5, trie=7)
     assert collocations.collocations(edge.empty(spark)).count() == 0
 
