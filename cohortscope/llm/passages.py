@@ -210,6 +210,9 @@ class FMIndex:
     """
 
     def __init__(self, symbols: np.ndarray, depth: int):
+        top = int(symbols.max(initial=0)) + 1
+        # A symbol of its own at the end, so that no run goes on from there to the beginning.
+        symbols = np.append(symbols, top)
         size = len(symbols)
         ranks, reach = symbols.astype(np.int64), 1
         while reach < depth:
@@ -220,11 +223,12 @@ class FMIndex:
             _, ranks = np.unique(ranks * (int(ranks.max(initial=0)) + 1) + later, return_inverse=True)
             ranks = ranks + 1
             reach += step
-        self.order = np.argsort(ranks, kind="stable")
-        top = int(symbols.max(initial=0))
+        order = np.argsort(ranks, kind="stable")
+        # The place past the end is the last one.
+        self.order = order[:-1]
         self.first = np.zeros(top + 2, np.int64)
         np.cumsum(np.bincount(symbols, minlength=top + 1), out=self.first[1:])
-        row = symbols[self.order - 1]
+        row = symbols[order - 1]
         self.levels = []
         for level in range(max(1, top.bit_length()) - 1, -1, -1):
             bit = (row >> level) & 1
