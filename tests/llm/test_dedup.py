@@ -264,6 +264,53 @@ def test_fingerprints_of_a_bucket(prints, radius):
         assert edge.groups(len(table), enumerate(found)) == every
 
 
+def changed_prints(rng, count, most):
+    """Fingerprints, and for each some that differ from it in up to ``most`` bits, of both halves or one."""
+    out = []
+    for _ in range(count):
+        base = rng.getrandbits(128)
+        out.append(base)
+        for n in range(3):
+            bits = rng.sample(range(64 * (n % 2), 128), rng.randrange(most - 4, most + 1))
+            out.append(base ^ sum(1 << b for b in bits))
+    return np.array([[p & (1 << 64) - 1, p >> 64] for p in out], np.uint64)
+
+
+@pytest.mark.parametrize("bucket", [4, 1 << 30])
+def test_no_near_fingerprint_is_left_out(spark, bucket):
+    table = changed_prints(random.Random(4), 150, lines.RADIUS)
+    near = [(i, j) for i in range(len(table)) for j in range(i) if int(lines._apart(table[i], table[j])) <= lines.RADIUS]
+    every = edge.groups(len(table), near)
+    all_ = np.arange(len(table))
+    assert edge.groups(len(table), enumerate(lines.join_near(all_.copy(), table, all_, all_, lines.RADIUS, bucket).tolist())) == every
+    # Bands of length as far apart as may be, in one task and in many.
+    rows = [(int(a), int(b), n % 3, n % 3) for n, (a, b) in enumerate(table.view(np.int64))]
+    prints = spark.createDataFrame(rows, "f1 long, f2 long, low int, high int")
+    names = {r.node: n for n, r in enumerate(prints.selectExpr("xxhash64(f1, f2) as node").collect())}
+    for tile in (50, 1 << 20):
+        links = lines.near_links(prints, lines.RADIUS, bucket, tile).collect()
+        assert edge.groups(len(table), [(names[r.a], names[r.b]) for r in links]) == every
+
+
+def test_long_runs_of_blocks(monkeypatch):
+    monkeypatch.setattr(lines, "MANY", 50)
+    table = changed_prints(random.Random(6), 40, 14)
+    near = [(i, j) for i in range(len(table)) for j in range(i) if int(lines._apart(table[i], table[j])) <= 14]
+    all_ = np.arange(len(table))
+    for left, right in ((all_, all_), (all_[::2], all_[1::2])):
+        found = lines.join_near(all_.copy(), table, left, right, 14)
+        asked = near if left is right else [(i, j) for i, j in near if (i + j) % 2]
+        assert edge.groups(len(table), enumerate(found.tolist())) == edge.groups(len(table), asked)
+
+
+def test_bands_of_similar_lines(spark):
+    from pyspark.sql import functions as F
+
+    sizes = spark.range(1, 400).withColumn("at", lines.band(F.col("id"), 0.8)).collect()
+    at = {r.id: r["at"] for r in sizes}
+    assert all(abs(at[m] - at[n]) <= lines.BANDS for n in at for m in range(n - int(n * 0.2 + 1e-9), n) if m)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("abc ", max_size=30), st.text("abc ", max_size=30), st.integers(0, 12))
 def test_edit_distance(a, b, most):
