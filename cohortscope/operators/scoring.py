@@ -9,6 +9,8 @@ from cohortscope.plans.scratch import written
 
 BROADCAST_ROWS = 500_000
 SALTS = 16
+# Share of all dosages above which those of a variant are spread over salts.
+HOT = 0.001
 # Scores of a block of weights, each with four sums of a person's row.
 SLOTS = 16
 
@@ -58,23 +60,39 @@ def with_frequency(weights: DataFrame, frequencies: DataFrame | None) -> DataFra
     )
 
 
-def _effect_dosages(dosages: DataFrame, weights: DataFrame, broadcast_rows: int, salts: int) -> DataFrame:
+def _salted(dosages: DataFrame, salts: int, hot: float) -> tuple[DataFrame, DataFrame | None]:
+    """Dosages with a ``salt``, and how many the variants that hold more than a share ``hot`` of the rows have.
+
+    Those are counted; they are fewer than 1 / hot. The dosages of others have salt 0. If ``hot`` is 0, all variants
+    are spread.
+    """
+    if hot <= 0:
+        return dosages.withColumn("salt", F.pmod(F.xxhash64("IID", "dosage"), F.lit(salts)).cast("int")), None
+    counts = written(dosages.groupBy("chr", "pos").agg(F.count(F.lit(1)).alias("n")), "dosage-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    many = counts.where(F.col("n") > hot * total).select("chr", "pos", F.lit(salts).alias("salts"))
+    salt = F.pmod(F.xxhash64("IID", "dosage"), F.coalesce("salts", F.lit(1))).cast("int")
+    return dosages.join(F.broadcast(many), ["chr", "pos"], "left").withColumn("salt", salt).drop("salts"), many
+
+
+def _effect_dosages(
+    dosages: DataFrame, weights: DataFrame, broadcast_rows: int, salts: int, hot: float
+) -> DataFrame:
     """Dosages met with the weights of their variant, with ``effect_dosage``, that of the weight's effect allele.
 
-    The weights are broadcast only if they are counted to be few. Otherwise the join is shuffled with every
-    variant's dosages spread over ``salts`` partitions, so a variant that holds a large share of the rows does
-    not stall one task; the weights, which are the small side, are repeated for each salt.
+    The weights are broadcast only if they are counted to be few. Otherwise the join is shuffled, with the dosages
+    of a variant that holds a large share of the rows spread over ``salts`` partitions, so that it does not
+    stall one task; only the weights of such variants are repeated for each salt.
     """
     d = dosages.select("IID", "chr", F.col("pos").cast("long").alias("pos"), "alt", "ref", "dosage")
     few = weights.limit(broadcast_rows + 1).count() <= broadcast_rows
     if few:
         joined = d.join(F.broadcast(weights), ["chr", "pos"])
     else:
-        salt = F.pmod(F.xxhash64("IID", "dosage"), F.lit(salts)).cast("int")
-        repeated = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = d.withColumn("salt", salt).join(
-            repeated.hint("shuffle_merge"), ["chr", "pos", "salt"]
-        )
+        salted, many = _salted(d, salts, hot)
+        spread = weights.withColumn("salts", F.lit(salts)) if many is None else weights.join(F.broadcast(many), ["chr", "pos"], "left")
+        repeated = spread.withColumn("salt", F.explode(F.expr("sequence(0, coalesce(salts, 1) - 1)")))
+        joined = salted.join(repeated.drop("salts").hint("shuffle_merge"), ["chr", "pos", "salt"])
     same = (F.col("alt") == F.col("effect_allele")) & (F.col("ref") == F.col("other_allele"))
     swapped = (F.col("ref") == F.col("effect_allele")) & (F.col("alt") == F.col("other_allele"))
     return joined.where(same | swapped).withColumn(
@@ -101,6 +119,7 @@ def score_people(
     average: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    hot: float = HOT,
 ) -> DataFrame:
     """Sum of dosage times weight per score and person.
 
@@ -109,7 +128,7 @@ def score_people(
     ``score_many``.
     """
     w = _wanted(weights, drop_ambiguous, frequencies)
-    matched = _effect_dosages(dosages, w, broadcast_rows, salts)
+    matched = _effect_dosages(dosages, w, broadcast_rows, salts, hot)
     total = F.sum(F.col("effect_dosage") * F.col("effect_weight"))
     scores = matched.groupBy("pgs", "IID").agg(
         (2 * F.count("effect_dosage")).alias("ALLELE_CT"),
@@ -150,6 +169,7 @@ def score_many(
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     slots: int = SLOTS,
+    hot: float = HOT,
 ) -> DataFrame:
     """As ``score_people``, for any number of scores: sparse blocks of weights, multiplied with each dosage.
 
@@ -157,9 +177,11 @@ def score_many(
     at all. From there it goes to the blocks of ``slots`` scores that have a weight at the variant, and adds to
     the sums of a block's scores in one row per person and block, on the map side first.
     """
-    w = written(_wanted(weights, drop_ambiguous, frequencies), "weights")
+    w = written(_wanted(weights, drop_ambiguous, None), "weights")
     by_variant, places = weight_blocks(w, slots)
-    matched = _effect_dosages(dosages, written(by_variant, "weight-blocks"), broadcast_rows, salts)
+    # Frequencies meet a variant once, not once for each score.
+    by_variant = with_frequency(by_variant.drop("expected"), frequencies)
+    matched = _effect_dosages(dosages, written(by_variant, "weight-blocks"), broadcast_rows, salts, hot)
     each = matched.select("IID", F.col("effect_dosage").alias("d"), F.inline("blocks"))
     sums = []
     for k in range(slots):

@@ -202,3 +202,19 @@ def test_plot_rules(spark):
     binary = cohort(spark, {"male": spread(60, 21), "x": spread(60, 20)}, SMALL, "logistic")
     plot = distribution(binary, SMALL)
     assert {(r.group, r.hue) for r in plot.select("group", "hue").distinct().collect()} == {("male", "0"), ("male", "1")}
+
+
+def test_only_variants_with_many_dosages_are_spread(spark):
+    from cohortscope.operators import scoring
+
+    data = [(i, "1", 100, "A", "C", float(i % 3)) for i in range(300)] + [(i, "1", 200 + i, "A", "C", 1.0) for i in range(300)]
+    dosages = spark.createDataFrame(data, "IID long, chr string, pos long, alt string, ref string, dosage double")
+    salted, many = scoring._salted(dosages, 4, 0.1)
+    assert [tuple(r) for r in many.collect()] == [("1", 100, 4)]
+    assert {(r.pos == 100, r.salt) for r in salted.collect()} == {(False, 0), *((True, k) for k in range(4))}
+    listed = [("P", "1", str(p), "A", "C", "2") for p in range(100, 500)] * 2
+    w = spark.createDataFrame(listed, "pgs string, hm_chr string, hm_pos string, effect_allele string, other_allele string, effect_weight string")
+    want = {tuple(r) for r in scoring.score_people(dosages, w).collect()}
+    for hot in (0.0, 0.1, 1.0):
+        for score in (scoring.score_people, scoring.score_many):
+            assert {tuple(r) for r in score(dosages, w, broadcast_rows=0, salts=4, hot=hot).collect()} == want

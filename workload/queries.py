@@ -117,7 +117,7 @@ def person_score(spark, sf):
 
 
 def person_score_salted(spark, sf):
-    return _scoring(spark, sf, broadcast_rows=0)
+    return _scoring(spark, sf, broadcast_rows=0, hot=0.0)
 
 
 def person_score_no_ambiguous(spark, sf):
