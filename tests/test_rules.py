@@ -218,3 +218,23 @@ def test_only_variants_with_many_dosages_are_spread(spark):
     for hot in (0.0, 0.1, 1.0):
         for score in (scoring.score_people, scoring.score_many):
             assert {tuple(r) for r in score(dosages, w, broadcast_rows=0, salts=4, hot=hot).collect()} == want
+
+
+def test_scores_of_several_files_are_worked_out_once(spark, monkeypatch):
+    from workload import fixtures, queries
+
+    counted, scores = spark.sparkContext.accumulator(0), fixtures.scores
+
+    def counting(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    def slow(spark, sf):
+        found = scores(spark, sf)
+        return found.mapInArrow(counting, found.schema)
+
+    monkeypatch.setattr(fixtures, "scores", slow)
+    people = scores(spark, "/root/testdata/sf0.001").count()
+    queries.cohort_from_files(spark, "/root/testdata/sf0.001")
+    assert counted.value == people

@@ -15,7 +15,7 @@ from cohortscope.operators.evaluate import fit_cells, linear_report, logistic_re
 from cohortscope.operators.incremental import incremental
 from cohortscope.operators.scoring import score_many, score_people
 from cohortscope.pipeline import evaluate_requests, run
-from cohortscope.plans.scratch import scratch_path
+from cohortscope.plans.scratch import scratch_path, written
 from cohortscope.sources import reports, tables, weights
 from workload import fixtures, raw_files
 
@@ -168,7 +168,8 @@ def cohort_from_files(spark, sf):
     text = {"sep": "\t", "header": True, "nullValue": "NA"}
     tasks = prepare_tasks(fixtures.requests(spark), CFG)
     folder = scratch_path(spark, "scores")
-    scores = fixtures.scores(spark, sf).drop("pgs").withColumn("FID", F.lit(0))
+    # Worked out once for all files.
+    scores = written(fixtures.scores(spark, sf).drop("pgs").withColumn("FID", F.lit(0)), "score-rows")
     paths = [f"{folder}/{'_'.join(request)}_prs.sscore" for request in fixtures.REQUESTS]
     # Each file has scores of its own, so that one read for the wrong request shows.
     for i, path in enumerate(paths):
