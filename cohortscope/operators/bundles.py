@@ -103,7 +103,8 @@ def build_bundles(
     check_columns(scores, demographics, cfg, outcomes)
     key = "task_id" if "task_id" in scores.columns else "pgs"
     used = scores.where(F.col(PERSON).isNotNull()).select(key, PERSON, missing_as_null(SCORE).alias(SCORE))
-    used = used.join(tasks.select(key).distinct(), key, "left_semi")
+    # Written, as they are read twice and may be dear to work out.
+    used = written(used.join(F.broadcast(tasks.select(key).distinct()), key, "left_semi"), "scores")
     # Which persons a score has, and which of them unscored, as a count and two sums of hashes.
     entry = [F.col(PERSON), F.col(SCORE).isNull()]
     half = F.lit(1 << 31)
@@ -125,7 +126,8 @@ def build_bundles(
             requests[name] = [
                 Request(r.task_id, r.method, place[r[key]], outcomes.index(r.outcome)) for r in listed if r[key] in place
             ]
-    placed = used.join(scores.sparkSession.createDataFrame(slots, f"{key} string, bundle string, slot int, wide int"), key)
+    places = scores.sparkSession.createDataFrame(slots, f"{key} string, bundle string, slot int, wide int")
+    placed = used.join(F.broadcast(places), key)
     entries = placed.groupBy(PERSON, "bundle").agg(
         F.sort_array(F.collect_list(F.struct("slot", SCORE))).alias("entries"), F.max("wide").alias("wide")
     )
@@ -162,4 +164,5 @@ def request_rows(bundles: Bundles, cfg: EvalConfig, method: str) -> DataFrame:
         "bundle", SCORES, F.expr(f"array({ys})").alias("ys"), "ok_with_sex", "ok_without_sex", *strata
     )
     each = f"transform(wanted, w -> struct(w.task_id as task_id, {SCORES}[w.slot] as {SCORE}, ys[w.outcome] as y))"
-    return flagged.join(listed, "bundle").select(F.inline(F.expr(each)), "ok_with_sex", "ok_without_sex", *strata)
+    # Spark cannot tell that the list is small; shuffled by bundle, the rows of one would lie in one task.
+    return flagged.join(F.broadcast(listed), "bundle").select(F.inline(F.expr(each)), "ok_with_sex", "ok_without_sex", *strata)

@@ -111,3 +111,28 @@ def test_rows_of_single_requests_are_bundles_of_one(people, scores, tasks):
     bundles = of_rows(rows)
     assert all([r.slot for r in some] == [0] for some in bundles.requests.values())
     assert len(fit_cells(rows, CFG).bundles.requests) == rows.select("task_id").distinct().count()
+
+
+def test_scores_are_worked_out_once(spark, people, tasks):
+    counted = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(300).selectExpr("'S0' as pgs", "id as IID", "id / 7D as SCORE")
+    bundles = build_bundles(rows.mapInArrow(counting, rows.schema), people, tasks, CFG)
+    assert bundles.rows.count()
+    assert counted.value == 300
+
+
+def test_rows_of_one_request_are_not_shuffled_to_one_task(spark, people, scores, tasks):
+    bundles = build_bundles(scores, people, tasks, CFG)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = request_rows(bundles, CFG, "linear")._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [pgs" in plan and "BroadcastHashJoin [bundle" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
