@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortscope.config import BOTH, LOGISTIC, PRS_ONLY, EvalConfig
 from cohortscope.functions.columns import formula_mask, test_size
 from cohortscope.operators.cohort import stratum_column
-from cohortscope.operators.quantiles import BINS, exact_quantiles, searched, wanted_ranks
+from cohortscope.operators.quantiles import BINS, BROADCAST_TARGETS, exact_quantiles, searched, wanted_ranks
 from cohortscope.operators.strata import (
     TASK_CELL,
     cell_codes,
@@ -119,7 +119,8 @@ def merged_quantiles(
     share = f"(SCORE / {bins} - from_ / {bins}) / (to_ / {bins} - from_ / {bins})"
     bin_ = F.expr(f"cast(if(to_ > from_, least(floor({share} * {bins}), {bins - 1}), 0) as int)")
     strata = [stratum_column(s) for s in cfg.strata]
-    flat = scored.select("task_id", "SCORE", "ok_with_sex", "ok_without_sex", *strata).join(bounds, "task_id").withColumn("bin", bin_)
+    # One row per request; shuffled by request, all rows of one would be counted and fanned out by a single task.
+    flat = scored.select("task_id", "SCORE", "ok_with_sex", "ok_without_sex", *strata).join(F.broadcast(bounds), "task_id").withColumn("bin", bin_)
     combined = flat.groupBy("task_id", "bin", "ok_with_sex", "ok_without_sex", *strata).agg(
         F.count(F.lit(1)).alias("n"), F.min("SCORE").alias("lo"), F.max("SCORE").alias("hi")
     )
@@ -144,6 +145,7 @@ def merged_quantiles(
     targets = written(targets, "quantile-targets")
     # Which cells look into a bin; a person is in one cell of each set at most.
     asked = targets.groupBy("task_id", "bin").agg(F.collect_set("cell").alias("asked"))
+    asked = F.broadcast(asked) if targets.count() <= BROADCAST_TARGETS else asked
     codes = ", ".join(cell_codes(cfg))
     sexes = ", ".join(str(s.use_sex).lower() for s in cfg.strata_sets())
     near = with_codes(flat.join(asked, ["task_id", "bin"]), cfg, lists).withColumn("own", F.expr(f"array({codes})"))

@@ -99,3 +99,30 @@ def test_persons_go_only_to_cells_that_look_into_their_bin(spark):
         summary.searched = saved
     # Each person is in six cells.
     assert sent[0] < 20_000
+
+
+def test_histograms_of_one_request_are_spread_over_tasks(spark, monkeypatch):
+    from cohortscope.config import EvalConfig
+    from cohortscope.operators import summary
+    from cohortscope.operators.strata import group_lists, stratum_column, with_completeness
+
+    cfg = EvalConfig().with_(strata=("race", "gender"), families=(), covariates=(), max_ranked=100)
+    rows = spark.range(2_000).selectExpr(
+        "'t' as task_id", "cast(hash(id) % 1000 as double) as SCORE", "1D as y",
+        *(f"concat('g', (id div {7**i}) % 3) as {stratum_column(s)}" for i, s in enumerate(cfg.strata)),
+    )
+    plans, saved = [], summary.written
+
+    def planned(df, name):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return saved(df, name)
+
+    monkeypatch.setattr(summary, "written", planned)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = summary.merged_quantiles(with_completeness(rows, cfg), cfg, group_lists(rows, cfg), ["prs_only"], (0.25, 0.5, 0.75))
+        assert found.count() == 3 + 3 + 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert len(plans) == 2 and not any("SortMergeJoin" in p for p in plans)
