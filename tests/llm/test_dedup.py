@@ -1,6 +1,7 @@
 """Line dedup, passage dedup and SimHash groups against slow versions, and on awkward tables."""
 
 import collections
+import math
 import random
 import sys
 
@@ -303,6 +304,41 @@ def test_long_runs_of_blocks(monkeypatch):
         assert edge.groups(len(table), enumerate(found.tolist())) == edge.groups(len(table), asked)
 
 
+@pytest.mark.parametrize("long", [2, 128])
+@pytest.mark.parametrize("radius", [0, 3, 14, 26])
+def test_a_ring_of_blocks_leaves_no_near_pair_out(monkeypatch, radius, long):
+    # As if blocks were always sooner than all pairs; also with runs that are too long for rows.
+    blocks_within = lines.blocks_within
+    monkeypatch.setattr(lines, "blocks_within", lambda radius, *_: blocks_within(radius, 90_000, 180_000))
+    monkeypatch.setattr(lines, "LONG", long)
+    rng = random.Random(radius)
+    table = changed_prints(rng, 60, max(4, radius))
+    table = np.concatenate([table, table[:20], np.repeat(table[:1], 30, axis=0)])
+    near = [(i, j) for i in range(len(table)) for j in range(i) if int(lines._apart(table[i], table[j])) <= radius]
+    all_ = np.arange(len(table))
+    for left, right in ((all_, all_), (all_[::2], all_[1::2])):
+        found = lines.join_near(all_.copy(), table, left, right, radius, 1)
+        asked = near if left is right else [(i, j) for i, j in near if (i + j) % 2]
+        assert edge.groups(len(table), enumerate(found.tolist())) == edge.groups(len(table), asked)
+
+
+@pytest.mark.parametrize("radius", [7, 14, 26])
+def test_blocks_compare_few_pairs(radius):
+    ring = lines.blocks_within(radius, 90_000, 180_000)
+    # Radii of the blocks, each plus one, sum up to the radius plus one, so no near pair passes all of them.
+    assert sum(near + 1 for _, _, near, *_ in ring) == radius + 1
+    share = sum(sum(math.comb(width, k) for k in range(near + 1)) / 2**width for _, width, near, *_ in ring)
+    assert share < 0.06
+
+
+def test_edits_by_words_are_enough():
+    rng = random.Random(2)
+    for _ in range(3000):
+        a, b = (" ".join(rng.choice(["a", "bb", "ccc", "dd", ""]) for _ in range(rng.randint(0, 9))) for _ in range(2))
+        assert edit.by_words(a.split(" "), b.split(" ")) >= edit.distance(a, b)
+    assert edit.by_words("one two four five".split(), "one three four five six".split()) == 10
+
+
 def test_bands_of_similar_lines(spark):
     from pyspark.sql import functions as F
 
