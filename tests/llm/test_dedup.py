@@ -331,6 +331,52 @@ def test_blocks_compare_few_pairs(radius):
     assert share < 0.06
 
 
+def test_blocks_of_large_cells_compare_fewer_pairs():
+    ring = lines.blocks_within(26, 1_100_000, 2_300_000)
+    share = sum(sum(math.comb(width, k) for k in range(near + 1)) / 2**width for _, width, near, *_ in ring)
+    assert sum(near + 1 for _, _, near, *_ in ring) == 27 and share < 0.03
+
+
+@pytest.mark.parametrize("sparse", [0, 1 << 40])
+def test_rows_by_layers_and_by_runs_give_the_same_groups(monkeypatch, sparse):
+    # No layer is compared as a whole, and every layer is; in slabs of few pairs.
+    blocks_within = lines.blocks_within
+    monkeypatch.setattr(lines, "blocks_within", lambda radius, *_: blocks_within(radius, 90_000, 180_000))
+    monkeypatch.setattr(lines, "SPARSE", sparse)
+    monkeypatch.setattr(lines, "SLAB", 1 << 9)
+    table = changed_prints(random.Random(7), 50, 26)
+    low = np.uint64((1 << 64) - 1 << 20 & (1 << 64) - 1)
+    # Many of one block, so that its run has several rows.
+    table = np.concatenate([table, np.stack([table[:90, 0] & low, table[:90, 1]], axis=1)])
+    near = [(i, j) for i in range(len(table)) for j in range(i) if int(lines._apart(table[i], table[j])) <= 26]
+    all_ = np.arange(len(table))
+    for left, right in ((all_, all_), (all_[::2], all_[1::2])):
+        found = lines.join_near(all_.copy(), table, left, right, 26, 1)
+        asked = near if left is right else [(i, j) for i, j in near if (i + j) % 2]
+        assert edge.groups(len(table), enumerate(found.tolist())) == edge.groups(len(table), asked)
+
+
+@pytest.mark.parametrize("bucket", [4, 1 << 30])
+def test_fingerprints_of_unlike_length_are_not_linked(spark, bucket):
+    rng = random.Random(5)
+    base = [rng.getrandbits(62) for _ in range(200)]
+    # Pairs of fingerprints of one bit's difference: of lines of 80 and 100 letters, and of 79 and 100.
+    rows = [(b ^ k, b, 79 + (n % 2) if k else 100, 79 + (n % 2) if k else 100, 10, 10) for n, b in enumerate(base) for k in (0, 1)]
+    prints = spark.createDataFrame(rows, "f1 long, f2 long, short int, long int, low int, high int")
+    links = lines.near_links(prints, lines.RADIUS, bucket, 1 << 20, 0.8).collect()
+    names = {r.node: r.f2 for r in prints.selectExpr("xxhash64(f1, f2) as node", "f2").collect()}
+    assert {names[r.a] for r in links} == set(base[1::2])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abc ", max_size=9), min_size=1, max_size=9), st.sampled_from([0.3, 0.5, 0.8]))
+def test_groups_of_similar_lines(texts, similarity):
+    found = lines.similar_lines(np.zeros((len(texts), 2), np.uint64), texts, 0, similarity)
+    most = [[int(max(len(a), len(b)) * (1 - similarity) + 1e-9) for a in texts] for b in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if edge.edits(texts[i], texts[j]) <= most[i][j]]
+    assert edge.groups(len(texts), enumerate(found.tolist())) == edge.groups(len(texts), near)
+
+
 def test_edits_by_words_are_enough():
     rng = random.Random(2)
     for _ in range(3000):
